@@ -26,15 +26,16 @@ def replace_partitions(
 ) -> None:
     """Overwrite only the partitions (``by`` values) present in ``df``.
 
-    With ``cluster_by`` the data is range-partitioned on (by + cluster_by) and sorted
-    inside each file, so parquet min/max statistics prune row groups on those columns
-    (e.g. the pickup date key). Range partitioning splits a hot period over many tasks
-    instead of sending it to one writer.
+    Rows are rebalanced on the partition columns before the write: each period goes to
+    few writer tasks (few, large files instead of tasks x periods small ones), and AQE
+    splits an oversized period over several tasks, so a hot month never lands on a single
+    writer. ``cluster_by`` additionally sorts rows inside each file (e.g. by pickup date
+    key), so parquet min/max statistics prune row groups for range filters.
     """
     by, cluster_by = list(by), list(cluster_by)
-    out = df
+    out = df.hint("rebalance", *by)
     if cluster_by:
-        out = df.repartitionByRange(*by, *cluster_by).sortWithinPartitions(*by, *cluster_by)
+        out = out.sortWithinPartitions(*by, *cluster_by)
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

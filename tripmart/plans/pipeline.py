@@ -2,8 +2,8 @@
 
 ``run_period`` processes one month (partition-pruned reads, dynamic partition overwrite),
 ``backfill`` processes any number of months in a single set of Spark jobs: every row is
-validated against its own file's month, the report is one two-level aggregate, and only
-periods that pass the gate are loaded into the fact.
+validated against its own file's month and only periods that pass the gate are loaded
+into the fact.
 
 Counts for the report are taken from the data actually read and written (row counts of
 the bronze and silver partitions), so task retries and lost executors cannot inflate them.
@@ -17,8 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.functions.measures import pct
-from tripmart.operators.conform import conform, conform_zone_lookup
+from tripmart.operators.conform import conform_zone_lookup
 from tripmart.operators.dims import date_dim, location_dim
 from tripmart.operators.facts import build_fact
 from tripmart.operators.load import (
@@ -27,9 +26,9 @@ from tripmart.operators.load import (
     write_dimension,
     write_quality_report,
 )
-from tripmart.operators.quality import assert_gate, quality_gate, quality_report, trip_rules
+from tripmart.operators.quality import assert_gate, quality_gate, quality_report_from_counts
 from tripmart.plans.star import silver_trips
-from tripmart.schemas import CALENDAR_END, CALENDAR_START, DATASET_NAME, TRIP_KEYS, TRIP_SPEC
+from tripmart.schemas import CALENDAR_END, CALENDAR_START, QUALITY_REPORT_SCHEMA
 from tripmart.session import configure
 from tripmart.sources.raw import read_raw_trips, read_zone_lookup_csv
 
@@ -50,6 +49,26 @@ def _with_source_file(raw: DataFrame) -> DataFrame:
     return raw.withColumn("_source_file", F.col("_metadata.file_path"))
 
 
+def _period_counts(df: DataFrame, year_col: str, month_col: str) -> DataFrame:
+    return df.groupBy(F.col(year_col).cast("int").alias("year"),
+                      F.col(month_col).cast("int").alias("month")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _load_silver_and_report(spark, paths, raw, run_id, processed_at, year=None, month=None):
+    """Write silver for the periods in ``raw``, then the report from row counts."""
+    silver = silver_trips(raw, run_id, processed_at, year, month, source_file=F.col("_source_file"))
+    replace_partitions(silver.drop("_source_file"), paths.silver, PERIOD)
+    inputs = _period_counts(raw, "year", "month")
+    periods = inputs.select(F.col("year").cast("short").alias("source_year"),
+                            F.col("month").cast("short").alias("source_month"))
+    # Bounded by the number of periods in this run: safe to broadcast.
+    written = spark.read.parquet(paths.silver).join(F.broadcast(periods), PERIOD, "left_semi")
+    accepted = _period_counts(written, "source_year", "source_month")
+    report = quality_report_from_counts(inputs, accepted, processed_at=processed_at)
+    write_quality_report(report, paths.quality)
+    return written, report
+
+
 def run_period(
     spark: SparkSession,
     paths: Paths,
@@ -58,29 +77,20 @@ def run_period(
     run_id: str,
     enforce_gate: bool = True,
 ) -> DataFrame:
-    """Process one month end to end; returns the period's quality report (1 row)."""
+    """Process one month end to end; returns the period's gate row.
+
+    Reads only that month's bronze partition; silver, report and fact partitions of the
+    month are replaced, nothing else is touched. A failed gate raises before gold.
+    """
     configure(spark)
     processed_at = dt.datetime.now(dt.UTC).isoformat()
     raw = _with_source_file(read_raw_trips(spark, paths.bronze, year, month))
-    silver = silver_trips(raw, run_id, processed_at, year, month, source_file=F.col("_source_file"))
-    replace_partitions(silver.drop("_source_file"), paths.silver, PERIOD)
-
-    written = spark.read.parquet(paths.silver).filter(
-        (F.col("source_year") == year) & (F.col("source_month") == month)
-    )
-    total, accepted = raw.count(), written.count()
-    report = spark.createDataFrame(
-        [(DATASET_NAME, year, month, total, accepted, total - accepted, None, processed_at)],
-        "dataset string, year int, month int, total_input_rows long, accepted_rows long, "
-        "rejected_rows long, acceptance_rate_pct double, processed_at_utc string",
-    ).withColumn("acceptance_rate_pct", pct("accepted_rows", "total_input_rows"))
-    write_quality_report(report, paths.quality)
-
+    written, _ = _load_silver_and_report(spark, paths, raw, run_id, processed_at, year, month)
     gate = quality_gate(read_quality_report(spark, paths.quality, year, month))
     if enforce_gate:
         assert_gate(gate)
     replace_partitions(build_fact(written), paths.gold_fact, PERIOD, cluster_by=["pickup_date_key"])
-    return report
+    return gate
 
 
 def backfill(
@@ -90,10 +100,15 @@ def backfill(
     periods: list[tuple[int, int]] | None = None,
     min_rows: int | None = None,
     max_reject_pct: float | None = None,
+    enforce_gate: bool = True,
 ) -> DataFrame:
     """Process many months at once; returns the gate table (one row per period).
 
-    Periods failing the gate get silver data and a report but no fact partition.
+    One pass over bronze (each row checked against its own file's month, de-duplicated
+    per period), then the report from row counts, the gate, and the fact for the periods
+    that passed. Periods failing the gate get silver data and a report but no fact
+    partition (unless ``enforce_gate=False``, which loads every period and only records
+    the verdict).
     """
     configure(spark)
     processed_at = dt.datetime.now(dt.UTC).isoformat()
@@ -104,24 +119,21 @@ def backfill(
             cond = cond | ((F.col("year") == y) & (F.col("month") == m))
         raw = raw.filter(cond)  # partition pruning on year/month
     raw = _with_source_file(raw)
-
-    report = quality_report(conform(raw, TRIP_SPEC), trip_rules(), TRIP_KEYS, processed_at=processed_at)
-    write_quality_report(report, paths.quality)
-
-    silver = silver_trips(raw, run_id, processed_at, source_file=F.col("_source_file"))
-    replace_partitions(silver.drop("_source_file"), paths.silver, PERIOD)
+    written, report = _load_silver_and_report(spark, paths, raw, run_id, processed_at)
 
     gate_kwargs = {}
     if min_rows is not None:
         gate_kwargs["min_rows"] = min_rows
     if max_reject_pct is not None:
         gate_kwargs["max_reject_pct"] = max_reject_pct
-    gate = quality_gate(spark.read.json(paths.quality, schema=report.schema), **gate_kwargs)
-    passed = gate.filter("passed").select(
+    gate = quality_gate(spark.read.schema(QUALITY_REPORT_SCHEMA).json(paths.quality), **gate_kwargs)
+    run_periods = written.select("source_year", "source_month").distinct()
+    passed = (gate.filter("passed") if enforce_gate else gate).select(
         F.col("year").cast("short").alias("source_year"), F.col("month").cast("short").alias("source_month")
-    )
-    written = spark.read.parquet(paths.silver).join(F.broadcast(passed), PERIOD, "left_semi")
-    replace_partitions(build_fact(written), paths.gold_fact, PERIOD, cluster_by=["pickup_date_key"])
+    ).join(run_periods, PERIOD, "left_semi")
+    # The gate table has one row per period (bounded): broadcast.
+    loadable = written.join(F.broadcast(passed), PERIOD, "left_semi")
+    replace_partitions(build_fact(loadable), paths.gold_fact, PERIOD, cluster_by=["pickup_date_key"])
     return gate
 
 
@@ -136,3 +148,19 @@ def load_dimensions(
     if paths.zone_lookup_csv:
         zones = conform_zone_lookup(read_zone_lookup_csv(spark, paths.zone_lookup_csv))
         write_dimension(location_dim(zones, with_unknown=with_unknown), f"{paths.gold_dims}/dim_location")
+
+
+def read_star(spark: SparkSession, paths: Paths):
+    """The loaded warehouse as a ``Star``: fact and dimensions read from their tables
+    (seeded code dimensions are literal rows)."""
+    from tripmart.operators.dims import payment_type_dim, rate_code_dim, vendor_dim
+    from tripmart.plans.star import Star
+
+    return Star(
+        fact=spark.read.parquet(paths.gold_fact),
+        dim_date=spark.read.parquet(f"{paths.gold_dims}/dim_date"),
+        dim_location=spark.read.parquet(f"{paths.gold_dims}/dim_location"),
+        dim_rate_code=rate_code_dim(spark),
+        dim_payment_type=payment_type_dim(spark),
+        dim_vendor=vendor_dim(spark),
+    )

@@ -66,9 +66,13 @@ def write_zone_lookup_csv(df: DataFrame, path: str) -> None:
 
 
 def write_bronze(df: DataFrame, root: str) -> None:
-    """Land raw records partitioned by ``year``/``month`` (one directory per period)."""
+    """Land raw records partitioned by ``year``/``month`` (one directory per period).
+
+    The rebalance hint groups each period into few writer tasks (few files per period)
+    while AQE splits an oversized period over several tasks.
+    """
     (
-        df.repartition("year", "month")
+        df.hint("rebalance", "year", "month")
         .write.mode("overwrite")
         .partitionBy("year", "month")
         .option("compression", "snappy")
