@@ -64,16 +64,29 @@ def trip_rules(
 
 
 def all_valid(rules: Sequence[Rule]) -> Column:
-    """Conjunction of the rules with NULL treated as failure (never NULL itself)."""
+    """Conjunction of the rules with NULL treated as failure (never NULL itself).
+
+    For a value column (e.g. a flag that is aggregated). To *filter*, use
+    :func:`valid_filter`, which parquet can evaluate in the scan.
+    """
     pred = F.lit(True)
     for r in rules:
         pred = pred & F.coalesce(r.predicate, F.lit(False))
     return pred
 
 
+def valid_filter(rules: Sequence[Rule]) -> Column:
+    """Plain conjunction of the rules for ``filter``: a NULL result drops the row just as
+    FALSE does, and simple comparisons stay pushable to the parquet reader."""
+    pred = None
+    for r in rules:
+        pred = r.predicate if pred is None else pred & r.predicate
+    return pred if pred is not None else F.lit(True)
+
+
 def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows with a ``reject_reasons`` array). Both lazy."""
-    return df.filter(all_valid(rules)), with_reject_reasons(df, rules).filter(
+    return df.filter(valid_filter(rules)), with_reject_reasons(df, rules).filter(
         F.size("reject_reasons") > 0
     )
 

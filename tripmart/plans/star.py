@@ -21,7 +21,7 @@ from tripmart.operators.dims import (
     vendor_dim,
 )
 from tripmart.operators.facts import build_fact
-from tripmart.operators.quality import all_valid, trip_rules
+from tripmart.operators.quality import trip_rules, valid_filter
 from tripmart.schemas import TRIP_KEYS, TRIP_SPEC
 from tripmart.sources.raw import trip_file_name_col
 
@@ -47,7 +47,7 @@ class Star:
 
 def valid_trips(raw: DataFrame, year: int | None = None, month: int | None = None) -> DataFrame:
     """Conformed trips that pass every rule (window, time order, distance)."""
-    return conform(raw, TRIP_SPEC).filter(all_valid(trip_rules(year, month)))
+    return conform(raw, TRIP_SPEC).filter(valid_filter(trip_rules(year, month)))
 
 
 def silver_trips(

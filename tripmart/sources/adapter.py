@@ -35,12 +35,10 @@ def raw_trips(spark: SparkSession, sf_dir: str, with_period: bool = True) -> Dat
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
 
-    # Big-big join on the order key: lineitem is hash-distributed on it up front, which is
-    # exactly the distribution a sort-merge join needs (no extra exchange at scale) and
-    # spreads a single large input split over all cores. The customer and supplier sides
-    # are left to the size-checked planner (broadcast below the threshold, else
-    # sort-merge); AQE splits skewed join partitions.
-    li = li.repartition("l_orderkey")
+    # Joins are left to the size-checked planner: broadcast below the threshold, else a
+    # sort-merge join whose planner-inserted shuffles AQE can split when a key is hot.
+    # (An explicit repartition on the order key would pin that distribution and disable
+    # the skew split.)
     base = (
         li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
