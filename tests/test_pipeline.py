@@ -126,3 +126,25 @@ def test_incremental_stream_processes_only_new_months(spark, tmp_root):
             spark.read.parquet(p.gold_fact).select("source_month", "pipeline_run_id").distinct().collect()}
     assert runs[1] == first_run and runs[2] != first_run
     assert spark.read.parquet(p.gold_fact).count() == 2500
+
+
+def test_leaf_read_keeps_period_columns_and_views(spark, tmp_root):
+    from tripmart.plans.pipeline import new_run_id, register_views
+    from tripmart.sources.raw import read_period_leaf
+
+    p = _paths(tmp_root)
+    write_bronze(_valid_month(spark, 1200, 2024, 1).unionByName(_valid_month(spark, 20, 2024, 2)), p.bronze)
+    leaf = read_period_leaf(spark, p.bronze, 2024, 2)
+    assert {(r.year, r.month) for r in leaf.select("year", "month").distinct().collect()} == {(2024, 2)}
+    assert leaf.count() == 20
+    rid = new_run_id()
+    assert rid.startswith("run-") and rid != new_run_id()
+    write_zone_lookup_csv(adapter.raw_zone_lookup(spark, SF_SMALL), p.zone_lookup_csv)
+    load_dimensions(spark, p, ("2024-01-01", "2024-12-31"))
+    run_period(spark, p, 2024, 1, rid)
+    register_views(spark, p)
+    got = spark.sql(
+        "SELECT d.month_name, COUNT(*) AS n FROM fact_trip f JOIN dim_date d "
+        "ON f.pickup_date_key = d.date_key GROUP BY d.month_name"
+    ).collect()
+    assert [(r.month_name, r.n) for r in got] == [("January", 1200)]

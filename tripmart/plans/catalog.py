@@ -314,6 +314,14 @@ def q_report_payment(spark, sf):
     return reports.report_payment(marts.mart_payment(_ctx(spark, sf).star))
 
 
+def q_report_zones_weighted(spark, sf):
+    return reports.report_zones(marts.mart_zones(_ctx(spark, sf).star), weighted=True)
+
+
+def q_report_payment_weighted(spark, sf):
+    return reports.report_payment(marts.mart_payment(_ctx(spark, sf).star), weighted=True)
+
+
 def q_report_borough_share(spark, sf):
     return reports.report_borough_share(q_report_zones(spark, sf))
 
@@ -455,6 +463,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_latest_growth": q_report_latest_growth,
     "report_zones": q_report_zones,
     "report_payment": q_report_payment,
+    "report_zones_weighted": q_report_zones_weighted,
+    "report_payment_weighted": q_report_payment_weighted,
     "report_borough_share": q_report_borough_share,
     "report_top10_zones": q_report_top10_zones,
     "report_formatted": q_report_formatted,
@@ -839,6 +849,24 @@ def _oracles() -> dict[str, str]:
         ),
         "report_zones": _sql("SELECT * FROM zone_report", _ZONES_CTE, _ZONE_REPORT_CTE),
         "report_payment": _sql("SELECT * FROM payment_report", _PAYMENT_CTE, _PAYMENT_REPORT_CTE),
+        "report_zones_weighted": _sql(
+            "SELECT borough, zone, CAST(SUM(total_trips) AS BIGINT) AS total_trips, "
+            "CAST(SUM(CAST(total_revenue_usd AS DECIMAL(20,2))) AS DOUBLE) AS total_revenue_usd, "
+            "CAST(SUM(CAST(avg_fare_usd AS DECIMAL(20,2)) * total_trips) AS DOUBLE) / "
+            "SUM(CASE WHEN avg_fare_usd IS NOT NULL THEN total_trips END) AS avg_fare_usd "
+            "FROM zones_mart WHERE borough IS NOT NULL AND zone IS NOT NULL GROUP BY borough, zone",
+            _ZONES_CTE,
+        ),
+        "report_payment_weighted": _sql(
+            "SELECT payment_type_name, CAST(SUM(transaction_count) AS BIGINT) AS transaction_count, "
+            "CAST(SUM(CAST(total_volume_usd AS DECIMAL(20,2))) AS DOUBLE) AS total_volume_usd, "
+            "CAST(SUM(CAST(avg_tip_usd AS DECIMAL(20,2)) * transaction_count) AS DOUBLE) / "
+            "SUM(CASE WHEN avg_tip_usd IS NOT NULL THEN transaction_count END) AS avg_tip_usd, "
+            "CAST(SUM(CAST(effective_tip_rate_pct AS DECIMAL(20,2)) * transaction_count) AS DOUBLE) / "
+            "SUM(CASE WHEN effective_tip_rate_pct IS NOT NULL THEN transaction_count END) AS effective_tip_rate_pct "
+            "FROM payment_mart WHERE payment_type_name IS NOT NULL GROUP BY payment_type_name",
+            _PAYMENT_CTE,
+        ),
         "report_borough_share": _sql(
             "SELECT borough, CAST(rev AS DOUBLE) AS total_revenue_usd, "
             f"{R('CAST(rev AS DOUBLE) / CAST(SUM(rev) OVER () AS DOUBLE) * 100.0')} AS revenue_share_pct "

@@ -12,6 +12,7 @@ the bronze and silver partitions), so task retries and lost executors cannot inf
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +46,22 @@ class Paths:
     zone_lookup_csv: str | None = None
 
 
+def new_run_id(prefix: str = "run") -> str:
+    """A fresh run id, generated once on the driver and stamped on every row of the run."""
+    return f"{prefix}-{uuid.uuid4()}"
+
+
+def register_views(spark: SparkSession, paths: Paths) -> list[str]:
+    """Expose the warehouse tables to SQL as session views (the reference's schema and
+    CREATE TABLE statements re-aimed: the tables are the written parquet folders)."""
+    star = read_star(spark, paths)
+    views = {"fact_trip": star.fact, **star.dims(), "silver_trips": spark.read.parquet(paths.silver),
+             "quality_report": read_quality_report(spark, paths.quality)}
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)
+
+
 def _with_source_file(raw: DataFrame) -> DataFrame:
     return raw.withColumn("_source_file", F.col("_metadata.file_path"))
 

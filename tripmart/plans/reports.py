@@ -32,8 +32,10 @@ def _sum_money(col: str) -> F.Column:
 
 
 def _weighted(col: str, weight: str) -> F.Column:
+    """Weight-averaged 2-decimal values; rows with a NULL value carry no weight."""
     num = F.sum(F.col(col).cast("decimal(20,2)") * F.col(weight))
-    return F.try_divide(num.cast("double"), F.sum(weight))
+    den = F.sum(F.when(F.col(col).isNotNull(), F.col(weight)))
+    return F.try_divide(num.cast("double"), den)
 
 
 def report_kpi(mom: DataFrame, period=None) -> DataFrame:

@@ -46,8 +46,13 @@ def read_raw_trips(
 
 
 def read_period_leaf(spark: SparkSession, root: str, year: int, month: int) -> DataFrame:
-    """Read one partition leaf but keep ``year``/``month`` columns (``basePath``)."""
-    return spark.read.option("basePath", root).parquet(period_dir(root, year, month))
+    """Read one partition leaf but keep ``year``/``month`` columns (``basePath``).
+
+    Accepts both the zero-padded landing layout (``month=02``) and the layout Spark's
+    ``partitionBy`` writes (``month=2``).
+    """
+    leaf = f"{root.rstrip('/')}/year={year:04d}/month={{{month:02d},{month}}}"
+    return spark.read.option("basePath", root).parquet(leaf)
 
 
 def read_zone_lookup_csv(spark: SparkSession, path: str) -> DataFrame:
