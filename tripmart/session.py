@@ -34,19 +34,23 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def _checkpoint_base(spark: SparkSession) -> str:
-    sc = spark.sparkContext
-    base = None
     try:
-        base = sc.getCheckpointDir()
-    except Exception:  # older API surface
-        base = None
+        sc = spark.sparkContext
+    except Exception:  # remote (Connect) sessions have no local SparkContext
+        sc = None
+    base = None
+    if sc is not None:
+        base = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
-        base = sc.getConf().get("spark.checkpoint.dir", None)
+        base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         # Only reached when the cluster names no shared folder (local tests): create one.
         base = tempfile.mkdtemp(prefix="tripmart-ckpt-")
-        sc.setCheckpointDir(base)
-        base = sc.getCheckpointDir() or base
+        if sc is not None:
+            sc.setCheckpointDir(base)
+            base = sc.getCheckpointDir() or base
+        else:
+            spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
