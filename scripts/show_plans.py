@@ -25,7 +25,7 @@ from tripmart.operators.conform import conform  # noqa: E402
 from tripmart.operators.facts import build_fact  # noqa: E402
 from tripmart.operators.quality import quality_report, trip_rules  # noqa: E402
 from tripmart.plans import marts  # noqa: E402
-from tripmart.plans.pipeline import Paths, backfill, load_dimensions, read_star  # noqa: E402
+from tripmart.plans.runs import Paths, backfill, load_dimensions, read_star  # noqa: E402
 from tripmart.plans.star import silver_trips  # noqa: E402
 from tripmart.schemas import TRIP_KEYS, TRIP_SPEC  # noqa: E402
 from tripmart.sources import adapter  # noqa: E402

@@ -5,7 +5,7 @@ from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 from tripmart.operators.load import partition_counts, read_quality_report
-from tripmart.plans.pipeline import Paths, backfill, load_dimensions, read_star, run_period
+from tripmart.plans.runs import Paths, backfill, load_dimensions, read_star, run_period
 from tripmart.sources import adapter
 from tripmart.sources.manifest import file_manifest, pending_periods, period_spine
 from tripmart.sources.raw import read_raw_trips, write_bronze, write_zone_lookup_csv
@@ -129,7 +129,7 @@ def test_incremental_stream_processes_only_new_months(spark, tmp_root):
 
 
 def test_leaf_read_keeps_period_columns_and_views(spark, tmp_root):
-    from tripmart.plans.pipeline import new_run_id, register_views
+    from tripmart.plans.runs import new_run_id, register_views
     from tripmart.sources.raw import read_period_leaf
 
     p = _paths(tmp_root)

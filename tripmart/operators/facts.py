@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tripmart.functions.calendar import date_key
 from tripmart.functions.keys import key_or_unknown
 from tripmart.functions.measures import duration_seconds
+from tripmart.operators.dedupe import dedupe
 from tripmart.schemas import (
     FACT_COLUMNS,
     PAYMENT_TYPE_KEYS,
@@ -70,9 +71,9 @@ def key_by_lookup(
 
     The dimension side is deduplicated on its id first so the join can never fan out.
     """
-    keys = dim.select(
-        F.col(dim_id_col).alias("_lk_id"), F.col(dim_key_col).alias("_lk_key")
-    ).dropDuplicates(["_lk_id"])
+    keys = dedupe(
+        dim.select(F.col(dim_id_col).alias("_lk_id"), F.col(dim_key_col).alias("_lk_key")), ["_lk_id"]
+    )
     joined = df.join(keys, F.col(id_col) == F.col("_lk_id"), "left")
     return joined.withColumn(
         out_col, F.coalesce(F.col("_lk_key"), F.lit(unknown)).cast("int")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tripmart.plans.pipeline import Paths, backfill
+from tripmart.plans.runs import Paths, backfill
 from tripmart.session import configure, scratch_dir
 
 
