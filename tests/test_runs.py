@@ -148,3 +148,25 @@ def test_leaf_read_keeps_period_columns_and_views(spark, tmp_root):
         "ON f.pickup_date_key = d.date_key GROUP BY d.month_name"
     ).collect()
     assert [(r.month_name, r.n) for r in got] == [("January", 1200)]
+
+
+def test_period_marts_prune_fact_partitions(spark, tmp_root):
+    from helpers import explain
+
+    from tripmart.plans import marts, reports
+
+    p = _paths(tmp_root)
+    write_bronze(adapter.raw_trips(spark, SF_SMALL), p.bronze)
+    write_zone_lookup_csv(adapter.raw_zone_lookup(spark, SF_SMALL), p.zone_lookup_csv)
+    backfill(spark, p, "run-1", enforce_gate=False)
+    load_dimensions(spark, p, ("1995-01-01", "2001-12-31"))
+    star = read_star(spark, p)
+    period = (1997, 2)
+    for fn in (marts.mart_zones, marts.mart_payment, marts.mart_daily, marts.monthly_kpi):
+        pruned = fn(star, period=period)
+        plan = explain(pruned)
+        assert "PartitionFilters: [isnotnull(source_year" in plan and "(source_month" in plan
+        if "month" in pruned.columns:
+            full = reports.slice_period(fn(star), period)
+            assert sorted(map(tuple, pruned.collect())) == sorted(map(tuple, full.collect()))
+    assert marts.monthly_kpi(star, period=period).first().total_trips == 46

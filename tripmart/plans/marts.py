@@ -26,6 +26,19 @@ def _minutes() -> Column:
     return F.col("trip_duration_seconds") / F.lit(60.0)
 
 
+def _fact(star: Star, period: tuple[int, int] | None = None) -> DataFrame:
+    """The fact, optionally restricted to one source period.
+
+    Accepted trips always have their pickup inside their source month, so filtering on the
+    partition columns selects exactly that calendar month's trips, and the scan reads only
+    that month's partition.
+    """
+    if period is None:
+        return star.fact
+    y, m = period
+    return star.fact.filter((F.col("source_year") == F.lit(y)) & (F.col("source_month") == F.lit(m)))
+
+
 def _dates(star: Star, cols: list[str], key_alias: str, prefix: str = "") -> DataFrame:
     """Calendar columns keyed by ``key_alias``; broadcast (bounded by the calendar range)."""
     return F.broadcast(
@@ -68,10 +81,10 @@ def _money(c: Column) -> Column:
 # ---------------------------------------------------------------------------------------
 
 
-def monthly_kpi(star: Star) -> DataFrame:
+def monthly_kpi(star: Star, period: tuple[int, int] | None = None) -> DataFrame:
     """Trips, revenue, mean distance and duration per calendar month (LEFT calendar join:
     trips outside the calendar form one NULL group)."""
-    f = star.fact.select("pickup_date_key", "total_amount", "trip_distance", "trip_duration_seconds")
+    f = _fact(star, period).select("pickup_date_key", "total_amount", "trip_distance", "trip_duration_seconds")
     j = _with_dates(f, star, ["year", "month_name"], "left")
     return j.groupBy("year", "month_name").agg(
         F.count(F.lit(1)).alias("total_trips"),
@@ -81,10 +94,10 @@ def monthly_kpi(star: Star) -> DataFrame:
     )
 
 
-def monthly_recap(star: Star) -> DataFrame:
+def monthly_recap(star: Star, period: tuple[int, int] | None = None) -> DataFrame:
     """Month recap grouped also by the source period (one row per calendar month and
     source period), rounded, ordered by source period."""
-    f = star.fact.select(
+    f = _fact(star, period).select(
         "pickup_date_key", "source_year", "source_month", "total_amount", "trip_distance",
         "trip_duration_seconds",
     )
@@ -101,9 +114,9 @@ def monthly_recap(star: Star) -> DataFrame:
              "avg_duration_minutes")
 
 
-def top_pickup_zones(star: Star, n: int = 5) -> DataFrame:
+def top_pickup_zones(star: Star, n: int = 5, period: tuple[int, int] | None = None) -> DataFrame:
     """Top-n pickup zones by trip count (ties broken by borough, zone; NULLS LAST)."""
-    pre = star.fact.groupBy("pickup_location_key").agg(
+    pre = _fact(star, period).groupBy("pickup_location_key").agg(
         F.count(F.lit(1)).alias("_n"), F.sum("total_amount").alias("_rev")
     )
     loc = _locations(star)
@@ -117,9 +130,9 @@ def top_pickup_zones(star: Star, n: int = 5) -> DataFrame:
     ).limit(n)
 
 
-def tip_by_payment(star: Star) -> DataFrame:
+def tip_by_payment(star: Star, period: tuple[int, int] | None = None) -> DataFrame:
     """Transactions and mean tip / total per payment type, busiest first."""
-    f = star.fact.select("payment_type_key", "tip_amount", "total_amount")
+    f = _fact(star, period).select("payment_type_key", "tip_amount", "total_amount")
     j = _seed_join(f, star.dim_payment_type, "payment_type_key", "payment_type_name")
     g = j.groupBy("payment_type_name").agg(
         F.count(F.lit(1)).alias("total_transactions"),
@@ -134,8 +147,8 @@ def tip_by_payment(star: Star) -> DataFrame:
 # ---------------------------------------------------------------------------------------
 
 
-def _monthly_rollup(star: Star) -> DataFrame:
-    f = star.fact.select(
+def _monthly_rollup(star: Star, period: tuple[int, int] | None = None) -> DataFrame:
+    f = _fact(star, period).select(
         "pickup_date_key", "total_amount", "trip_distance", "trip_duration_seconds", "tip_amount"
     )
     j = _with_dates(f, star, ["year", "month", "month_name"], "left")
@@ -188,9 +201,9 @@ def mart_mom(star: Star, calendar: bool = False) -> DataFrame:
     ).orderBy(F.col("year").asc_nulls_last(), F.col("month").asc_nulls_last())
 
 
-def mart_daily(star: Star) -> DataFrame:
+def mart_daily(star: Star, period: tuple[int, int] | None = None) -> DataFrame:
     """Daily trips, revenue, duration and distance (INNER calendar join)."""
-    f = star.fact.select("pickup_date_key", "total_amount", "trip_distance", "trip_duration_seconds")
+    f = _fact(star, period).select("pickup_date_key", "total_amount", "trip_distance", "trip_duration_seconds")
     j = _with_dates(f, star, ["year", "month", "day_of_month", "full_date", "month_name"], "inner")
     g = j.groupBy("year", "month", "day_of_month", "full_date", "month_name").agg(
         F.count(F.lit(1)).alias("total_trips"),
@@ -206,10 +219,10 @@ def mart_daily(star: Star) -> DataFrame:
     ).orderBy(F.col("full_date").asc_nulls_last())
 
 
-def mart_zones(star: Star) -> DataFrame:
+def mart_zones(star: Star, period: tuple[int, int] | None = None) -> DataFrame:
     """Trips, revenue and mean fare per month and pickup zone (INNER calendar join, LEFT
     location join). The fact is reduced to (day, location) partials before any join."""
-    pre = star.fact.groupBy("pickup_date_key", "pickup_location_key").agg(
+    pre = _fact(star, period).groupBy("pickup_date_key", "pickup_location_key").agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum("total_amount").alias("_rev"),
         F.sum("fare_amount").alias("_fare"),
@@ -226,9 +239,9 @@ def mart_zones(star: Star) -> DataFrame:
     return g.withColumn("period_label", period_label("month_name", "year"))
 
 
-def mart_payment(star: Star) -> DataFrame:
+def mart_payment(star: Star, period: tuple[int, int] | None = None) -> DataFrame:
     """Transactions, volume, mean tip and effective tip rate per month and payment type."""
-    f = star.fact.select("pickup_date_key", "payment_type_key", "total_amount", "tip_amount", "fare_amount")
+    f = _fact(star, period).select("pickup_date_key", "payment_type_key", "total_amount", "tip_amount", "fare_amount")
     j = _with_dates(f, star, ["year", "month", "month_name"], "inner")
     j = _seed_join(j, star.dim_payment_type, "payment_type_key", "payment_type_name")
     g = j.groupBy("year", "month", "month_name", "payment_type_name").agg(
@@ -245,9 +258,9 @@ def mart_payment(star: Star) -> DataFrame:
 # ---------------------------------------------------------------------------------------
 
 
-def role_playing_dates(star: Star) -> DataFrame:
+def role_playing_dates(star: Star, period: tuple[int, int] | None = None) -> DataFrame:
     """Trips by pickup month x dropoff month: the calendar joined in both roles."""
-    f = star.fact.select("pickup_date_key", "dropoff_date_key", "total_amount", "trip_duration_seconds")
+    f = _fact(star, period).select("pickup_date_key", "dropoff_date_key", "total_amount", "trip_duration_seconds")
     j = _with_dates(f, star, ["year", "month"], "left", "pickup", "pickup_")
     j = _with_dates(j, star, ["year", "month"], "left", "dropoff", "dropoff_")
     return j.groupBy("pickup_year", "pickup_month", "dropoff_year", "dropoff_month").agg(
@@ -257,10 +270,10 @@ def role_playing_dates(star: Star) -> DataFrame:
     )
 
 
-def route_pairs(star: Star) -> DataFrame:
+def route_pairs(star: Star, period: tuple[int, int] | None = None) -> DataFrame:
     """Trips and revenue per (pickup zone, dropoff zone): the location dimension in both
     roles, joined after reducing the fact to location-pair partials."""
-    pre = star.fact.groupBy("pickup_location_key", "dropoff_location_key").agg(
+    pre = _fact(star, period).groupBy("pickup_location_key", "dropoff_location_key").agg(
         F.count(F.lit(1)).alias("_n"), F.sum("total_amount").alias("_rev")
     )
     pu, do = _locations(star, "pickup_"), _locations(star, "dropoff_")
@@ -274,8 +287,9 @@ def route_pairs(star: Star) -> DataFrame:
                      ("pickup_borough", "pickup_zone", "dropoff_borough", "dropoff_zone")])
 
 
-def _kpi_by_seed(star: Star, dim: DataFrame, key: str, name_col: str) -> DataFrame:
-    f = star.fact.select(key, "total_amount", "trip_distance")
+def _kpi_by_seed(star: Star, dim: DataFrame, key: str, name_col: str,
+                 period: tuple[int, int] | None = None) -> DataFrame:
+    f = _fact(star, period).select(key, "total_amount", "trip_distance")
     j = _seed_join(f, dim, key, name_col)
     return j.groupBy(name_col).agg(
         F.count(F.lit(1)).alias("total_trips"),
@@ -284,9 +298,9 @@ def _kpi_by_seed(star: Star, dim: DataFrame, key: str, name_col: str) -> DataFra
     ).orderBy(F.col("total_trips").desc(), F.col(name_col).asc_nulls_last())
 
 
-def kpi_by_vendor(star: Star) -> DataFrame:
-    return _kpi_by_seed(star, star.dim_vendor, "vendor_key", "vendor_name")
+def kpi_by_vendor(star: Star, period: tuple[int, int] | None = None) -> DataFrame:
+    return _kpi_by_seed(star, star.dim_vendor, "vendor_key", "vendor_name", period)
 
 
-def kpi_by_rate_code(star: Star) -> DataFrame:
-    return _kpi_by_seed(star, star.dim_rate_code, "rate_code_key", "rate_code_name")
+def kpi_by_rate_code(star: Star, period: tuple[int, int] | None = None) -> DataFrame:
+    return _kpi_by_seed(star, star.dim_rate_code, "rate_code_key", "rate_code_name", period)
