@@ -170,3 +170,21 @@ def test_period_marts_prune_fact_partitions(spark, tmp_root):
             full = reports.slice_period(fn(star), period)
             assert sorted(map(tuple, pruned.collect())) == sorted(map(tuple, full.collect()))
     assert marts.monthly_kpi(star, period=period).first().total_trips == 46
+
+
+def test_hot_period_is_split_across_writers(spark, tmp_root):
+    from tripmart.operators.load import replace_partitions
+
+    hot = _valid_month(spark, 60000, 2024, 1)  # 60000 of 62000 rows in one month
+    rest = _valid_month(spark, 1000, 2024, 2).unionByName(_valid_month(spark, 1000, 2024, 3))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "256k")
+    try:
+        replace_partitions(hot.unionByName(rest), f"{tmp_root}/t", by=["year", "month"])
+    finally:
+        spark.conf.set(key, old)
+    df = spark.read.parquet(f"{tmp_root}/t")
+    hot_files = [f for f in df.inputFiles() if "month=1/" in f]
+    assert len(hot_files) > 1  # AQE split the hot month over several writer tasks
+    assert df.count() == 62000
