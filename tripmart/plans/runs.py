@@ -15,7 +15,7 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.operators.conform import conform_zone_lookup
@@ -29,7 +29,7 @@ from tripmart.operators.load import (
 )
 from tripmart.operators.quality import assert_gate, quality_gate, quality_report_from_counts
 from tripmart.plans.star import silver_trips
-from tripmart.schemas import CALENDAR_END, CALENDAR_START, QUALITY_REPORT_SCHEMA
+from tripmart.schemas import CALENDAR_END, CALENDAR_START
 from tripmart.session import configure
 from tripmart.sources.raw import read_raw_trips, read_zone_lookup_csv
 
@@ -66,9 +66,17 @@ def _with_source_file(raw: DataFrame) -> DataFrame:
     return raw.withColumn("_source_file", F.col("_metadata.file_path"))
 
 
-def _period_counts(df: DataFrame, year_col: str, month_col: str) -> DataFrame:
-    return df.groupBy(F.col(year_col).cast("int").alias("year"),
-                      F.col(month_col).cast("int").alias("month")).agg(F.count(F.lit(1)).alias("rows"))
+def _period_counts(df: DataFrame, year_col: str, month_col: str) -> list[tuple[int, int, int]]:
+    """Rows per period as a short driver-side list (one entry per month; reads no columns)."""
+    rows = df.groupBy(year_col, month_col).agg(F.count(F.lit(1)).alias("rows")).collect()
+    return [(int(r[0]), int(r[1]), int(r[2])) for r in rows if r[0] is not None and r[1] is not None]
+
+
+def in_periods(periods: list[tuple[int, int]], year_col: str = "source_year",
+               month_col: str = "source_month") -> Column:
+    """Predicate on the partition columns selecting the given months (partition pruning)."""
+    codes = sorted({y * 100 + m for y, m in periods})
+    return (F.col(year_col) * 100 + F.col(month_col)).isin(codes) if codes else F.lit(False)
 
 
 def _load_silver_and_report(spark, paths, raw, run_id, processed_at, year=None, month=None):
@@ -76,14 +84,16 @@ def _load_silver_and_report(spark, paths, raw, run_id, processed_at, year=None,
     silver = silver_trips(raw, run_id, processed_at, year, month, source_file=F.col("_source_file"))
     replace_partitions(silver.drop("_source_file"), paths.silver, PERIOD)
     inputs = _period_counts(raw, "year", "month")
-    periods = inputs.select(F.col("year").cast("short").alias("source_year"),
-                            F.col("month").cast("short").alias("source_month"))
-    # Bounded by the number of periods in this run: safe to broadcast.
-    written = spark.read.parquet(paths.silver).join(F.broadcast(periods), PERIOD, "left_semi")
+    periods = [(y, m) for y, m, _ in inputs]
+    written = spark.read.parquet(paths.silver).filter(in_periods(periods))
     accepted = _period_counts(written, "source_year", "source_month")
-    report = quality_report_from_counts(inputs, accepted, processed_at=processed_at)
+    schema = "year int, month int, rows long"
+    report = quality_report_from_counts(
+        spark.createDataFrame(inputs, schema), spark.createDataFrame(accepted, schema),
+        processed_at=processed_at,
+    )
     write_quality_report(report, paths.quality)
-    return written, report
+    return written, report, periods
 
 
 def run_period(
@@ -102,7 +112,7 @@ def run_period(
     configure(spark)
     processed_at = dt.datetime.now(dt.UTC).isoformat()
     raw = _with_source_file(read_raw_trips(spark, paths.bronze, year, month))
-    written, _ = _load_silver_and_report(spark, paths, raw, run_id, processed_at, year, month)
+    written, _, _ = _load_silver_and_report(spark, paths, raw, run_id, processed_at, year, month)
     gate = quality_gate(read_quality_report(spark, paths.quality, year, month))
     if enforce_gate:
         assert_gate(gate)
@@ -131,25 +141,20 @@ def backfill(
     processed_at = dt.datetime.now(dt.UTC).isoformat()
     raw = read_raw_trips(spark, paths.bronze)
     if periods:
-        cond = F.lit(False)
-        for y, m in periods:
-            cond = cond | ((F.col("year") == y) & (F.col("month") == m))
-        raw = raw.filter(cond)  # partition pruning on year/month
+        raw = raw.filter(in_periods(periods, "year", "month"))  # partition pruning
     raw = _with_source_file(raw)
-    written, report = _load_silver_and_report(spark, paths, raw, run_id, processed_at)
+    written, report, periods = _load_silver_and_report(spark, paths, raw, run_id, processed_at)
 
     gate_kwargs = {}
     if min_rows is not None:
         gate_kwargs["min_rows"] = min_rows
     if max_reject_pct is not None:
         gate_kwargs["max_reject_pct"] = max_reject_pct
-    gate = quality_gate(spark.read.schema(QUALITY_REPORT_SCHEMA).json(paths.quality), **gate_kwargs)
-    run_periods = written.select("source_year", "source_month").distinct()
-    passed = (gate.filter("passed") if enforce_gate else gate).select(
-        F.col("year").cast("short").alias("source_year"), F.col("month").cast("short").alias("source_month")
-    ).join(run_periods, PERIOD, "left_semi")
-    # The gate table has one row per period (bounded): broadcast.
-    loadable = written.join(F.broadcast(passed), PERIOD, "left_semi")
+    gate = quality_gate(report, **gate_kwargs)
+    if enforce_gate:
+        # one gate row per period reaches the driver
+        periods = [(r.year, r.month) for r in gate.filter("passed").select("year", "month").collect()]
+    loadable = written.filter(in_periods(periods))
     replace_partitions(build_fact(loadable), paths.gold_fact, PERIOD, cluster_by=["pickup_date_key"])
     return gate
 
