@@ -88,3 +88,16 @@ def test_zone_lookup_conform(spark):
     assert dict(out.dtypes)["location_id"] == "int"
     r = out.filter("location_id = 2").first()
     assert (r.borough, r.zone, r.service_zone) == ("Unknown", "Unknown", "Unknown")
+
+
+def test_cast_failures_routed_to_reject_column(spark):
+    from tripmart.operators.conform import conform_with_rejects
+
+    df = spark.createDataFrame(
+        [("abc", "2", "2024-01-01 10:00:00"), ("3", "x", "not a time"), ("4", "1", None)],
+        "passenger_count string, VendorID string, tpep_pickup_datetime string",
+    )
+    out = {r.passenger_count: r for r in conform_with_rejects(df, TRIP_SPEC).collect()}
+    assert out[0].cast_failed_columns == ["passenger_count"]
+    assert sorted(out[3].cast_failed_columns) == ["pickup_datetime", "vendor_id"]
+    assert out[4].cast_failed_columns == []  # NULL source is not a cast failure

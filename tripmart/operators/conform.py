@@ -47,6 +47,26 @@ def conform(df: DataFrame, spec: ConformSpec) -> DataFrame:
     return df.withColumns(exprs) if exprs else df
 
 
+def conform_with_rejects(df: DataFrame, spec: ConformSpec,
+                         reject_col: str = "cast_failed_columns") -> DataFrame:
+    """:func:`conform` plus a per-row array naming the mapped columns whose non-null source
+    value could not be cast (empty when the row converted cleanly). Both are computed in the
+    same projection from the raw values."""
+    renamed = rename_columns(df, spec.rename)
+    current = {f.name: f.dataType for f in renamed.schema.fields}
+    checks = [
+        F.when(F.col(c).isNotNull() & F.col(c).try_cast(spec.types[c]).isNull(), F.lit(c))
+        for c in spec.types
+        if c in current and current[c] != spec.types[c]
+    ]
+    flagged = renamed.withColumn(
+        reject_col,
+        F.filter(F.array(*checks), lambda x: x.isNotNull()) if checks
+        else F.array().cast("array<string>"),
+    )
+    return conform(flagged, spec)
+
+
 def cast_failures(df: DataFrame, spec: ConformSpec) -> DataFrame:
     """Per mapped column: non-null source values that do not cast to the target type.
 
