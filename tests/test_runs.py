@@ -188,3 +188,19 @@ def test_hot_period_is_split_across_writers(spark, tmp_root):
     hot_files = [f for f in df.inputFiles() if "month=1/" in f]
     assert len(hot_files) > 1  # AQE split the hot month over several writer tasks
     assert df.count() == 62000
+
+
+def test_quality_reports_latest_run_wins(spark, tmp_root):
+    from tripmart.operators.load import write_quality_report
+
+    schema = ("dataset string, year int, month int, total_input_rows long, accepted_rows long, "
+              "rejected_rows long, acceptance_rate_pct double, processed_at_utc string")
+    root = f"{tmp_root}/q"
+    write_quality_report(spark.createDataFrame(
+        [("d", 2024, 1, 10, 5, 5, 50.0, "2024-02-01T00:00:00+00:00"),
+         ("d", 2024, 2, 10, 9, 1, 90.0, "2024-03-01T00:00:00+00:00")], schema), root)
+    write_quality_report(spark.createDataFrame(
+        [("d", 2024, 1, 10, 10, 0, 100.0, "2024-02-02T00:00:00+00:00")], schema), root)
+    got = {(r.year, r.month): r.accepted_rows for r in read_quality_report(spark, root).collect()}
+    assert got == {(2024, 1): 10, (2024, 2): 9}
+    assert read_quality_report(spark, root, 2024, 2).first().acceptance_rate_pct == 90.0
