@@ -130,3 +130,10 @@ def test_month_filter_is_pushed_to_parquet(spark, tmp_root):
     plan = explain(spark.read.parquet(path).filter(rule.predicate))
     assert "GreaterThanOrEqual(pickup_datetime" in plan
     assert "LessThan(pickup_datetime" in plan
+
+
+def test_impossible_period_rejects_rows_instead_of_failing(spark):
+    rows = [(1, T(2024, 1, 2, 1, 0), T(2024, 1, 2, 2, 0), 1.0, 1, 1, None, 2024, 13)]
+    df = _trips(spark, rows)
+    assert df.filter(all_valid(trip_rules())).count() == 0
+    assert quality_report(df, trip_rules(), TRIP_KEYS).first().accepted_rows == 0

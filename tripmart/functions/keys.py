@@ -44,7 +44,9 @@ def own_period_window(col: str | Column, year_col: str, month_col: str) -> Colum
     the month of the file it came from.
     """
     c = F.col(col) if isinstance(col, str) else col
-    start = F.make_timestamp_ntz(
+    # An impossible period (e.g. a stray month=13 directory) yields NULL -> row rejected,
+    # instead of failing the whole job.
+    start = F.try_make_timestamp_ntz(
         F.col(year_col), F.col(month_col), F.lit(1), F.lit(0), F.lit(0), F.lit(0)
     )
     end = start + F.expr("INTERVAL 1 MONTH")

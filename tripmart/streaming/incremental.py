@@ -36,7 +36,8 @@ def start_incremental(
     default a new folder under the session's checkpoint directory is used.
     """
     configure(spark)
-    schema = spark.read.parquet(paths.bronze).schema  # raw columns + year/month partitions
+    # Raw columns + year/month partitions, from the files already landed (at least one).
+    schema = spark.read.parquet(paths.bronze).schema
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
