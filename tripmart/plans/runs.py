@@ -175,12 +175,16 @@ def load_dimensions(
 def read_star(spark: SparkSession, paths: Paths):
     """The loaded warehouse as a ``Star``: fact and dimensions read from their tables
     (seeded code dimensions are literal rows)."""
-    from tripmart.operators.dims import payment_type_dim, rate_code_dim, vendor_dim
+    from tripmart.operators.dims import MAX_CALENDAR_DAYS, payment_type_dim, rate_code_dim, vendor_dim
     from tripmart.plans.star import Star
 
+    dim_date = spark.read.parquet(f"{paths.gold_dims}/dim_date")
+    # Size check before marts broadcast the calendar (a count of a small table).
+    dates_bounded = dim_date.count() <= MAX_CALENDAR_DAYS + 1
     return Star(
         fact=spark.read.parquet(paths.gold_fact),
-        dim_date=spark.read.parquet(f"{paths.gold_dims}/dim_date"),
+        dim_date=dim_date,
+        dates_bounded=dates_bounded,
         dim_location=spark.read.parquet(f"{paths.gold_dims}/dim_location"),
         dim_rate_code=rate_code_dim(spark),
         dim_payment_type=payment_type_dim(spark),

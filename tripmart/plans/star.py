@@ -34,6 +34,9 @@ class Star:
     dim_rate_code: DataFrame
     dim_payment_type: DataFrame
     dim_vendor: DataFrame
+    # True when dim_date's size is proven small (generated in-process from a capped range,
+    # or counted when read from storage); marts broadcast it only then.
+    dates_bounded: bool = True
 
     def dims(self) -> dict[str, DataFrame]:
         return {
