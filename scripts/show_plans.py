@@ -1,6 +1,6 @@
 """Print the physical plans of the main pipeline stages and marts.
 
-Usage: python scripts/show_plans.py [sf_dir] [--no-auto-broadcast]
+Usage: python scripts/show_plans.py [sf_dir] [--no-auto-broadcast] [--markdown]
 
 With --no-auto-broadcast the size-based broadcast threshold is disabled, which shows the
 plan a large cluster would get for inputs above the threshold: only joins against
@@ -39,6 +39,18 @@ def plan(df) -> str:
     return buf.getvalue()
 
 
+KEY_LINES = ("PushedFilters", "PartitionFilters", "ReadSchema")
+
+
+def condensed(text: str) -> str:
+    """Operator tree plus the scan lines that show pushdown, pruning and column pruning."""
+    tree, _, details = text.partition("\n\n\n")
+    keep = [ln for ln in details.splitlines() if ln.startswith(KEY_LINES) and ln.split(":", 1)[1].strip() not in ("[]",)]
+    out = [tree.strip(), ""]
+    out += [ln if len(ln) < 400 else ln[:400] + " ..." for ln in keep]
+    return "\n".join(out)
+
+
 def main():
     sf = next((a for a in sys.argv[1:] if not a.startswith("--")), "/root/testdata/sf0.01")
     spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
@@ -63,13 +75,18 @@ def main():
         "fact projection": build_fact(spark.read.parquet(p.silver)),
         "mart_mom": marts.mart_mom(star),
         "mart_zones": marts.mart_zones(star),
+        "mart_zones one period (partition-pruned fact)": marts.mart_zones(star, period=(1997, 2)),
         "top_pickup_zones": marts.top_pickup_zones(star),
         "contract_foreign_keys": contracts.contract_foreign_keys(star.fact, star.dims()),
         "adapter raw_trips": adapter.raw_trips(spark, sf),
     }
+    md = "--markdown" in sys.argv
     for name, df in stages.items():
-        print(f"\n######## {name}\n")
-        print(plan(df))
+        if md:
+            print(f"\n## {name}\n\n```\n{condensed(plan(df))}\n```")
+        else:
+            print(f"\n######## {name}\n")
+            print(plan(df))
 
 
 if __name__ == "__main__":
