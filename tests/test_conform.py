@@ -101,3 +101,11 @@ def test_cast_failures_routed_to_reject_column(spark):
     assert out[0].cast_failed_columns == ["passenger_count"]
     assert sorted(out[3].cast_failed_columns) == ["pickup_datetime", "vendor_id"]
     assert out[4].cast_failed_columns == []  # NULL source is not a cast failure
+
+
+def test_partition_layout_names():
+    from tripmart.sources.raw import period_dir, trip_file_name
+
+    assert period_dir("s3://b/bronze/trips/", 2024, 1) == "s3://b/bronze/trips/year=2024/month=01"
+    assert trip_file_name(2024, 1) == "yellow_tripdata_2024-01.parquet"
+    assert trip_file_name(2023, 12) == "yellow_tripdata_2023-12.parquet"

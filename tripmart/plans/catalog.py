@@ -314,6 +314,11 @@ def q_report_payment(spark, sf):
     return reports.report_payment(marts.mart_payment(_ctx(spark, sf).star))
 
 
+def q_report_zones_period(spark, sf):
+    """Dashboard view of one selected month: the fact is pruned to that period's partition."""
+    return reports.report_zones(marts.mart_zones(_ctx(spark, sf).star, period=PERIOD))
+
+
 def q_report_zones_weighted(spark, sf):
     return reports.report_zones(marts.mart_zones(_ctx(spark, sf).star), weighted=True)
 
@@ -463,6 +468,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_latest_growth": q_report_latest_growth,
     "report_zones": q_report_zones,
     "report_payment": q_report_payment,
+    "report_zones_period": q_report_zones_period,
     "report_zones_weighted": q_report_zones_weighted,
     "report_payment_weighted": q_report_payment_weighted,
     "report_borough_share": q_report_borough_share,
@@ -849,6 +855,14 @@ def _oracles() -> dict[str, str]:
         ),
         "report_zones": _sql("SELECT * FROM zone_report", _ZONES_CTE, _ZONE_REPORT_CTE),
         "report_payment": _sql("SELECT * FROM payment_report", _PAYMENT_CTE, _PAYMENT_REPORT_CTE),
+        "report_zones_period": _sql(
+            "SELECT borough, zone, CAST(SUM(total_trips) AS BIGINT) AS total_trips, "
+            "CAST(SUM(CAST(total_revenue_usd AS DECIMAL(20,2))) AS DOUBLE) AS total_revenue_usd, "
+            f"{M6('avg_fare_usd')} AS avg_fare_usd "
+            "FROM zones_mart WHERE borough IS NOT NULL AND zone IS NOT NULL AND year = 1997 AND month = 2 "
+            "GROUP BY borough, zone",
+            _ZONES_CTE,
+        ),
         "report_zones_weighted": _sql(
             "SELECT borough, zone, CAST(SUM(total_trips) AS BIGINT) AS total_trips, "
             "CAST(SUM(CAST(total_revenue_usd AS DECIMAL(20,2))) AS DOUBLE) AS total_revenue_usd, "

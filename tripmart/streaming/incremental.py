@@ -10,6 +10,10 @@ landed file reaches the driver) and those periods are re-run with the idempotent
 ``backfill``: silver, report and fact partitions of exactly those months are replaced.
 A micro-batch that fails half-way is replayed from the checkpoint and converges to the
 same tables.
+
+The file source recognises files by path: land a corrected month under a new file name
+(e.g. with the landing time in it) and it is picked up. A file overwritten in place is not
+seen again; re-run that month with ``run_period`` instead.
 """
 
 from __future__ import annotations
