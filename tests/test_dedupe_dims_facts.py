@@ -141,3 +141,15 @@ def test_key_by_lookup_maps_dangling_ids_to_unknown(spark):
     keyed = key_by_lookup(_silver(spark), "pu_location_id", dim, "location_id", "location_key", "k")
     got = sorted((r.pu_location_id or -1, r.k) for r in keyed.collect())
     assert got == [(-1, 0), (5, 0), (30, 30)]
+
+
+def test_fact_schema_is_enforced_before_load(spark):
+    import pytest
+
+    from tripmart.operators.load import enforce_schema
+    from tripmart.schemas import FACT_SCHEMA
+
+    fact = build_fact(_silver(spark))
+    assert enforce_schema(fact.select(*reversed(fact.columns)), FACT_SCHEMA).columns == FACT_SCHEMA.fieldNames()
+    with pytest.raises(Exception):
+        enforce_schema(fact.drop("trip_distance"), FACT_SCHEMA)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 from pyspark.sql import functions as F
 
 from tripmart.schemas import QUALITY_REPORT_SCHEMA
@@ -46,6 +47,19 @@ def replace_partitions(
     )
 
 
+def enforce_schema(df: DataFrame, schema: StructType) -> DataFrame:
+    """Match a target table's column list and types by name (the explicit-column COPY).
+
+    Fails before any data is written: a missing column raises here (``DataFrame.to`` alone
+    would fill it with NULLs), an unconvertible type raises in ``to`` at analysis time;
+    columns are reordered to the table's order.
+    """
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"columns missing for the target table: {missing}")
+    return df.to(schema)
+
+
 def write_dimension(df: DataFrame, path: str) -> None:
     """SCD0/SCD1 dimension: full overwrite as one file (dimensions are bounded)."""
     df.coalesce(1).write.mode("overwrite").option("compression", "snappy").parquet(path)

@@ -22,6 +22,7 @@ from tripmart.operators.conform import conform_zone_lookup
 from tripmart.operators.dims import date_dim, location_dim
 from tripmart.operators.facts import build_fact
 from tripmart.operators.load import (
+    enforce_schema,
     read_quality_report,
     replace_partitions,
     write_dimension,
@@ -29,7 +30,7 @@ from tripmart.operators.load import (
 )
 from tripmart.operators.quality import assert_gate, quality_gate, quality_report_from_counts
 from tripmart.plans.star import silver_trips
-from tripmart.schemas import CALENDAR_END, CALENDAR_START
+from tripmart.schemas import CALENDAR_END, CALENDAR_START, FACT_SCHEMA
 from tripmart.session import configure
 from tripmart.sources.raw import read_raw_trips, read_zone_lookup_csv
 
@@ -116,7 +117,8 @@ def run_period(
     gate = quality_gate(read_quality_report(spark, paths.quality, year, month))
     if enforce_gate:
         assert_gate(gate)
-    replace_partitions(build_fact(written), paths.gold_fact, PERIOD, cluster_by=["pickup_date_key"])
+    fact = enforce_schema(build_fact(written), FACT_SCHEMA)
+    replace_partitions(fact, paths.gold_fact, PERIOD, cluster_by=["pickup_date_key"])
     return gate
 
 
@@ -155,7 +157,8 @@ def backfill(
         # one gate row per period reaches the driver
         periods = [(r.year, r.month) for r in gate.filter("passed").select("year", "month").collect()]
     loadable = written.filter(in_periods(periods))
-    replace_partitions(build_fact(loadable), paths.gold_fact, PERIOD, cluster_by=["pickup_date_key"])
+    fact = enforce_schema(build_fact(loadable), FACT_SCHEMA)
+    replace_partitions(fact, paths.gold_fact, PERIOD, cluster_by=["pickup_date_key"])
     return gate
 
 
