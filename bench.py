@@ -79,12 +79,6 @@ def _one_month(spark: SparkSession, sf_dir: str, copies: int, spread: int):
     )
 
 
-def _run(df) -> int:
-    """Force full evaluation without collecting large results."""
-    df.write.format("noop").mode("overwrite").save()
-    return 0
-
-
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
