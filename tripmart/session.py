@@ -44,7 +44,13 @@ def _checkpoint_base(spark: SparkSession) -> str:
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        # Only reached when the cluster names no shared folder (local tests): create one.
+        master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
+        if not master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: configure a shared folder (e.g. on the "
+                "cluster's object store) for scratch tables and streaming checkpoints"
+            )
+        # Local mode only (tests, single machine): a temporary folder is shared by all tasks.
         base = tempfile.mkdtemp(prefix="tripmart-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(base)
