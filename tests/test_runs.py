@@ -148,6 +148,17 @@ def test_leaf_read_keeps_period_columns_and_views(spark, tmp_root):
         "ON f.pickup_date_key = d.date_key GROUP BY d.month_name"
     ).collect()
     assert [(r.month_name, r.n) for r in got] == [("January", 1200)]
+    from tripmart.plans.runs import register_tables
+
+    db = "wh_" + tmp_root.rsplit("-", 1)[-1].replace("/", "_")
+    assert f"{db}.fact_trip" in register_tables(spark, p, db)
+    q = (f"SELECT p.payment_type_name, COUNT(*) AS n FROM {db}.fact_trip f "
+         f"LEFT JOIN {db}.dim_payment_type p ON f.payment_type_key = p.payment_type_key "
+         "GROUP BY p.payment_type_name")
+    assert [(r.payment_type_name, r.n) for r in spark.sql(q).collect()] == [("Credit card", 1200)]
+    run_period(spark, p, 2024, 2, rid, enforce_gate=False)  # a new month lands
+    register_tables(spark, p, db)  # picks up the new partition
+    assert spark.sql(f"SELECT COUNT(*) AS n FROM {db}.fact_trip").first().n == 1220
 
 
 def test_period_marts_prune_fact_partitions(spark, tmp_root):

@@ -19,7 +19,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.operators.conform import conform_zone_lookup
-from tripmart.operators.dims import date_dim, location_dim
+from tripmart.operators.dims import (
+    date_dim,
+    location_dim,
+    payment_type_dim,
+    rate_code_dim,
+    vendor_dim,
+)
 from tripmart.operators.facts import build_fact
 from tripmart.operators.load import (
     enforce_schema,
@@ -52,6 +58,30 @@ def new_run_id(prefix: str = "run") -> str:
     return f"{prefix}-{uuid.uuid4()}"
 
 
+def register_tables(spark: SparkSession, paths: Paths, database: str = "warehouse") -> list[str]:
+    """Create the warehouse namespace and external tables over the written folders, so
+    schema-qualified SQL runs through ``spark.sql``. Idempotent: call again after each load
+    to pick up new partitions (``RECOVER PARTITIONS`` lists the period directories)."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    tables = {
+        "fact_trip": (paths.gold_fact, True),
+        "silver_trips": (paths.silver, True),
+        **{d: (f"{paths.gold_dims}/{d}", False) for d in
+           ("dim_date", "dim_location", "dim_rate_code", "dim_payment_type", "dim_vendor")},
+    }
+    created = []
+    for name, (path, partitioned) in tables.items():
+        try:
+            spark.read.parquet(path).schema  # skip folders that were never written
+        except Exception:  # noqa: BLE001 - missing path
+            continue
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} USING parquet LOCATION '{path}'")
+        if partitioned:
+            spark.sql(f"ALTER TABLE {database}.{name} RECOVER PARTITIONS")
+        created.append(f"{database}.{name}")
+    return created
+
+
 def register_views(spark: SparkSession, paths: Paths) -> list[str]:
     """Expose the warehouse tables to SQL as session views (the reference's schema and
     CREATE TABLE statements re-aimed: the tables are the written parquet folders)."""
@@ -168,8 +198,12 @@ def load_dimensions(
     calendar: tuple[str, str] = (CALENDAR_START, CALENDAR_END),
     with_unknown: bool = True,
 ) -> None:
-    """Rebuild the calendar (SCD0) and location (SCD1 overwrite) dimensions."""
+    """Rebuild the calendar (SCD0), the seeded code dimensions and the location (SCD1
+    overwrite) dimension."""
     write_dimension(date_dim(spark, *calendar, with_unknown=with_unknown), f"{paths.gold_dims}/dim_date")
+    for name, dim in (("dim_rate_code", rate_code_dim(spark)), ("dim_payment_type", payment_type_dim(spark)),
+                      ("dim_vendor", vendor_dim(spark))):
+        write_dimension(dim, f"{paths.gold_dims}/{name}")
     if paths.zone_lookup_csv:
         zones = conform_zone_lookup(read_zone_lookup_csv(spark, paths.zone_lookup_csv))
         write_dimension(location_dim(zones, with_unknown=with_unknown), f"{paths.gold_dims}/dim_location")
@@ -178,7 +212,7 @@ def load_dimensions(
 def read_star(spark: SparkSession, paths: Paths):
     """The loaded warehouse as a ``Star``: fact and dimensions read from their tables
     (seeded code dimensions are literal rows)."""
-    from tripmart.operators.dims import MAX_CALENDAR_DAYS, payment_type_dim, rate_code_dim, vendor_dim
+    from tripmart.operators.dims import MAX_CALENDAR_DAYS
     from tripmart.plans.star import Star
 
     dim_date = spark.read.parquet(f"{paths.gold_dims}/dim_date")
