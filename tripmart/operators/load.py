@@ -24,17 +24,21 @@ def replace_partitions(
     path: str,
     by: Sequence[str] = ("source_year", "source_month"),
     cluster_by: Sequence[str] = (),
+    rebalance: bool = True,
 ) -> None:
     """Overwrite only the partitions (``by`` values) present in ``df``.
 
-    Rows are rebalanced on the partition columns before the write: each period goes to
-    few writer tasks (few, large files instead of tasks x periods small ones), and AQE
-    splits an oversized period over several tasks, so a hot month never lands on a single
-    writer. ``cluster_by`` additionally sorts rows inside each file (e.g. by pickup date
-    key), so parquet min/max statistics prune row groups for range filters.
+    With ``rebalance`` (default) rows are rebalanced on the partition columns before the
+    write: each period goes to few writer tasks (few, large files instead of tasks x periods
+    small ones), and AQE splits an oversized period over several tasks, so a hot month never
+    lands on a single writer. Pass ``rebalance=False`` when the input is already clustered
+    by period (e.g. read from a table partitioned the same way): every input split then
+    covers whole files of one or a few periods and the write needs no shuffle at all.
+    ``cluster_by`` sorts rows inside each task's files (e.g. by pickup date key), so parquet
+    min/max statistics prune row groups for range filters.
     """
     by, cluster_by = list(by), list(cluster_by)
-    out = df.hint("rebalance", *by)
+    out = df.hint("rebalance", *by) if rebalance else df
     if cluster_by:
         out = out.sortWithinPartitions(*by, *cluster_by)
     (

@@ -148,7 +148,7 @@ def run_period(
     if enforce_gate:
         assert_gate(gate)
     fact = enforce_schema(build_fact(written), FACT_SCHEMA)
-    replace_partitions(fact, paths.gold_fact, PERIOD, cluster_by=["pickup_date_key"])
+    replace_partitions(fact, paths.gold_fact, PERIOD, cluster_by=["pickup_date_key"], rebalance=False)
     return gate
 
 
@@ -188,7 +188,7 @@ def backfill(
         periods = [(r.year, r.month) for r in gate.filter("passed").select("year", "month").collect()]
     loadable = written.filter(in_periods(periods))
     fact = enforce_schema(build_fact(loadable), FACT_SCHEMA)
-    replace_partitions(fact, paths.gold_fact, PERIOD, cluster_by=["pickup_date_key"])
+    replace_partitions(fact, paths.gold_fact, PERIOD, cluster_by=["pickup_date_key"], rebalance=False)
     return gate
 
 
