@@ -113,7 +113,11 @@ def in_periods(periods: list[tuple[int, int]], year_col: str = "source_year",
 def _load_silver_and_report(spark, paths, raw, run_id, processed_at, year=None, month=None):
     """Write silver for the periods in ``raw``, then the report from row counts."""
     silver = silver_trips(raw, run_id, processed_at, year, month, source_file=F.col("_source_file"))
-    replace_partitions(silver.drop("_source_file"), paths.silver, PERIOD)
+    # One month: after the dedupe shuffle every task holds rows of that month only, so each
+    # writes one file and no further shuffle is needed. Many months: rebalance by period so
+    # tasks do not each write a file into every month.
+    single = year is not None and month is not None
+    replace_partitions(silver.drop("_source_file"), paths.silver, PERIOD, rebalance=not single)
     inputs = _period_counts(raw, "year", "month")
     periods = [(y, m) for y, m, _ in inputs]
     written = spark.read.parquet(paths.silver).filter(in_periods(periods))
