@@ -87,10 +87,11 @@ def cast_failures(df: DataFrame, spec: ConformSpec) -> DataFrame:
 
 
 def schema_drift_report(spark: SparkSession, df: DataFrame, spec: ConformSpec) -> DataFrame:
-    """Compare a raw schema with the spec (metadata only, no data is read).
+    """Compare a raw feed with the spec.
 
     status: ``mapped`` (present under a spec name), ``missing`` (expected, absent) or
-    ``extra`` (present, not in the spec; passes through conform unchanged).
+    ``extra`` (present, not in the spec; passes through conform unchanged), plus
+    ``non_null_rows`` per present column from one aggregate over the data.
     """
     present = {c.lower(): c for c in df.columns}
     source_names = {k.lower(): k for k in spec.rename}
@@ -105,7 +106,13 @@ def schema_drift_report(spark: SparkSession, df: DataFrame, spec: ConformSpec) -
         if low not in source_names and low not in targets:
             rows.append((None, actual, None, "extra"))
     schema = "expected_column string, source_column string, target_column string, status string"
-    return spark.createDataFrame(rows, schema)
+    report = spark.createDataFrame(rows, schema)
+    # Data side of the drift check: a present but never-filled column is drift too.
+    counted = [c for c in df.columns]
+    filled = df.agg(*[F.count(F.col(c)).alias(c) for c in counted]).unpivot(
+        [], counted, "source_column", "non_null_rows"
+    )
+    return report.join(filled, "source_column", "left")
 
 
 def add_lineage(

@@ -49,7 +49,34 @@ def date_dim(
             F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)), F.expr("INTERVAL 1 DAY"))
         ).alias("full_date")
     )
-    dim = dates.select(
+    dim = _calendar_columns(dates)
+    if with_unknown:
+        unknown = spark.createDataFrame(
+            [(0, dt.date(1900, 1, 1), 0, UNKNOWN_TEXT, 0, 0, UNKNOWN_TEXT, 0, 0, False)],
+            DIM_DATE_SCHEMA,
+        )
+        dim = unknown.unionByName(dim)
+    return dim
+
+
+def date_dim_spanning(df: DataFrame, ts_cols: list[str]) -> DataFrame:
+    """Calendar covering whole years of every date in ``ts_cols`` of ``df``.
+
+    The bounds come from one global min/max aggregate and stay in Spark; the row count is
+    bounded by the days in the span, not by the size of ``df``.
+    """
+    lo = F.least(*[F.col(c) for c in ts_cols])
+    hi = F.greatest(*[F.col(c) for c in ts_cols])
+    bounds = df.agg(
+        F.trunc(F.to_date(F.min(lo)), "year").alias("lo"),
+        F.make_date(F.year(F.max(hi)), F.lit(12), F.lit(31)).alias("hi"),
+    )
+    dates = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("full_date"))
+    return _calendar_columns(dates)
+
+
+def _calendar_columns(dates: DataFrame) -> DataFrame:
+    return dates.select(
         date_key("full_date").alias("date_key"),
         "full_date",
         iso_weekday("full_date").alias("day_of_week"),
@@ -61,13 +88,18 @@ def date_dim(
         F.year("full_date").cast("int").alias("year"),
         is_weekend("full_date").alias("is_weekend"),
     )
-    if with_unknown:
-        unknown = spark.createDataFrame(
-            [(0, dt.date(1900, 1, 1), 0, UNKNOWN_TEXT, 0, 0, UNKNOWN_TEXT, 0, 0, False)],
-            DIM_DATE_SCHEMA,
-        )
-        dim = unknown.unionByName(dim)
-    return dim
+
+
+def seed_usage(dim: DataFrame, fact: DataFrame, key: str) -> DataFrame:
+    """A seeded dimension with the number of fact rows referencing each key (0 if none).
+
+    The fact is reduced to one row per key first (partial aggregation), then joined to the
+    handful of seed rows.
+    """
+    used = fact.groupBy(key).agg(F.count(F.lit(1)).alias("trips"))
+    return dim.join(used, key, "left").select(
+        *dim.columns, F.coalesce(F.col("trips"), F.lit(0)).cast("long").alias("trips")
+    )
 
 
 def location_dim(zones: DataFrame, with_unknown: bool = False) -> DataFrame:

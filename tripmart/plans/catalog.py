@@ -23,7 +23,7 @@ from tripmart.operators.conform import (
     schema_drift_report,
 )
 from tripmart.operators.dedupe import dedupe
-from tripmart.operators.dims import location_dim, scd1_upsert
+from tripmart.operators.dims import date_dim_spanning, location_dim, scd1_upsert, seed_usage
 from tripmart.operators.facts import build_fact, key_by_lookup
 from tripmart.operators.load import partition_counts, replace_partitions
 from tripmart.operators.quality import (
@@ -209,19 +209,25 @@ def q_quality_gate(spark, sf):
 
 
 def q_dim_date(spark, sf):
-    return _ctx(spark, sf).star.dim_date
+    """Calendar over the whole years the trips' pickup and dropoff dates span."""
+    return date_dim_spanning(_ctx(spark, sf).raw, ["tpep_pickup_datetime", "tpep_dropoff_datetime"])
+
+
+def _seed_with_usage(spark, sf, dim_attr: str, key: str):
+    star = _ctx(spark, sf).star
+    return seed_usage(getattr(star, dim_attr), star.fact, key)
 
 
 def q_dim_seed_rate_code(spark, sf):
-    return _ctx(spark, sf).star.dim_rate_code
+    return _seed_with_usage(spark, sf, "dim_rate_code", "rate_code_key")
 
 
 def q_dim_seed_payment_type(spark, sf):
-    return _ctx(spark, sf).star.dim_payment_type
+    return _seed_with_usage(spark, sf, "dim_payment_type", "payment_type_key")
 
 
 def q_dim_seed_vendor(spark, sf):
-    return _ctx(spark, sf).star.dim_vendor
+    return _seed_with_usage(spark, sf, "dim_vendor", "vendor_key")
 
 
 def q_key_or_unknown(spark, sf):
@@ -745,10 +751,27 @@ def _oracles() -> dict[str, str]:
         ),
         "quality_report": _sql("SELECT * FROM report", _REPORT_CTE.replace("{ds}", "yellow_tripdata")),
         "quality_gate": _sql("SELECT * FROM gate", _REPORT_CTE.replace("{ds}", "yellow_tripdata"), _gate_cte()),
-        "dim_date": _sql("SELECT * FROM dim_date"),
-        "dim_seed_rate_code": _sql("SELECT * FROM dim_rate_code"),
-        "dim_seed_payment_type": _sql("SELECT * FROM dim_payment_type"),
-        "dim_seed_vendor": _sql("SELECT * FROM dim_vendor"),
+        "dim_date": _sql(
+            "SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key, d AS full_date, "
+            "CAST(isodow(d) AS INTEGER) AS day_of_week, dayname(d) AS day_name, CAST(day(d) AS INTEGER) AS day_of_month, "
+            "CAST(month(d) AS INTEGER) AS month, monthname(d) AS month_name, CAST(quarter(d) AS INTEGER) AS quarter, "
+            "CAST(year(d) AS INTEGER) AS year, isodow(d) >= 6 AS is_weekend "
+            "FROM (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d FROM ("
+            "SELECT CAST(date_trunc('year', MIN(LEAST(tpep_pickup_datetime, tpep_dropoff_datetime))) AS DATE) AS lo, "
+            "make_date(year(MAX(GREATEST(tpep_pickup_datetime, tpep_dropoff_datetime))), 12, 31) AS hi FROM raw_trips))"
+        ),
+        "dim_seed_rate_code": _sql(
+            "SELECT d.*, CAST(COALESCE(u.trips, 0) AS BIGINT) AS trips FROM dim_rate_code d LEFT JOIN "
+            "(SELECT rate_code_key, COUNT(*) AS trips FROM fact GROUP BY rate_code_key) u USING (rate_code_key)"
+        ),
+        "dim_seed_payment_type": _sql(
+            "SELECT d.*, CAST(COALESCE(u.trips, 0) AS BIGINT) AS trips FROM dim_payment_type d LEFT JOIN "
+            "(SELECT payment_type_key, COUNT(*) AS trips FROM fact GROUP BY payment_type_key) u USING (payment_type_key)"
+        ),
+        "dim_seed_vendor": _sql(
+            "SELECT d.*, CAST(COALESCE(u.trips, 0) AS BIGINT) AS trips FROM dim_vendor d LEFT JOIN "
+            "(SELECT vendor_key, COUNT(*) AS trips FROM fact GROUP BY vendor_key) u USING (vendor_key)"
+        ),
         "key_or_unknown": _sql(
             "SELECT vendor_id, CAST(CASE WHEN vendor_id IN (1, 2) THEN vendor_id ELSE 0 END AS INTEGER) AS vendor_key, "
             "rate_code_id, CAST(CASE WHEN rate_code_id IN (1, 2, 3, 4, 5, 6) THEN rate_code_id ELSE 0 END AS INTEGER) AS rate_code_key, "
