@@ -104,8 +104,11 @@ def contract_lengths(tables: dict[str, DataFrame], limits=VARCHAR_LIMITS) -> Dat
     )
 
 
-def contract_unknown_row(dims: dict[str, DataFrame], keys: dict[str, str] | None = None) -> DataFrame:
-    """Per dimension: rows with key 0 (the unknown member should exist exactly once)."""
+def contract_unknown_row(dims: dict[str, DataFrame], keys: dict[str, str] | None = None,
+                         fact: DataFrame | None = None, fks=FACT_FOREIGN_KEYS) -> DataFrame:
+    """Per dimension: rows with key 0 (the unknown member should exist exactly once) and,
+    with ``fact``, how many fact rows point at key 0 through that dimension's foreign keys
+    (one pass over the fact)."""
     keys = keys or DIM_KEYS
     out = None
     for name, df in dims.items():
@@ -113,7 +116,24 @@ def contract_unknown_row(dims: dict[str, DataFrame], keys: dict[str, str] | None
             F.lit(name).alias("table_name"), F.col("unknown_rows").cast("long").alias("unknown_rows")
         )
         out = part if out is None else out.unionByName(part)
-    return out.withColumn("has_single_unknown", F.col("unknown_rows") == 1)
+    out = out.withColumn("has_single_unknown", F.col("unknown_rows") == 1)
+    if fact is None:
+        return out
+    by_dim: dict[str, list[str]] = {}
+    for col, table, _ in fks:
+        by_dim.setdefault(table, []).append(col)
+    def on_unknown(cols: list[str]):
+        cond = F.col(cols[0]) == 0
+        for c in cols[1:]:
+            cond = cond | (F.col(c) == 0)
+        return cond
+
+    hits = fact.agg(*[
+        F.count_if(on_unknown(cols)).alias(table) for table, cols in by_dim.items()
+    ]).unpivot([], list(by_dim), "table_name", "fact_rows_on_unknown")
+    return out.join(hits, "table_name", "left").withColumn(
+        "fact_rows_on_unknown", F.coalesce(F.col("fact_rows_on_unknown"), F.lit(0)).cast("long")
+    )
 
 
 def unique_business_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

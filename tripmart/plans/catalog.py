@@ -413,7 +413,11 @@ def q_contract_foreign_keys(spark, sf):
 
 
 def q_contract_unique_dims(spark, sf):
-    return contracts.contract_unique_keys(_ctx(spark, sf).star.dims())
+    """Primary keys of the five dimensions and of the fact (its rerun-stable trip key)."""
+    c = _ctx(spark, sf)
+    star = c.star
+    fact = build_fact(c.silver, with_trip_key=True)
+    return contracts.contract_unique_keys({**star.dims(), "fact_trip": fact}, {**DIM_KEYS, "fact_trip": "trip_key"})
 
 
 def q_contract_unique_trips(spark, sf):
@@ -426,7 +430,8 @@ def q_contract_lengths(spark, sf):
 
 
 def q_contract_unknown_row(spark, sf):
-    return contracts.contract_unknown_row(_ctx(spark, sf).star.dims())
+    star = _ctx(spark, sf).star
+    return contracts.contract_unknown_row(star.dims(), fact=star.fact)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -690,11 +695,14 @@ def _fk_sql() -> str:
 
 
 def _unique_dims_sql() -> str:
+    # The fact's trip key is a hash of (period, business key): it is unique exactly when
+    # that tuple is (barring a hash collision, which is what the contract would reveal).
+    fact_key = "source_year, source_month, " + ", ".join(TRIP_KEYS)
     return _union([
         f"SELECT '{t}' AS table_name, CAST(count_if(n > 1) AS BIGINT) AS duplicate_keys, "
         f"CAST(COALESCE(SUM(CASE WHEN n > 1 THEN n END), 0) AS BIGINT) AS duplicate_rows "
-        f"FROM (SELECT COUNT(*) AS n FROM {t} GROUP BY {k})"
-        for t, k in DIM_KEYS.items()
+        f"FROM (SELECT COUNT(*) AS n FROM {src} GROUP BY {k})"
+        for t, src, k in [*[(t, t, k) for t, k in DIM_KEYS.items()], ("fact_trip", "silver", fact_key)]
     ])
 
 
@@ -711,11 +719,18 @@ def _lengths_sql() -> str:
 
 
 def _unknown_row_sql() -> str:
-    return _union([
-        f"SELECT '{t}' AS table_name, CAST(count_if({k} = 0) AS BIGINT) AS unknown_rows, "
-        f"count_if({k} = 0) = 1 AS has_single_unknown FROM {t}"
-        for t, k in DIM_KEYS.items()
-    ])
+    fk_cols: dict[str, list[str]] = {}
+    for c, t, _ in FACT_FOREIGN_KEYS:
+        fk_cols.setdefault(t, []).append(c)
+    parts = []
+    for t, k in DIM_KEYS.items():
+        hit = " OR ".join(f"{c} = 0" for c in fk_cols[t])
+        parts.append(
+            f"SELECT '{t}' AS table_name, CAST(count_if({k} = 0) AS BIGINT) AS unknown_rows, "
+            f"count_if({k} = 0) = 1 AS has_single_unknown, "
+            f"(SELECT CAST(count_if({hit}) AS BIGINT) FROM fact) AS fact_rows_on_unknown FROM {t}"
+        )
+    return _union(parts)
 
 
 def _oracles() -> dict[str, str]:
