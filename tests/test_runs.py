@@ -215,3 +215,21 @@ def test_quality_reports_latest_run_wins(spark, tmp_root):
     got = {(r.year, r.month): r.accepted_rows for r in read_quality_report(spark, root).collect()}
     assert got == {(2024, 1): 10, (2024, 2): 9}
     assert read_quality_report(spark, root, 2024, 2).first().acceptance_rate_pct == 90.0
+
+
+def test_rerun_with_no_accepted_rows_empties_the_month(spark, tmp_root):
+    p = _paths(tmp_root)
+    write_bronze(_valid_month(spark, 1200, 2024, 1).unionByName(_valid_month(spark, 30, 2024, 2)), p.bronze)
+    run_period(spark, p, 2024, 1, "r1")
+    backfill(spark, p, "r1", periods=[(2024, 2)], enforce_gate=False)
+    # January is re-landed with only invalid trips (negative distance)
+    _valid_month(spark, 50, 2024, 1, bad=50).write.mode("overwrite").parquet(f"{p.bronze}/year=2024/month=1")
+    run_period(spark, p, 2024, 1, "r2", enforce_gate=False)
+    counts = {(r.source_year, r.source_month): r.rows for r in partition_counts(spark, p.gold_fact).collect()}
+    assert counts.get((2024, 1), 0) == 0 and counts[(2024, 2)] == 30
+    assert spark.read.parquet(p.silver).filter("source_month = 1").count() == 0
+    # the same through a multi-month backfill: February re-landed empty of valid trips
+    _valid_month(spark, 20, 2024, 2, bad=20).write.mode("overwrite").parquet(f"{p.bronze}/year=2024/month=2")
+    backfill(spark, p, "r3", enforce_gate=False)
+    assert spark.read.parquet(p.gold_fact).count() == 0
+    assert spark.read.parquet(p.silver).count() == 0

@@ -51,6 +51,38 @@ def replace_partitions(
     )
 
 
+def period_leaf(root: str, year: int, month: int,
+                by: Sequence[str] = ("source_year", "source_month")) -> str:
+    """Directory of one period in a table written with ``partitionBy(*by)``."""
+    return f"{root.rstrip('/')}/{by[0]}={year}/{by[1]}={month}"
+
+
+def replace_period(
+    df: DataFrame,
+    root: str,
+    year: int,
+    month: int,
+    by: Sequence[str] = ("source_year", "source_month"),
+    cluster_by: Sequence[str] = (),
+) -> None:
+    """Replace exactly one period of a partitioned table: "delete the period, then load".
+
+    Writes into the period's own directory with a static overwrite, so the period is
+    replaced even when ``df`` is empty (a dynamic overwrite would leave the old rows of a
+    period that produced no output). Other periods are never touched.
+    """
+    out = df.drop(*by)
+    if cluster_by:
+        out = out.sortWithinPartitions(*cluster_by)
+    (
+        out.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .option("compression", "snappy")
+        .parquet(period_leaf(root, year, month, by))
+    )
+
+
 def enforce_schema(df: DataFrame, schema: StructType) -> DataFrame:
     """Match a target table's column list and types by name (the explicit-column COPY).
 

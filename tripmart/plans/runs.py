@@ -29,6 +29,7 @@ from tripmart.operators.dims import (
 from tripmart.operators.facts import build_fact
 from tripmart.operators.load import (
     enforce_schema,
+    replace_period,
     read_quality_report,
     replace_partitions,
     write_dimension,
@@ -110,25 +111,46 @@ def in_periods(periods: list[tuple[int, int]], year_col: str = "source_year",
     return (F.col(year_col) * 100 + F.col(month_col)).isin(codes) if codes else F.lit(False)
 
 
+def _empty_periods(spark, schema, root, periods, accepted) -> None:
+    done = {(y, m) for y, m, _ in accepted}
+    for y, m in periods:
+        if (y, m) not in done:
+            replace_period(spark.createDataFrame([], schema), root, y, m)
+
+
 def _load_silver_and_report(spark, paths, raw, run_id, processed_at, year=None, month=None):
     """Write silver for the periods in ``raw``, then the report from row counts."""
     silver = silver_trips(raw, run_id, processed_at, year, month, source_file=F.col("_source_file"))
-    # One month: after the dedupe shuffle every task holds rows of that month only, so each
-    # writes one file and no further shuffle is needed. Many months: rebalance by period so
-    # tasks do not each write a file into every month.
+    silver = silver.drop("_source_file")
     single = year is not None and month is not None
-    replace_partitions(silver.drop("_source_file"), paths.silver, PERIOD, rebalance=not single)
+    if single:
+        # One month: after the dedupe shuffle every task holds rows of that month only, so
+        # each writes one file straight into the month's directory (replaced even if empty).
+        replace_period(silver, paths.silver, year, month)
+    else:
+        # Many months: rebalance by period so tasks do not each write a file into every month.
+        replace_partitions(silver, paths.silver, PERIOD)
     inputs = _period_counts(raw, "year", "month")
     periods = [(y, m) for y, m, _ in inputs]
+    # Count only rows this run wrote (its processed_at stamp): a month that now produces no
+    # rows is not rewritten by a dynamic overwrite and still holds an earlier run's rows.
+    this_run = spark.read.parquet(paths.silver).filter(
+        in_periods(periods) & (F.col("processed_at_utc") == F.lit(processed_at))
+    )
+    accepted = _period_counts(this_run, "source_year", "source_month")
+    if not single:
+        # Months of this run with no accepted rows: empty their silver directory too, so a
+        # re-run never leaves the rows of an earlier run behind.
+        _empty_periods(spark, silver.schema, paths.silver, periods, accepted)
+    # Fresh read (file listing taken after all silver writes of this run).
     written = spark.read.parquet(paths.silver).filter(in_periods(periods))
-    accepted = _period_counts(written, "source_year", "source_month")
     schema = "year int, month int, rows long"
     report = quality_report_from_counts(
         spark.createDataFrame(inputs, schema), spark.createDataFrame(accepted, schema),
         processed_at=processed_at,
     )
     write_quality_report(report, paths.quality)
-    return written, report, periods
+    return written, report, periods, accepted
 
 
 def run_period(
@@ -147,12 +169,12 @@ def run_period(
     configure(spark)
     processed_at = dt.datetime.now(dt.UTC).isoformat()
     raw = _with_source_file(read_raw_trips(spark, paths.bronze, year, month))
-    written, _, _ = _load_silver_and_report(spark, paths, raw, run_id, processed_at, year, month)
+    written, _, _, _ = _load_silver_and_report(spark, paths, raw, run_id, processed_at, year, month)
     gate = quality_gate(read_quality_report(spark, paths.quality, year, month))
     if enforce_gate:
         assert_gate(gate)
     fact = enforce_schema(build_fact(written), FACT_SCHEMA)
-    replace_partitions(fact, paths.gold_fact, PERIOD, cluster_by=["pickup_date_key"], rebalance=False)
+    replace_period(fact, paths.gold_fact, year, month, cluster_by=["pickup_date_key"])
     return gate
 
 
@@ -179,7 +201,7 @@ def backfill(
     if periods:
         raw = raw.filter(in_periods(periods, "year", "month"))  # partition pruning
     raw = _with_source_file(raw)
-    written, report, periods = _load_silver_and_report(spark, paths, raw, run_id, processed_at)
+    written, report, periods, accepted = _load_silver_and_report(spark, paths, raw, run_id, processed_at)
 
     gate_kwargs = {}
     if min_rows is not None:
@@ -193,6 +215,7 @@ def backfill(
     loadable = written.filter(in_periods(periods))
     fact = enforce_schema(build_fact(loadable), FACT_SCHEMA)
     replace_partitions(fact, paths.gold_fact, PERIOD, cluster_by=["pickup_date_key"], rebalance=False)
+    _empty_periods(spark, fact.schema, paths.gold_fact, periods, accepted)
     return gate
 
 
