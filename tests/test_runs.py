@@ -233,3 +233,12 @@ def test_rerun_with_no_accepted_rows_empties_the_month(spark, tmp_root):
     backfill(spark, p, "r3", enforce_gate=False)
     assert spark.read.parquet(p.gold_fact).count() == 0
     assert spark.read.parquet(p.silver).count() == 0
+
+
+def test_incremental_stream_records_failing_month_without_loading(spark, tmp_root):
+    p = _paths(tmp_root)
+    write_bronze(_valid_month(spark, 1200, 2024, 1).unionByName(_valid_month(spark, 1100, 2024, 2, bad=100)), p.bronze)
+    run_incremental(spark, p, "inc", f"{tmp_root}/ckpt")  # gate enforced by default
+    assert {(r.year, r.month) for r in processed_periods(spark, p).collect()} == {(2024, 1)}
+    reports = {(r.year, r.month): r.accepted_rows for r in read_quality_report(spark, p.quality).collect()}
+    assert reports == {(2024, 1): 1200, (2024, 2): 1000}  # both months reported, one loaded
