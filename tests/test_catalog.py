@@ -5,14 +5,15 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry
-from tripmart.plans.catalog import ROWS_ONLY
+from tripmart.plans.catalog import ORACLE_SQL, QUERIES, ROWS_ONLY
 
 sys_path_ok = True
 TABLES = "region nation customer supplier part orders lineitem".split()
 
 
 def test_every_query_has_sql_or_is_rows_only():
-    q, o = entry.queries(), entry.oracle_sql()
+    q, o = QUERIES, ORACLE_SQL
+    assert set(q) <= set(entry.queries()) and set(o) <= set(entry.oracle_sql())
     assert set(q) == set(o) | ROWS_ONLY
     assert not (ROWS_ONLY & set(o))
 
@@ -51,10 +52,10 @@ def _rows(cols, rows):
     return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_sql(spark, duck, name):
-    df = entry.queries()[name](spark, SF_SMALL)
-    res = duck.execute(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, SF_SMALL)
+    res = duck.execute(ORACLE_SQL[name])
     d_cols = [c[0] for c in res.description]
     assert sorted(df.columns) == sorted(d_cols)
     assert _rows(df.columns, df.collect()) == _rows(d_cols, res.fetchall())
@@ -62,5 +63,5 @@ def test_query_matches_sql(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(ROWS_ONLY))
 def test_rows_only_queries_run(spark, name):
-    assert entry.queries()[name](spark, SF_SMALL).count() > 0
+    assert QUERIES[name](spark, SF_SMALL).count() > 0
     assert os.path.isdir(SF_SMALL)
