@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,10 +16,21 @@ from tripmart.session import scratch_dir
 TEXT_BATCH_ROWS = 128
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, as from a checkout
+    that isn't installed; elsewhere the package is installed on the cluster."""
+    root, environment = str(Path(__file__).parents[2]), spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def text_batches(spark: SparkSession, rows: int = TEXT_BATCH_ROWS) -> None:
-    """Lower the session's Arrow batch size to ``rows``; a smaller setting stays.
+    """Get the session ready for tasks on whole texts: workers can import the package, and
+    Arrow batches have ``rows`` rows at most (a smaller setting stays).
 
     The setting is read when a plan runs, so it has to stay in the session."""
+    importable(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if now <= 0 or now > rows:

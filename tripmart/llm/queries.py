@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.llm.bpe import bpe_decode, bpe_encode
 from tripmart.llm.exact_dedup import exact_dedup
+from tripmart.llm.packing import pack_documents
+from tripmart.llm.secret_scan import BASE_RULES, scan_secrets
 from tripmart.llm.simhash import hex_of, simhash_dedup
+from tripmart.llm.token_store import read_shards, write_shards
 from tripmart.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +47,50 @@ WINDOW same AS (PARTITION BY t)
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup(table(spark, sf_dir, "documents"), shingle=4, max_distance=4)
     return found.select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = bpe_encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return bpe_decode(coded, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return pack_documents(table(spark, sf_dir, "documents"), path, end_id=0, capacity=2048).drop("ids")
+
+
+@query
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def joined(spans: Column) -> Column:
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))),
+            ",",
+        )
+
+    def of(*kinds: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    base = [r.kind for r in BASE_RULES]
+    return scan_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *(F.size(of(k)).cast("long").alias(f"n_{k}") for k in base),
+        F.sha2(joined(of(*base)), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
+@query
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    manifest = write_shards(table(spark, sf_dir, "documents"), path, end_id=2)
+    return read_shards(spark, manifest).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
