@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tripmart.llm.bpe import bpe_decode, bpe_encode
 from tripmart.llm.exact_dedup import exact_dedup
 from tripmart.llm.packing import pack_documents
+from tripmart.llm.quality import fit_quality, id_remainder, score_quality
 from tripmart.llm.secret_scan import BASE_RULES, scan_secrets
 from tripmart.llm.simhash import hex_of, simhash_dedup
 from tripmart.llm.token_store import read_shards, write_shards
@@ -49,6 +50,18 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"))
+    return score_quality(docs, model).select(
+        "doc_id",
+        (id_remainder(F.col("doc_id")) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
