@@ -9,12 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm.bpe import bpe_decode, bpe_encode
+from tripmart.llm.embedding_dedup import embedding_dedup
 from tripmart.llm.exact_dedup import exact_dedup
 from tripmart.llm.packing import pack_documents
 from tripmart.llm.quality import fit_quality, id_remainder, score_quality
 from tripmart.llm.secret_scan import BASE_RULES, scan_secrets
 from tripmart.llm.simhash import hex_of, simhash_dedup
 from tripmart.llm.token_store import read_shards, write_shards
+from tripmart.llm.warc import read_warc, write_warc
 from tripmart.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +46,33 @@ WINDOW same AS (PARTITION BY t)
 """
 
 
+@query
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+ORACLE_SQL["op2_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x,
+         sqrt(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda c: c * c))) AS norm
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL)) = 0
+), ok AS (SELECT * FROM v WHERE norm > 0 AND isfinite(norm)),
+link AS (
+  SELECT a.vec_id AS u, b.vec_id AS w FROM ok a JOIN ok b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  AND list_inner_product(a.x, b.x) / (a.norm * b.norm) >= 0.93
+), reach AS (
+  SELECT vec_id AS u, vec_id AS r FROM embeddings
+  UNION
+  SELECT reach.u, link.w FROM reach JOIN link ON reach.r = link.u
+), low AS (SELECT u, min(r) AS component_id FROM reach GROUP BY u),
+n AS (SELECT u, count(*) AS n FROM link GROUP BY u)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, low.component_id, e.vec_id = low.component_id AS kept
+FROM embeddings e JOIN low ON low.u = e.vec_id LEFT JOIN n ON n.u = e.vec_id
+"""
+
+
 @query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup(table(spark, sf_dir, "documents"), shingle=4, max_distance=4)
@@ -74,6 +103,37 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = write_warc(table(spark, sf_dir, "pages"), least_bytes=0)
+    return read_warc(spark, manifest).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+# base32 by hand: four bits for each hex digit of the SHA-1, then a letter for each five bits
+ORACLE_SQL["op7_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+b AS (
+  SELECT page_id, t, array_to_string(list_transform(range(1, 41), lambda i: substr(
+    '0000000100100011010001010110011110001001101010111100110111101111',
+    4 * (strpos('0123456789abcdef', substr(sha1(t), CAST(i AS INT), 1)) - 1) + 1, 4)), '') AS bits
+  FROM p
+), d AS (
+  SELECT page_id, t, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + 16 * CAST(substr(bits, CAST(5 * i + 1 AS INT), 1) AS INT) + 8 * CAST(substr(bits, CAST(5 * i + 2 AS INT), 1) AS INT)
+      + 4 * CAST(substr(bits, CAST(5 * i + 3 AS INT), 1) AS INT) + 2 * CAST(substr(bits, CAST(5 * i + 4 AS INT), 1) AS INT)
+      + CAST(substr(bits, CAST(5 * i + 5 AS INT), 1) AS INT), 1)), '') AS payload_digest,
+    max(page_id) OVER (PARTITION BY t) AS first
+  FROM b
+)
+SELECT page_id, octet_length(encode(t)) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d
+"""
+
+
 @query
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
