@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tripmart.llm.bpe import bpe_decode, bpe_encode
 from tripmart.llm.embedding_dedup import embedding_dedup
 from tripmart.llm.exact_dedup import exact_dedup
+from tripmart.llm.line_dedup import line_dedup
 from tripmart.llm.packing import pack_documents
 from tripmart.llm.quality import fit_quality, id_remainder, score_quality
 from tripmart.llm.secret_scan import BASE_RULES, scan_secrets
@@ -103,6 +104,12 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", "text")
+
+
 @query
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_warc(table(spark, sf_dir, "pages"), least_bytes=0)
