@@ -49,15 +49,16 @@ def test_dedupe_hot_key_is_partially_aggregated(spark):
 
 
 def test_calendar_dimension(spark):
-    dim = date_dim(spark, "2024-01-01", "2024-01-07")
+    dim = date_dim(spark, "2026-03-02", "2026-03-08")
     rows = {r.date_key: r for r in dim.collect()}
     assert len(rows) == 7
-    mon, sun = rows[20240101], rows[20240107]
+    mon, sun = rows[20260302], rows[20260308]
     assert (mon.day_of_week, mon.day_name, mon.is_weekend) == (1, "Monday", False)
     assert (sun.day_of_week, sun.day_name, sun.is_weekend) == (7, "Sunday", True)
-    assert (mon.month_name, mon.quarter, mon.year, mon.full_date) == ("January", 1, 2024, dt.date(2024, 1, 1))
+    assert (mon.month_name, mon.quarter, mon.year, mon.full_date) == ("March", 1, 2026, dt.date(2026, 3, 2))
     assert date_dim(spark, "2020-01-01", "2030-12-31").count() == 4018
-    assert date_dim(spark, "2024-01-01", "2024-01-07", with_unknown=True).filter("date_key = 0").count() == 1
+    assert date_dim(spark, "1800-01-01", "2030-12-31").count() == 84371
+    assert date_dim(spark, "2026-03-02", "2026-03-08", with_unknown=True).filter("date_key = 0").count() == 1
 
 
 def test_location_dimension_natural_key_and_unknown(spark):
@@ -149,7 +150,7 @@ def test_fact_schema_is_enforced_before_load(spark):
     from tripmart.operators.load import enforce_schema
     from tripmart.schemas import FACT_SCHEMA
 
-    fact = build_fact(_silver(spark))
+    fact = build_fact(_silver(spark), with_trip_key=True)
     assert enforce_schema(fact.select(*reversed(fact.columns)), FACT_SCHEMA).columns == FACT_SCHEMA.fieldNames()
     with pytest.raises(Exception):
         enforce_schema(fact.drop("trip_distance"), FACT_SCHEMA)

@@ -242,3 +242,130 @@ def test_incremental_stream_records_failing_month_without_loading(spark, tmp_roo
     assert {(r.year, r.month) for r in processed_periods(spark, p).collect()} == {(2024, 1)}
     reports = {(r.year, r.month): r.accepted_rows for r in read_quality_report(spark, p.quality).collect()}
     assert reports == {(2024, 1): 1200, (2024, 2): 1000}  # both months reported, one loaded
+
+
+def _facts(spark, p):
+    return {(r.source_year, r.source_month): r.rows for r in partition_counts(spark, p.gold_fact).collect()}
+
+
+def test_month_without_source_is_skipped_and_keeps_its_facts(spark, tmp_root):
+    import shutil
+
+    p = _paths(tmp_root)
+    write_bronze(_valid_month(spark, 1500, 2024, 1), p.bronze)
+    run_period(spark, p, 2024, 1, "r1")
+    shutil.rmtree(f"{p.bronze}/year=2024/month=1")
+    gate = run_period(spark, p, 2024, 1, "r2").first()
+    assert (gate.passed, gate.gate_reason) == (False, "source_missing")
+    assert _facts(spark, p) == {(2024, 1): 1500}
+    write_bronze(_valid_month(spark, 1200, 2024, 2), p.bronze)
+    rows = {(r.year, r.month): r.gate_reason for r in backfill(spark, p, "r3", periods=[(2024, 2), (2024, 7)]).collect()}
+    assert rows == {(2024, 2): "ok", (2024, 7): "source_missing"}
+    assert _facts(spark, p) == {(2024, 1): 1500, (2024, 2): 1200}
+    nothing = Paths(*(f"{tmp_root}/none/{k}" for k in "abcde"))
+    assert run_period(spark, nothing, 2024, 1, "r1").first().gate_reason == "source_missing"
+
+
+def test_first_backfill_without_an_accepted_row(spark, tmp_root):
+    p = _paths(tmp_root)
+    write_bronze(_valid_month(spark, 50, 2024, 1, bad=50), p.bronze)
+    gate = backfill(spark, p, "r1").first()
+    assert (gate.accepted_rows, gate.passed) == (0, False)
+
+
+def test_gate_needs_a_report_of_each_expected_period(spark):
+    from tripmart.operators.quality import assert_gate
+    from tripmart.plans.runs import GATE_SCHEMA
+
+    gate = spark.createDataFrame([("d", 2024, 1, 2000, 0.0, True, "ok")], GATE_SCHEMA)
+    assert_gate(gate, [(2024, 1)])
+    with pytest.raises(ValueError, match="2024-02: no quality report"):
+        assert_gate(gate, [(2024, 1), (2024, 2)])
+
+
+def test_failing_rewrite_leaves_the_old_rows(spark, tmp_root):
+    from tripmart.operators.load import replace_period
+
+    rows = _valid_month(spark, 100).withColumnsRenamed({"year": "source_year", "month": "source_month"})
+    replace_period(rows, f"{tmp_root}/t", 2024, 1, 100)
+    broken = rows.withColumn("fare_amount", F.when(F.col("total_amount") < 12, F.raise_error(F.lit("no"))).otherwise(1.0))
+    with pytest.raises(Exception, match="no"):
+        replace_period(broken, f"{tmp_root}/t", 2024, 1, 100)
+    assert spark.read.parquet(f"{tmp_root}/t").count() == 100
+    replace_period(rows.limit(0), f"{tmp_root}/t", 2024, 1, 0)
+    assert spark.read.parquet(f"{tmp_root}/t").count() == 0
+
+
+def test_uncastable_money_is_rejected(spark, tmp_root):
+    p = _paths(tmp_root)
+    huge = F.when(F.col("tpep_pickup_datetime") < F.lit("2024-01-01 02:00:00").cast("timestamp_ntz"), 1e12)
+    write_bronze(_valid_month(spark, 1500).withColumn("total_amount", huge.otherwise(F.col("total_amount"))), p.bronze)
+    gate = run_period(spark, p, 2024, 1, "r1", max_reject_pct=10.0).first()
+    assert gate.accepted_rows == 1380
+    fact = spark.read.parquet(p.gold_fact)
+    assert fact.filter("total_amount IS NULL").count() == 0
+    assert fact.select("trip_key").distinct().count() == 1380
+
+
+def test_months_of_other_schemas_run_together_and_alone(spark, tmp_root):
+    p = _paths(tmp_root)
+    old = _valid_month(spark, 1200, 2023, 1).withColumn("passenger_count", F.lit(1.0))
+    new = _valid_month(spark, 1300, 2024, 1).withColumn("cbd_fee", F.lit(0.75))
+    write_bronze(old, p.bronze)
+    write_bronze(new, p.bronze)
+    run_period(spark, p, 2024, 1, "r1")
+    backfill(spark, p, "r2")
+    assert _facts(spark, p) == {(2023, 1): 1200, (2024, 1): 1300}
+    silver = spark.read.option("mergeSchema", "true").parquet(p.silver)
+    assert silver.filter("cbd_fee = 0.75").count() == 1300 and silver.filter("passenger_count = 1").count() == 2500
+
+
+def _land(spark, df, root, name):
+    """One file under the given name in its month's folder, as a downloader leaves it."""
+    import glob
+    import os
+    import shutil
+
+    aside = f"{root}-aside-{name}"
+    df.drop("year", "month").coalesce(1).write.parquet(aside)
+    folder = f"{root}/year=2024/month=1"
+    os.makedirs(folder, exist_ok=True)
+    shutil.copy(glob.glob(f"{aside}/part-*.parquet")[0], f"{folder}/{name}")
+
+
+def test_corrected_landing_supersedes_the_month(spark, tmp_root):
+    p = _paths(tmp_root)
+    _land(spark, _valid_month(spark, 1500), p.bronze, "yellow_tripdata_2024-01.parquet")
+    run_incremental(spark, p, "inc", f"{tmp_root}/ckpt")
+    assert _facts(spark, p) == {(2024, 1): 1500}
+    corrected = _valid_month(spark, 1500).withColumn("total_amount", F.col("total_amount") + 1)
+    _land(spark, corrected, p.bronze, "yellow_tripdata_2024-01.20240305T101500.parquet")
+    run_incremental(spark, p, "inc", f"{tmp_root}/ckpt")
+    assert _facts(spark, p) == {(2024, 1): 1500}
+    assert float(spark.read.parquet(p.gold_fact).agg(F.min("total_amount")).first()[0]) == 12.8
+
+
+def test_manifest_is_stored_and_decides_what_is_done(spark, tmp_root):
+    import hashlib
+
+    from tripmart.sources import manifest as m
+
+    p = _paths(tmp_root)
+    write_bronze(_valid_month(spark, 50, 2024, 1), p.bronze)
+    big = f"{p.bronze}/year=2024/month=2"
+    import os
+
+    os.makedirs(big)
+    with open(f"{big}/x.parquet", "wb") as f:
+        f.write(os.urandom(3 * m.CHUNK_BYTES + 17))
+    found = m.file_manifest(spark, p.bronze)
+    sums = {r.month: r.sha256_checksum for r in found.collect()}
+    with open(f"{big}/x.parquet", "rb") as f:
+        assert sums[2] == hashlib.sha256(f.read()).hexdigest()
+    m.write_manifest(found, f"{tmp_root}/manifest")
+    m.write_manifest(found.filter("month = 2").withColumn("status", F.lit("FAILED")), f"{tmp_root}/manifest")
+    stored = m.read_manifest(spark, f"{tmp_root}/manifest")
+    assert {r.month: r.status for r in stored.collect()} == {1: "SUCCESS", 2: "FAILED"}
+    loaded = spark.createDataFrame([(2024, 1), (2024, 1), (2024, 2)], "year int, month int")
+    assert [tuple(r) for r in m.completed_periods(stored, loaded).collect()] == [(2024, 1)]
+    assert m.completed_periods(stored, loaded.filter("month = 2")).count() == 0

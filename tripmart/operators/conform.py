@@ -2,14 +2,16 @@
 
 Order of operations per mapped column: rename -> ``try_cast`` to the target type ->
 ``coalesce`` with the default. A value that cannot be cast therefore becomes NULL (and is
-imputed where a default exists) instead of failing the job; ``cast_failures`` counts such
-values per column in a single pass. Missing columns are tolerated and unmapped columns
+imputed where a default exists) instead of failing the job; ``conform_with_rejects`` names
+such columns per row, so that the pipeline rejects those rows, and ``cast_failures`` counts
+them per column in a single pass. Missing columns are tolerated and unmapped columns
 pass through unchanged. All mapped columns are rewritten in one projection.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,8 +49,11 @@ def conform(df: DataFrame, spec: ConformSpec) -> DataFrame:
     return df.withColumns(exprs) if exprs else df
 
 
-def conform_with_rejects(df: DataFrame, spec: ConformSpec,
-                         reject_col: str = "cast_failed_columns") -> DataFrame:
+#: Per-row array of the mapped columns whose value could not be cast.
+CAST_FAILED = "cast_failed_columns"
+
+
+def conform_with_rejects(df: DataFrame, spec: ConformSpec, reject_col: str = CAST_FAILED) -> DataFrame:
     """:func:`conform` plus a per-row array naming the mapped columns whose non-null source
     value could not be cast (empty when the row converted cleanly). Both are computed in the
     same projection from the raw values."""
@@ -67,6 +72,21 @@ def conform_with_rejects(df: DataFrame, spec: ConformSpec,
     return conform(flagged, spec)
 
 
+def conform_groups(groups: list[DataFrame], spec: ConformSpec) -> DataFrame:
+    """Frames of different raw schemas, each conformed with its rejects, as one frame.
+
+    A column that only some frames have is NULL in the others; one outside the spec that has
+    several types becomes text."""
+    frames = [conform_with_rejects(g, spec) for g in groups]
+    types: dict[str, set] = {}
+    for f in frames:
+        for field in f.schema.fields:
+            types.setdefault(field.name, set()).add(field.dataType)
+    mixed = {name for name, found in types.items() if len(found) > 1}
+    frames = [f.withColumns({c: F.col(c).cast("string") for c in mixed & set(f.columns)}) for f in frames]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def cast_failures(df: DataFrame, spec: ConformSpec) -> DataFrame:
     """Per mapped column: non-null source values that do not cast to the target type.
 

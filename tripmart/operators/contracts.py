@@ -25,35 +25,21 @@ def contract_foreign_keys(fact: DataFrame, dims: dict[str, DataFrame],
                           fks=FACT_FOREIGN_KEYS) -> DataFrame:
     """Fact rows whose key has no dimension row, per foreign key.
 
-    One fact scan: every row fans out to its (fk, value) pairs, partial aggregation
-    reduces them to distinct values per task before the shuffle, and only those distinct
-    values are anti-joined with the dimension keys.
+    One pass over the fact's key columns: each is left-joined to the distinct keys of its
+    dimension (how is left to the planner), and the unmatched rows are counted. A NULL key
+    has no dimension row either.
     """
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("fk"), F.col(c).cast("long").alias("v")) for c, _, _ in fks]
-    )
-    per_value = (
-        fact.select(F.explode(pairs).alias("p"))
-        .groupBy("p.fk", "p.v")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    keys = None
-    for c, table, key in fks:
-        k = dims[table].select(F.lit(c).alias("fk"), F.col(key).cast("long").alias("v"))
-        keys = k if keys is None else keys.unionByName(k)
-    dangling = per_value.join(keys.distinct(), ["fk", "v"], "left_anti").groupBy("fk").agg(
-        F.sum("n").alias("dangling_rows")
-    )
-    spark = fact.sparkSession
-    spec = spark.createDataFrame(
-        [(c, t, k) for c, t, k in fks], "fk string, dim_table string, dim_key string"
-    )
-    return spec.join(dangling, "fk", "left").select(
-        F.col("fk").alias("fk_column"),
-        "dim_table",
-        "dim_key",
-        F.coalesce(F.col("dangling_rows"), F.lit(0)).cast("long").alias("dangling_rows"),
-    )
+    rows = fact.select(*[c for c, _, _ in fks])
+    for k, (c, table, key) in enumerate(fks):
+        known = dims[table].select(F.col(key).alias(f"_k{k}")).distinct()
+        rows = rows.join(known, F.col(c) == F.col(f"_k{k}"), "left")
+    wide = rows.agg(*[F.count_if(F.col(f"_k{k}").isNull()).alias(f"_n{k}") for k in range(len(fks))])
+    found = F.array(*[
+        F.struct(F.lit(c).alias("fk_column"), F.lit(t).alias("dim_table"), F.lit(key).alias("dim_key"),
+                 F.col(f"_n{k}").alias("dangling_rows"))
+        for k, (c, t, key) in enumerate(fks)
+    ])
+    return wide.select(F.explode(found).alias("_r")).select("_r.*")
 
 
 def contract_unique_keys(tables: dict[str, DataFrame], keys: dict[str, Sequence[str] | str] | None = None) -> DataFrame:

@@ -1,8 +1,10 @@
 """Sinks: idempotent partition replacement, bounded dimension tables, report files.
 
-``replace_partitions`` is the warehouse's "delete period, then copy" made atomic per
-partition directory: dynamic partition overwrite rewrites only the periods present in the
-output, all other periods stay untouched, and re-running a period yields the same data.
+``replace_partitions`` is the warehouse's "delete period, then copy" by dynamic partition
+overwrite: the new files are written aside and take the place of a period's directory when
+the whole write has succeeded, so a task that fails leaves the old rows. Only the periods
+present in the output are replaced; re-running a period yields the same data. A period that
+is to become empty is emptied by name (``clear_period``), never by a write that had no rows.
 """
 
 from __future__ import annotations
@@ -57,30 +59,28 @@ def period_leaf(root: str, year: int, month: int,
     return f"{root.rstrip('/')}/{by[0]}={year}/{by[1]}={month}"
 
 
+def clear_period(spark: SparkSession, schema: StructType, root: str, year: int, month: int,
+                 by: Sequence[str] = ("source_year", "source_month")) -> None:
+    """Empty one period of a partitioned table: the decision that it has no rows."""
+    spark.createDataFrame([], schema).drop(*by).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static").parquet(period_leaf(root, year, month, by))
+
+
 def replace_period(
     df: DataFrame,
     root: str,
     year: int,
     month: int,
+    rows: int,
     by: Sequence[str] = ("source_year", "source_month"),
     cluster_by: Sequence[str] = (),
 ) -> None:
-    """Replace exactly one period of a partitioned table: "delete the period, then load".
-
-    Writes into the period's own directory with a static overwrite, so the period is
-    replaced even when ``df`` is empty (a dynamic overwrite would leave the old rows of a
-    period that produced no output). Other periods are never touched.
-    """
-    out = df.drop(*by)
-    if cluster_by:
-        out = out.sortWithinPartitions(*cluster_by)
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .option("compression", "snappy")
-        .parquet(period_leaf(root, year, month, by))
-    )
+    """Replace exactly one period of a partitioned table by ``df``, which has ``rows`` rows of
+    that period; none empties it. Other periods are never touched."""
+    if rows:
+        replace_partitions(df, root, by, cluster_by, rebalance=False)
+    else:
+        clear_period(df.sparkSession, df.schema, root, year, month, by)
 
 
 def enforce_schema(df: DataFrame, schema: StructType) -> DataFrame:
@@ -96,9 +96,10 @@ def enforce_schema(df: DataFrame, schema: StructType) -> DataFrame:
     return df.to(schema)
 
 
-def write_dimension(df: DataFrame, path: str) -> None:
-    """SCD0/SCD1 dimension: full overwrite as one file (dimensions are bounded)."""
-    df.coalesce(1).write.mode("overwrite").option("compression", "snappy").parquet(path)
+def write_dimension(df: DataFrame, path: str, one_file: bool = True) -> None:
+    """SCD0/SCD1 dimension: full overwrite, as one file where its size is bounded."""
+    out = df.coalesce(1) if one_file else df
+    out.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
 def write_quality_report(report: DataFrame, root: str) -> None:
@@ -112,9 +113,12 @@ def write_quality_report(report: DataFrame, root: str) -> None:
 
 
 def read_quality_report(spark: SparkSession, root: str, year: int | None = None,
-                        month: int | None = None) -> DataFrame:
-    """Latest report per period (by ``processed_at_utc``), optionally one period."""
+                        month: int | None = None, processed_at: str | None = None) -> DataFrame:
+    """Latest report per period (by ``processed_at_utc``), optionally of one period or of the
+    run that was processed at a time."""
     df = spark.read.schema(QUALITY_REPORT_SCHEMA).json(root)
+    if processed_at is not None:
+        df = df.filter(F.col("processed_at_utc") == F.lit(processed_at))
     if year is not None:
         df = df.filter(F.col("year") == year)
     if month is not None:

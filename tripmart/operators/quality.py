@@ -40,8 +40,10 @@ def trip_rules(
     year: int | None = None,
     month: int | None = None,
     period_cols: tuple[str, str] | None = ("year", "month"),
+    cast_failed: str | None = None,
 ) -> list[Rule]:
-    """Valid trip = pickup inside its month AND dropoff after pickup AND 0 <= distance < 500.
+    """Valid trip = pickup inside its month AND dropoff after pickup AND 0 <= distance < 500,
+    and, where ``cast_failed`` names the array of uncastable columns, every value was cast.
 
     The month is fixed (``year``/``month``) for a single-period run, or taken per row from
     ``period_cols`` when many periods are processed together; ``period_cols=None`` with no
@@ -60,6 +62,8 @@ def trip_rules(
             & (F.col("trip_distance") < F.lit(MAX_DISTANCE)),
         )
     )
+    if cast_failed is not None:
+        rules.append(Rule("values_cast", F.size(cast_failed) == 0))
     return rules
 
 
@@ -191,9 +195,13 @@ def quality_gate(
     )
 
 
-def assert_gate(gate: DataFrame) -> None:
-    """Raise if any period failed the gate (collects only the failing gate rows)."""
-    failed = gate.filter(~F.col("passed")).select("year", "month", "gate_reason").collect()
+def assert_gate(gate: DataFrame, expected: Sequence[tuple[int, int]] = ()) -> None:
+    """Raise if any period failed the gate, or if an ``expected`` (year, month) has no gate row
+    (one short row per period reaches the driver)."""
+    rows = gate.select("year", "month", "passed", "gate_reason").collect()
+    failed = [(r.year, r.month, r.gate_reason) for r in rows if not r.passed]
+    there = {(r.year, r.month) for r in rows}
+    failed += [(y, m, "no quality report") for y, m in expected if (y, m) not in there]
     if failed:
-        detail = ", ".join(f"{r.year:04d}-{r.month:02d}: {r.gate_reason}" for r in failed)
+        detail = ", ".join(f"{y:04d}-{m:02d}: {reason}" for y, m, reason in failed)
         raise ValueError(f"quality gate failed for {detail}")

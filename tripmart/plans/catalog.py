@@ -17,15 +17,18 @@ from pyspark.sql import types as T
 
 from tripmart.operators import contracts, profile
 from tripmart.operators.conform import (
+    CAST_FAILED,
     cast_failures,
     conform,
+    conform_groups,
+    conform_with_rejects,
     conform_zone_lookup,
     schema_drift_report,
 )
 from tripmart.operators.dedupe import dedupe
-from tripmart.operators.dims import date_dim_spanning, location_dim, scd1_upsert, seed_usage
+from tripmart.operators.dims import date_dim, date_dim_spanning, location_dim, scd1_upsert, seed_usage
 from tripmart.operators.facts import build_fact, key_by_lookup
-from tripmart.operators.load import partition_counts, replace_partitions
+from tripmart.operators.load import partition_counts, read_quality_report, replace_partitions
 from tripmart.operators.quality import (
     quality_gate,
     quality_report,
@@ -33,37 +36,63 @@ from tripmart.operators.quality import (
     trip_rules,
 )
 from tripmart.plans import marts, reports
-from tripmart.plans.oracle import M6, R, money_as_double, prelude, with_ctes
+from tripmart.plans.oracle import (
+    DIM_KEYS as SQL_DIM_KEYS,
+    FACT_FOREIGN_KEYS as SQL_FOREIGN_KEYS,
+    M6,
+    R,
+    TRIP_KEYS as SQL_TRIP_KEYS,
+    VARCHAR_LIMITS as SQL_LIMITS,
+    money_as_double,
+    prelude,
+    with_ctes,
+)
+from tripmart.plans.runs import Paths, backfill, run_period
 from tripmart.plans.star import Star, dims_for, silver_trips, valid_trips
 from tripmart.functions.keys import key_or_unknown
 from tripmart.schemas import (
     DIM_KEYS,
-    FACT_FOREIGN_KEYS,
     PAYMENT_TYPE_KEYS,
     RATE_CODE_KEYS,
     TRIP_KEYS,
     TRIP_SPEC,
-    VARCHAR_LIMITS,
     VENDOR_KEYS,
 )
 from tripmart.session import configure, scratch_dir
 from tripmart.sources import adapter
-from tripmart.sources.manifest import file_manifest, pending_periods, period_spine, period_spine_of
-from tripmart.sources.raw import read_zone_lookup_csv, write_bronze, write_zone_lookup_csv
+from tripmart.sources.manifest import (
+    completed_periods,
+    file_manifest,
+    pending_periods,
+    period_spine,
+    period_spine_of,
+    read_manifest,
+    write_manifest,
+)
+from tripmart.sources.raw import (
+    read_raw_groups,
+    read_raw_trips,
+    read_zone_lookup_csv,
+    write_bronze,
+    write_zone_lookup_csv,
+)
 
-# Parameters of the catalogued runs (calendar covering the test tables' dates, a fixed
-# run id and processing time so results are reproducible, a sample period for the
-# single-month operators).
+# Parameters of the catalogued runs (the months asked for, a calendar narrower than the
+# data, a fixed run id and processing time so results are reproducible, a sample period for
+# the single-month operators, gate limits that the test tables' months fall on both sides of).
 CALENDAR = ("1995-01-01", "2001-12-31")
+NARROW = ("1996-07-01", "1997-06-30")
+GATE = {"min_rows": 320, "max_reject_pct": 61.0}
 RUN_ID = "run-catalog"
 PROCESSED_AT = "2024-01-01T00:00:00+00:00"
 PERIOD = (1997, 2)
 
-PRE = prelude(CALENDAR, RUN_ID, PROCESSED_AT)
+PRE = prelude(None, RUN_ID, PROCESSED_AT)
+PRE_NARROW = prelude(NARROW, RUN_ID, PROCESSED_AT)
 
 
-def _sql(body: str, *extra: str) -> str:
-    return with_ctes(PRE, body, list(extra))
+def _sql(body: str, *extra: str, pre: list[str] = PRE) -> str:
+    return with_ctes(pre, body, list(extra))
 
 
 # ---------------------------------------------------------------------------------------
@@ -92,9 +121,41 @@ class Ctx:
     def silver(self) -> DataFrame:
         return silver_trips(self.raw, RUN_ID, PROCESSED_AT)
 
+    @property
+    def dim_date(self) -> DataFrame:
+        return date_dim_spanning(self.raw, ["tpep_pickup_datetime", "tpep_dropoff_datetime"])
+
     @property
     def star(self) -> Star:
-        return Star(fact=build_fact(self.silver), **dims_for(self.spark, self.raw_zones, CALENDAR))
+        return Star(fact=build_fact(self.silver), **dims_for(self.spark, self.raw_zones, self.dim_date))
+
+    @property
+    def narrow_star(self) -> Star:
+        """A calendar that doesn't cover the trips: a left join keeps them, an inner one doesn't."""
+        calendar = date_dim(self.spark, *NARROW)
+        return Star(fact=build_fact(self.silver), **dims_for(self.spark, self.raw_zones, calendar))
+
+    @property
+    def gap_star(self) -> Star:
+        """No trips in any May, so the month before June isn't the month before in the data."""
+        star = self.star
+        star.fact = star.fact.filter("source_month <> 5")
+        return star
+
+    @property
+    def dirty(self) -> DataFrame:
+        """Raw trips with faults of each kind: uncastable money, rows in another month's file
+        and trips that end before they begin."""
+        swap = F.col("VendorID") == 4
+        return self.raw.withColumns({
+            "total_amount": F.when(F.col("VendorID") == 6, "n/a").otherwise(F.col("total_amount").cast("string")),
+            "month": F.when(F.col("VendorID") == 5, F.col("month") % 12 + 1).otherwise(F.col("month")),
+            "tpep_dropoff_datetime": F.when(swap, F.col("tpep_pickup_datetime")).otherwise(F.col("tpep_dropoff_datetime")),
+        })
+
+    def paths(self) -> Paths:
+        root = scratch_dir(self.spark, "warehouse")
+        return Paths(*(f"{root}/{d}" for d in ("bronze", "silver", "quality", "fact", "dims")))
 
     @property
     def zones(self) -> DataFrame:
@@ -122,7 +183,22 @@ def _no_insert_ts(df: DataFrame) -> DataFrame:
 
 
 def q_scan_raw_trips(spark, sf):
-    return _doubles(_ctx(spark, sf).raw)
+    """Land the months as files and scan them."""
+    root = scratch_dir(spark, "bronze")
+    write_bronze(_ctx(spark, sf).raw, root)
+    return _doubles(read_raw_trips(spark, root))
+
+
+def q_scan_drifting_months(spark, sf):
+    """Months whose files differ: before 1996 the passenger count is a double, from 1997 on
+    money is text and a column more is there. All are conformed to one frame, losing none."""
+    raw, root = _ctx(spark, sf).raw, scratch_dir(spark, "bronze")
+    old = raw.filter("year < 1996").withColumn("passenger_count", F.col("passenger_count").cast("double"))
+    new = raw.filter("year >= 1997").withColumn("total_amount", F.col("total_amount").cast("string"))
+    for frame in (old, raw.filter("year = 1996"), new.withColumn("cbd_congestion_fee", F.lit(0.75))):
+        write_bronze(frame, root)
+    found = conform_groups(read_raw_groups(spark, root), TRIP_SPEC)
+    return _doubles(found.withColumn("cast_failures", F.size(CAST_FAILED)).drop(CAST_FAILED))
 
 
 def q_conform_trips(spark, sf):
@@ -133,6 +209,10 @@ def q_cast_failures(spark, sf):
     return cast_failures(_ctx(spark, sf).raw, TRIP_SPEC)
 
 
+def q_cast_failures_dirty(spark, sf):
+    return cast_failures(_ctx(spark, sf).dirty, TRIP_SPEC)
+
+
 def q_lineage_columns(spark, sf):
     return _doubles(_ctx(spark, sf).silver)
 
@@ -159,6 +239,14 @@ def q_dim_location_scd1_upsert(spark, sf):
     return scd1_upsert(current, incoming, "location_key")
 
 
+def q_dim_location_scd1_changed(spark, sf):
+    """Every second zone comes in again under another name: its row is replaced."""
+    c = _ctx(spark, sf)
+    current = location_dim(c.zones, with_unknown=True)
+    incoming = location_dim(c.zones).filter("location_id % 2 = 0").withColumn("zone", F.concat("zone", F.lit(" (new)")))
+    return scd1_upsert(current, incoming, "location_key")
+
+
 def q_schema_drift_report(spark, sf):
     return schema_drift_report(spark, _ctx(spark, sf).raw, TRIP_SPEC)
 
@@ -182,6 +270,16 @@ def q_reject_reasons(spark, sf):
     return reject_reason_counts(_ctx(spark, sf).conformed, trip_rules())
 
 
+def q_reject_reasons_dirty(spark, sf):
+    rows = conform_with_rejects(_ctx(spark, sf).dirty, TRIP_SPEC)
+    return reject_reason_counts(rows, trip_rules(cast_failed=CAST_FAILED))
+
+
+def q_filter_valid_trips_dirty(spark, sf):
+    """Uncastable values, other months' rows and reversed trips don't get through."""
+    return _doubles(valid_trips(_ctx(spark, sf).dirty))
+
+
 def q_dedupe_trips(spark, sf):
     valid = valid_trips(_ctx(spark, sf).raw)
     return _doubles(dedupe(valid, ["year", "month", *TRIP_KEYS]))
@@ -203,6 +301,46 @@ def q_quality_gate(spark, sf):
     return quality_gate(q_quality_report(spark, sf))
 
 
+def q_quality_gate_limits(spark, sf):
+    """The same report under limits that some months pass and others fail for either reason."""
+    return quality_gate(q_quality_report(spark, sf), **GATE)
+
+
+def q_pipeline_backfill(spark, sf):
+    """The whole pipeline: months land as files, are checked, reported, gated, and the passing
+    ones loaded. One row per month: its report, its verdict and its rows in the fact."""
+    c = _ctx(spark, sf)
+    paths = c.paths()
+    write_bronze(c.raw, paths.bronze)
+    gate = backfill(spark, paths, RUN_ID, **GATE)
+    report = read_quality_report(spark, paths.quality).drop("processed_at_utc", "dataset", "accepted_rows")
+    loaded = partition_counts(spark, paths.gold_fact).select(
+        F.col("source_year").cast("int").alias("year"), F.col("source_month").cast("int").alias("month"),
+        F.col("rows").alias("fact_rows"))
+    return gate.drop("dataset").join(report, ["year", "month"]).join(loaded, ["year", "month"], "left").withColumn(
+        "fact_rows", F.coalesce("fact_rows", F.lit(0)))
+
+
+def q_pipeline_rerun(spark, sf):
+    """Load a quarter, land one of its months anew with other rows and run that month again,
+    and run a month that never landed: the quarter's fact rows and the skipped run's row."""
+    c = _ctx(spark, sf)
+    paths, (y, m) = c.paths(), PERIOD
+    write_bronze(c.raw.filter(F.col("year") == y).filter(F.col("month").isin(m - 1, m, m + 1)), paths.bronze)
+    backfill(spark, paths, RUN_ID, enforce_gate=False)
+    changed = c.raw.filter((F.col("year") == y) & (F.col("month") == m) & (F.col("VendorID") <= 3))
+    write_bronze(changed.withColumn("total_amount", (F.col("total_amount") * 2).cast("decimal(10,2)")), paths.bronze)
+    run_period(spark, paths, y, m, RUN_ID, enforce_gate=False)
+    skipped = run_period(spark, paths, y + 50, m, RUN_ID)
+    fact = spark.read.parquet(paths.gold_fact).groupBy("source_year", "source_month").agg(
+        F.count("*").alias("rows"), F.countDistinct("trip_key").alias("trip_keys"),
+        F.sum("total_amount").cast("double").alias("total_revenue_usd"))
+    return fact.select(F.col("source_year").cast("int").alias("year"), F.col("source_month").cast("int").alias("month"),
+                       "rows", "trip_keys", "total_revenue_usd", F.lit("loaded").alias("status")).unionByName(
+        skipped.select("year", "month", F.lit(0).cast("long").alias("rows"), F.lit(0).cast("long").alias("trip_keys"),
+                       F.lit(None).cast("double").alias("total_revenue_usd"), F.col("gate_reason").alias("status")))
+
+
 # ---------------------------------------------------------------------------------------
 # Dimensions and fact
 # ---------------------------------------------------------------------------------------
@@ -254,6 +392,7 @@ def q_fact_trips(spark, sf):
 
 
 def q_fact_trip_key(spark, sf):
+    """Every accepted trip under its key."""
     return _doubles(_no_insert_ts(build_fact(_ctx(spark, sf).silver, with_trip_key=True)))
 
 
@@ -275,11 +414,46 @@ def q_pending_periods(spark, sf):
     return pending_periods(requested, available, done)
 
 
+def q_pending_periods_done(spark, sf):
+    """Months count as done when the stored manifest says so and the loaded table has them:
+    here the manifest is of all months but the Junes, whose file failed, and each fourth
+    month isn't loaded."""
+    c = _ctx(spark, sf)
+    root = scratch_dir(spark, "bronze")
+    write_bronze(c.raw, root)
+    status = F.when(F.col("month") == 6, "FAILED").otherwise(F.col("status"))
+    stored = scratch_dir(spark, "manifest")
+    write_manifest(file_manifest(spark, root).withColumn("status", status), stored)
+    loaded = c.silver.select(F.col("source_year").cast("int").alias("year"), F.col("source_month").cast("int").alias("month"))
+    done = completed_periods(read_manifest(spark, stored), loaded.filter("month % 4 <> 0"))
+    available = read_manifest(spark, stored).select("year", "month")
+    return pending_periods(period_spine(spark, *CALENDAR).select("year", "month"), available, done)
+
+
 def q_file_manifest(spark, sf):
+    """Landed files audited, one row per month (how many files a month has is the writer's)."""
     c = _ctx(spark, sf)
     root = scratch_dir(spark, "bronze")
     write_bronze(c.raw, root)
-    return file_manifest(spark, root)
+    return file_manifest(spark, root).groupBy("dataset", "year", "month").agg(
+        (F.count("*") > 0).alias("has_files"),
+        F.bool_and(F.col("file_size_bytes") > 0).alias("sizes_ok"),
+        F.bool_and(F.col("sha256_checksum").rlike("^[0-9a-f]{64}$")).alias("checksums_ok"),
+        (F.countDistinct("sha256_checksum") == F.countDistinct("source_path")).alias("checksums_differ"),
+        F.min("status").alias("status"),
+    )
+
+
+def q_replace_partition_changed(spark, sf):
+    """As above with other rows: the period's are gone, the new ones are there."""
+    fact = _ctx(spark, sf).star.fact
+    path = scratch_dir(spark, "fact")
+    replace_partitions(fact, path)
+    y, m = PERIOD
+    rerun = fact.filter((F.col("source_year") == y) & (F.col("source_month") == m) & (F.col("total_amount") > 20000))
+    replace_partitions(rerun.withColumn("tip_amount", (F.col("tip_amount") + 1).cast("decimal(10,2)")), path, cluster_by=["pickup_date_key"])
+    return spark.read.parquet(path).groupBy("source_year", "source_month").agg(
+        F.count("*").alias("rows"), F.sum("tip_amount").cast("double").alias("tips"))
 
 
 def q_replace_partition(spark, sf):
@@ -304,6 +478,20 @@ def _mart(fn):
     return lambda spark, sf: fn(_ctx(spark, sf).star)
 
 
+def _narrow(fn):
+    return lambda spark, sf: fn(_ctx(spark, sf).narrow_star)
+
+
+def _gap(fn):
+    return lambda spark, sf: fn(_ctx(spark, sf).gap_star)
+
+
+def q_unknown_dropoff_zones_gap(spark, sf):
+    """A lookup without every fifth zone: the trips that end there are reported."""
+    c = _ctx(spark, sf)
+    return profile.unknown_zones(c.raw, "DOLocationID", c.zones.filter("location_id % 5 <> 0"))
+
+
 def q_report_kpi(spark, sf):
     return reports.report_kpi(marts.mart_mom(_ctx(spark, sf).star))
 
@@ -436,20 +624,28 @@ def q_contract_unknown_row(spark, sf):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_raw_trips": q_scan_raw_trips,
+    "scan_drifting_months": q_scan_drifting_months,
     "conform_trips": q_conform_trips,
     "cast_failures": q_cast_failures,
+    "cast_failures_dirty": q_cast_failures_dirty,
     "lineage_columns": q_lineage_columns,
     "conform_zone_lookup": q_conform_zone_lookup,
     "dim_location": q_dim_location,
     "dim_location_scd1_upsert": q_dim_location_scd1_upsert,
+    "dim_location_scd1_changed": q_dim_location_scd1_changed,
     "schema_drift_report": q_schema_drift_report,
     "filter_month_window": q_filter_month_window,
     "filter_valid_trips": q_filter_valid_trips,
+    "filter_valid_trips_dirty": q_filter_valid_trips_dirty,
     "reject_reasons": q_reject_reasons,
+    "reject_reasons_dirty": q_reject_reasons_dirty,
     "dedupe_trips": q_dedupe_trips,
     "dedupe_lineitem": q_dedupe_lineitem,
     "quality_report": q_quality_report,
     "quality_gate": q_quality_gate,
+    "quality_gate_limits": q_quality_gate_limits,
+    "pipeline_backfill": q_pipeline_backfill,
+    "pipeline_rerun": q_pipeline_rerun,
     "dim_date": q_dim_date,
     "dim_seed_rate_code": q_dim_seed_rate_code,
     "dim_seed_payment_type": q_dim_seed_payment_type,
@@ -460,9 +656,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_trip_key": q_fact_trip_key,
     "period_spine": q_period_spine,
     "pending_periods": q_pending_periods,
+    "pending_periods_done": q_pending_periods_done,
     "file_manifest": q_file_manifest,
     "replace_partition": q_replace_partition,
+    "replace_partition_changed": q_replace_partition_changed,
     "monthly_kpi": _mart(marts.monthly_kpi),
+    "monthly_recap_narrow_calendar": _narrow(marts.monthly_recap),
+    "mart_daily_narrow_calendar": _narrow(marts.mart_daily),
+    "mart_mom_gap": _gap(marts.mart_mom),
+    "mart_mom_calendar_gap": _gap(lambda s: marts.mart_mom(s, calendar=True)),
     "monthly_recap": _mart(marts.monthly_recap),
     "top_pickup_zones": _mart(marts.top_pickup_zones),
     "tip_by_payment": _mart(marts.tip_by_payment),
@@ -495,6 +697,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_bad_duration": q_profile_bad_duration,
     "unknown_pickup_zones": q_unknown_pickup_zones,
     "unknown_dropoff_zones": q_unknown_dropoff_zones,
+    "unknown_dropoff_zones_gap": q_unknown_dropoff_zones_gap,
     "contract_not_null": q_contract_not_null,
     "contract_foreign_keys": q_contract_foreign_keys,
     "contract_unique_dims": q_contract_unique_dims,
@@ -503,9 +706,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "contract_unknown_row": q_contract_unknown_row,
 }
 
-# No SQL: file-system metadata (drift report, manifest), engine-specific hash (trip key),
-# display strings (locale-dependent formatting).
-ROWS_ONLY = {"schema_drift_report", "file_manifest", "fact_trip_key", "report_formatted"}
+# Queries without SQL.
+ROWS_ONLY: set[str] = set()
 
 
 # ---------------------------------------------------------------------------------------
@@ -554,18 +756,18 @@ def _union(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def _rollup_cte() -> str:
+def _rollup_cte(fact: str = "fact") -> str:
     return f"""mom_rollup AS (
     SELECT d.year, d.month, d.month_name, COUNT(*) AS total_trips, SUM(f.total_amount) AS rev,
         {R("AVG(f.trip_distance)")} AS avg_distance_miles,
         {R(f"AVG(CAST(f.trip_duration_seconds AS DOUBLE) / CAST(60.0 AS DOUBLE))")} AS avg_duration_minutes,
         {R("CAST(SUM(f.tip_amount) AS DOUBLE) / COUNT(f.tip_amount)")} AS avg_tip_usd
-    FROM fact f LEFT JOIN dim_date d ON f.pickup_date_key = d.date_key
+    FROM {fact} f LEFT JOIN dim_date d ON f.pickup_date_key = d.date_key
     GROUP BY d.year, d.month, d.month_name
 )"""
 
 
-def _mom_ctes(calendar: bool) -> list[str]:
+def _mom_ctes(calendar: bool, fact: str = "fact") -> list[str]:
     if calendar:
         lagged = """mom_lagged AS (
     SELECT *,
@@ -589,7 +791,7 @@ def _mom_ctes(calendar: bool) -> list[str]:
         {_LABEL} AS period_label
     FROM mom_lagged
 )"""
-    return [_rollup_cte(), lagged, mom]
+    return [_rollup_cte(fact), lagged, mom]
 
 
 _ZONES_CTE = f"""zones_mart AS (
@@ -644,13 +846,13 @@ _REPORT_CTE = f"""report AS (
 )"""
 
 
-def _gate_cte() -> str:
+def _gate_cte(least: int = 1000, most: float = 5.0) -> str:
     return f"""gate AS (
     SELECT dataset, year, month, CAST(COALESCE(accepted_rows, 0) AS BIGINT) AS accepted_rows,
         {R("100.0 - COALESCE(acceptance_rate_pct, 0.0)")} AS rejection_rate_pct,
-        (COALESCE(accepted_rows, 0) >= 1000 AND 100.0 - COALESCE(acceptance_rate_pct, 0.0) <= 5.0) AS passed,
-        CASE WHEN COALESCE(accepted_rows, 0) < 1000 THEN 'too_few_rows'
-             WHEN 100.0 - COALESCE(acceptance_rate_pct, 0.0) > 5.0 THEN 'rejection_rate_too_high'
+        (COALESCE(accepted_rows, 0) >= {least} AND 100.0 - COALESCE(acceptance_rate_pct, 0.0) <= {most}) AS passed,
+        CASE WHEN COALESCE(accepted_rows, 0) < {least} THEN 'too_few_rows'
+             WHEN 100.0 - COALESCE(acceptance_rate_pct, 0.0) > {most} THEN 'rejection_rate_too_high'
              ELSE 'ok' END AS gate_reason
     FROM report
 )"""
@@ -690,26 +892,26 @@ def _fk_sql() -> str:
         f"SELECT '{c}' AS fk_column, '{t}' AS dim_table, '{k}' AS dim_key, "
         f"CAST(COUNT(*) AS BIGINT) AS dangling_rows FROM fact f "
         f"WHERE NOT EXISTS (SELECT 1 FROM {t} d WHERE d.{k} = f.{c})"
-        for c, t, k in FACT_FOREIGN_KEYS
+        for c, t, k in SQL_FOREIGN_KEYS
     ])
 
 
 def _unique_dims_sql() -> str:
     # The fact's trip key is a hash of (period, business key): it is unique exactly when
     # that tuple is (barring a hash collision, which is what the contract would reveal).
-    fact_key = "source_year, source_month, " + ", ".join(TRIP_KEYS)
+    fact_key = "source_year, source_month, " + ", ".join(SQL_TRIP_KEYS)
     return _union([
         f"SELECT '{t}' AS table_name, CAST(count_if(n > 1) AS BIGINT) AS duplicate_keys, "
         f"CAST(COALESCE(SUM(CASE WHEN n > 1 THEN n END), 0) AS BIGINT) AS duplicate_rows "
         f"FROM (SELECT COUNT(*) AS n FROM {src} GROUP BY {k})"
-        for t, src, k in [*[(t, t, k) for t, k in DIM_KEYS.items()], ("fact_trip", "silver", fact_key)]
+        for t, src, k in [*[(t, t, k) for t, k in SQL_DIM_KEYS.items()], ("fact_trip", "silver", fact_key)]
     ])
 
 
 def _lengths_sql() -> str:
     table_of = {"fact_trip": "fact"}
     parts = []
-    for t, c, n in VARCHAR_LIMITS:
+    for t, c, n in SQL_LIMITS:
         parts.append(
             f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(MAX(length({c})) AS INTEGER) AS max_length, "
             f"{n} AS max_allowed, COALESCE(MAX(length({c})) <= {n}, TRUE) AS within_limit "
@@ -720,10 +922,10 @@ def _lengths_sql() -> str:
 
 def _unknown_row_sql() -> str:
     fk_cols: dict[str, list[str]] = {}
-    for c, t, _ in FACT_FOREIGN_KEYS:
+    for c, t, _ in SQL_FOREIGN_KEYS:
         fk_cols.setdefault(t, []).append(c)
     parts = []
-    for t, k in DIM_KEYS.items():
+    for t, k in SQL_DIM_KEYS.items():
         hit = " OR ".join(f"{c} = 0" for c in fk_cols[t])
         parts.append(
             f"SELECT '{t}' AS table_name, CAST(count_if({k} = 0) AS BIGINT) AS unknown_rows, "
@@ -965,12 +1167,138 @@ def _oracles() -> dict[str, str]:
             "SELECT CAST(count_if(n > 1) AS BIGINT) AS duplicate_keys, "
             "CAST(COALESCE(SUM(CASE WHEN n > 1 THEN n END), 0) AS BIGINT) AS duplicate_rows FROM ("
             "SELECT COUNT(*) AS n FROM silver GROUP BY source_year, source_month, "
-            + ", ".join(TRIP_KEYS) + ")"
+            + ", ".join(SQL_TRIP_KEYS) + ")"
         ),
         "contract_lengths": _sql(_lengths_sql()),
         "contract_unknown_row": _sql(_unknown_row_sql()),
     }
-    return o
+    return o | _more_oracles(money)
+
+
+# The raw trips with the faults of ``Ctx.dirty``.
+_DIRTY = """(SELECT * REPLACE (
+    CASE WHEN VendorID = 6 THEN 'n/a' ELSE CAST(total_amount AS VARCHAR) END AS total_amount,
+    CAST(CASE WHEN VendorID = 5 THEN month % 12 + 1 ELSE month END AS INTEGER) AS month,
+    CASE WHEN VendorID = 4 THEN tpep_pickup_datetime ELSE tpep_dropoff_datetime END AS tpep_dropoff_datetime
+) FROM raw_trips)"""
+
+
+def _trip_key_text() -> str:
+    return "concat_ws('|', " + ", ".join(
+        f"coalesce(CAST({k} AS VARCHAR), '-')" for k in ("source_year", "source_month", *SQL_TRIP_KEYS)) + ")"
+
+
+def _with_keys(pre: list[str]) -> list[str]:
+    """The prelude with each accepted trip's key beside it, for the fact."""
+    at = next(k for k, c in enumerate(pre) if c.startswith("fact AS"))
+    return [*pre[:at], f"keyed AS (SELECT *, md5({_trip_key_text()}) AS trip_key FROM silver)", *pre[at:]]
+
+
+def _count_format(x: str, decimals: int) -> str:
+    return f"format('{{:,.{decimals}f}}', CAST({x} AS DOUBLE))"
+
+
+def _more_oracles(money: str) -> dict[str, str]:
+    report = _REPORT_CTE.replace("{ds}", "yellow_tripdata")
+    dirty = prelude(None, RUN_ID, PROCESSED_AT, _DIRTY)
+    rules = {**_RULES, "values_cast": "NOT bad"}
+    limits = _gate_cte(GATE["min_rows"], GATE["max_reject_pct"])
+    y, m = PERIOD
+    quarter = f"source_year = {y} AND source_month IN ({m - 1}, {m}, {m + 1})"
+    rerun = prelude(None, RUN_ID, PROCESSED_AT, f"(SELECT * REPLACE (CAST(total_amount * 2 AS DECIMAL(10,2)) AS total_amount) "
+                    f"FROM raw_trips WHERE year = {y} AND month = {m} AND VendorID <= 3)")
+    first_fact = with_ctes(PRE, f"SELECT * FROM fact WHERE {quarter} AND source_month <> {m}")
+    second_fact = with_ctes(rerun, "SELECT * FROM fact")
+    named = {src: tgt for tgt, (src, _) in _CAST_TARGET.items()}
+    return {
+        "scan_drifting_months": _sql(
+            f"SELECT {money}, CASE WHEN year >= 1997 THEN CAST(0.75 AS DOUBLE) END AS cbd_congestion_fee, "
+            "CAST(0 AS INTEGER) AS cast_failures FROM conformed"
+        ),
+        "cast_failures_dirty": _sql(_union([
+            f"SELECT '{tgt}' AS column_name, CAST(count_if({src} IS NOT NULL AND TRY_CAST({src} AS {typ}) IS NULL) AS BIGINT) AS failures FROM {_DIRTY}"
+            for tgt, (src, typ) in _CAST_TARGET.items()
+        ])),
+        "dim_location_scd1_changed": _sql(
+            "SELECT * REPLACE (CASE WHEN location_id % 2 = 0 THEN zone || ' (new)' ELSE zone END AS zone) FROM dim_location "
+            "UNION ALL SELECT 0, 0, 'Unknown', 'Unknown', 'Unknown'"
+        ),
+        "schema_drift_report": _sql(_union([
+            f"SELECT '{c}' AS expected_column, '{c}' AS source_column, '{named[c]}' AS target_column, 'mapped' AS status, "
+            f"COUNT({c}) AS non_null_rows FROM raw_trips" for c in _RAW_COLS if c in named
+        ] + [
+            f"SELECT NULL AS expected_column, '{c}' AS source_column, NULL AS target_column, 'extra' AS status, "
+            f"COUNT({c}) AS non_null_rows FROM raw_trips" for c in _RAW_COLS if c not in named
+        ])),
+        "filter_valid_trips_dirty": _sql(f"SELECT {money} FROM valid WHERE total_amount IS NOT NULL", pre=dirty),
+        "reject_reasons_dirty": _sql(_union([
+            f"SELECT '{n}' AS reason, CAST(count_if(NOT COALESCE({p}, FALSE)) AS BIGINT) AS rejected_rows "
+            "FROM (SELECT *, total_amount IS NULL AS bad FROM conformed)"
+            for n, p in rules.items()
+        ]), pre=dirty),
+        "quality_gate_limits": _sql("SELECT * FROM gate", report, limits),
+        "pipeline_backfill": _sql(
+            "SELECT g.year, g.month, g.accepted_rows, g.rejection_rate_pct, g.passed, g.gate_reason, r.total_input_rows, "
+            "r.rejected_rows, r.acceptance_rate_pct, CASE WHEN g.passed THEN g.accepted_rows ELSE 0 END AS fact_rows "
+            "FROM gate g JOIN report r ON g.year = r.year AND g.month = r.month", report, limits,
+        ),
+        "pipeline_rerun": (
+            "SELECT CAST(source_year AS INTEGER) AS year, CAST(source_month AS INTEGER) AS month, COUNT(*) AS rows, "
+            "COUNT(*) AS trip_keys, CAST(SUM(total_amount) AS DOUBLE) AS total_revenue_usd, 'loaded' AS status "
+            f"FROM (SELECT * FROM ({first_fact}) UNION ALL SELECT * FROM ({second_fact})) GROUP BY 1, 2 "
+            f"UNION ALL SELECT {y + 50}, {m}, 0, 0, NULL, 'source_missing'"
+        ),
+        "fact_trip_key": with_ctes(
+            [c.replace("FROM silver", "FROM keyed").replace("    SELECT\n        CAST(year(pickup", "    SELECT trip_key,\n        CAST(year(pickup")
+             if c.startswith("fact AS") else c for c in _with_keys(PRE)], f"SELECT {money} FROM fact", []),
+        "pending_periods_done": _sql(
+            f"SELECT CAST(year(p) AS INTEGER) AS year, CAST(month(p) AS INTEGER) AS month "
+            f"FROM (SELECT unnest(generate_series(DATE '{CALENDAR[0]}', DATE '{CALENDAR[1]}', INTERVAL 1 MONTH)) AS p) s "
+            f"WHERE EXISTS (SELECT 1 FROM raw_trips r WHERE r.year = year(s.p) AND r.month = month(s.p)) "
+            f"AND (month(p) = 6 OR month(p) % 4 = 0 OR NOT EXISTS "
+            f"(SELECT 1 FROM silver a WHERE a.source_year = year(s.p) AND a.source_month = month(s.p)))"
+        ),
+        "file_manifest": _sql(
+            "SELECT DISTINCT 'yellow_tripdata' AS dataset, year, month, TRUE AS has_files, TRUE AS sizes_ok, "
+            "TRUE AS checksums_ok, TRUE AS checksums_differ, 'SUCCESS' AS status FROM raw_trips"
+        ),
+        "replace_partition_changed": _sql(
+            f"SELECT source_year, source_month, COUNT(*) AS rows, CAST(SUM(tip_amount + CASE WHEN {quarter} AND source_month = {m} "
+            f"THEN 1 ELSE 0 END) AS DOUBLE) AS tips FROM fact WHERE NOT ({quarter} AND source_month = {m}) OR total_amount > 20000 "
+            "GROUP BY source_year, source_month"
+        ),
+        "monthly_recap_narrow_calendar": _sql(
+            "SELECT year, month_name, total_trips, total_revenue_usd, avg_distance_miles, avg_duration_minutes FROM ("
+            "SELECT d.year, d.month_name, f.source_year, f.source_month, COUNT(*) AS total_trips, "
+            "CAST(SUM(f.total_amount) AS DOUBLE) AS total_revenue_usd, "
+            f"{R('AVG(f.trip_distance)')} AS avg_distance_miles, {R(f'AVG({_MIN})')} AS avg_duration_minutes "
+            "FROM fact f LEFT JOIN dim_date d ON f.pickup_date_key = d.date_key "
+            "GROUP BY d.year, d.month_name, f.source_year, f.source_month)", pre=PRE_NARROW,
+        ),
+        "mart_daily_narrow_calendar": _sql(
+            "SELECT d.year, d.month, d.day_of_month, d.full_date, d.month_name, COUNT(*) AS total_trips, "
+            "CAST(SUM(f.total_amount) AS DOUBLE) AS total_revenue_usd, "
+            f"{R(f'AVG({_MIN})')} AS avg_duration_minutes, {R('AVG(f.trip_distance)')} AS avg_distance_miles, "
+            "d.month_name || ' ' || CAST(d.year AS VARCHAR) AS period_label, "
+            "substr(d.month_name, 1, 3) || ' ' || CAST(d.day_of_month AS VARCHAR) AS day_label "
+            "FROM fact f JOIN dim_date d ON f.pickup_date_key = d.date_key "
+            "GROUP BY d.year, d.month, d.day_of_month, d.full_date, d.month_name", pre=PRE_NARROW,
+        ),
+        "mart_mom_gap": _sql("SELECT * FROM mom", *_mom_ctes(False, "(SELECT * FROM fact WHERE source_month <> 5)")),
+        "mart_mom_calendar_gap": _sql("SELECT * FROM mom", *_mom_ctes(True, "(SELECT * FROM fact WHERE source_month <> 5)")),
+        "unknown_dropoff_zones_gap": _sql(
+            "SELECT DOLocationID AS location_id, COUNT(*) AS unmatched_rows FROM raw_trips r "
+            "WHERE NOT EXISTS (SELECT 1 FROM zones z WHERE z.location_id = r.DOLocationID AND z.location_id % 5 <> 0) "
+            "GROUP BY DOLocationID"
+        ),
+        "report_formatted": _sql(
+            f"SELECT payment_type_name, {_count_format('transaction_count', 0)} AS transaction_count, "
+            f"'$' || {_count_format(R('total_volume_usd'), 2)} AS total_volume_usd, "
+            f"COALESCE('$' || {_count_format(R('avg_tip_usd'), 2)}, '-') AS avg_tip_usd, "
+            f"COALESCE(printf('%.2f%%', {R('effective_tip_rate_pct')}), '-') AS effective_tip_rate_pct FROM payment_report",
+            _PAYMENT_CTE, _PAYMENT_REPORT_CTE,
+        ),
+    }
 
 
 ORACLE_SQL: dict[str, str] = _oracles()

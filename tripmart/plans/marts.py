@@ -40,12 +40,10 @@ def _fact(star: Star, period: tuple[int, int] | None = None) -> DataFrame:
 
 
 def _dates(star: Star, cols: list[str], key_alias: str, prefix: str = "") -> DataFrame:
-    """Calendar columns keyed by ``key_alias``; broadcast when its size is proven (capped
-    calendar range or a checked row count), otherwise left to the planner."""
-    d = star.dim_date.select(
+    """Calendar columns keyed by ``key_alias``; how they are joined is left to the planner."""
+    return star.dim_date.select(
         F.col("date_key").alias(key_alias), *[F.col(c).alias(prefix + c) for c in cols]
     )
-    return F.broadcast(d) if star.dates_bounded else d
 
 
 def _with_dates(fact: DataFrame, star: Star, cols: list[str], how: str, role: str = "pickup",

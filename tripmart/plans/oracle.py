@@ -11,15 +11,37 @@ would become 1.0 there and 1.01 in Spark).
 
 from __future__ import annotations
 
-from tripmart.schemas import (
-    DATASET_NAME,
-    PAYMENT_TYPE_SEED,
-    RATE_CODE_SEED,
-    TRIP_KEYS,
-    VENDOR_SEED,
-)
 from tripmart.sources.adapter import RAW_TRIPS_SQL, RAW_ZONE_SQL
 
+# Fixed values, stated here once more so that a wrong one in the library shows.
+DATASET_NAME = "yellow_tripdata"
+TRIP_KEYS = ("vendor_id", "pickup_datetime", "dropoff_datetime", "pu_location_id", "do_location_id", "total_amount")
+RATE_CODE_SEED = [
+    (0, 99, "Unknown / Unassigned"), (1, 1, "Standar rate"), (2, 2, "JFK"), (3, 3, "Newark"),
+    (4, 4, "Nassau or Westchester"), (5, 5, "Negotiated fare"), (6, 6, "Group ride"),
+]
+PAYMENT_TYPE_SEED = [
+    (0, 0, "Unknown / Flex Fare"), (1, 1, "Credit card"), (2, 2, "Cash"), (3, 3, "No charge"),
+    (4, 4, "Dispute"), (5, 5, "Unknown"), (6, 6, "Voided trip"),
+]
+VENDOR_SEED = [(0, 0, "Unknown Vendor"), (1, 1, "Creative Mobile Technologies, LLC"), (2, 2, "VeriFone Inc.")]
+FACT_FOREIGN_KEYS = [
+    ("pickup_date_key", "dim_date", "date_key"), ("dropoff_date_key", "dim_date", "date_key"),
+    ("pickup_location_key", "dim_location", "location_key"), ("dropoff_location_key", "dim_location", "location_key"),
+    ("rate_code_key", "dim_rate_code", "rate_code_key"), ("payment_type_key", "dim_payment_type", "payment_type_key"),
+    ("vendor_key", "dim_vendor", "vendor_key"),
+]
+DIM_KEYS = {
+    "dim_date": "date_key", "dim_location": "location_key", "dim_rate_code": "rate_code_key",
+    "dim_payment_type": "payment_type_key", "dim_vendor": "vendor_key",
+}
+VARCHAR_LIMITS = [
+    ("dim_date", "day_name", 10), ("dim_date", "month_name", 10), ("dim_location", "borough", 50),
+    ("dim_location", "zone", 100), ("dim_location", "service_zone", 50), ("dim_rate_code", "rate_code_name", 50),
+    ("dim_payment_type", "payment_type_name", 50), ("dim_vendor", "vendor_name", 100),
+    ("fact_trip", "store_and_fwd_flag", 1), ("fact_trip", "pipeline_run_id", 100),
+]
+
 MONEY_COLS = [
     "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
     "improvement_surcharge", "total_amount",
@@ -56,14 +78,7 @@ def _seed(name: str, rows, prefix: str) -> str:
     )
 
 
-def prelude(calendar: tuple[str, str], run_id: str, processed_at: str) -> list[str]:
-    keys = ", ".join(["year", "month", *TRIP_KEYS])
-    order = ", ".join(f"{c} NULLS FIRST" for c in DEDUPE_ORDER)
-    start, end = calendar
-    return [
-        RAW_TRIPS_SQL.strip(),
-        RAW_ZONE_SQL.strip(),
-        """conformed AS (
+CONFORMED_SQL = """conformed AS (
     SELECT
         TRY_CAST(VendorID AS INTEGER) AS vendor_id,
         TRY_CAST(tpep_pickup_datetime AS TIMESTAMP) AS pickup_datetime,
@@ -87,7 +102,29 @@ def prelude(calendar: tuple[str, str], run_id: str, processed_at: str) -> list[s
         year,
         month
     FROM raw_trips
-)""",
+)"""
+
+
+def _conformed(raw: str) -> str:
+    return CONFORMED_SQL.replace("FROM raw_trips", f"FROM {raw}")
+
+
+def prelude(calendar: tuple[str, str] | None, run_id: str, processed_at: str, raw: str = "raw_trips") -> list[str]:
+    """The pipeline's CTEs from the frame ``raw``, with the calendar of the given days or of
+    the whole years that the trips span."""
+    keys = ", ".join(["year", "month", *TRIP_KEYS])
+    order = ", ".join(f"{c} NULLS FIRST" for c in DEDUPE_ORDER)
+    if calendar is None:
+        days = (
+            "SELECT CAST(date_trunc('year', MIN(LEAST(tpep_pickup_datetime, tpep_dropoff_datetime))) AS DATE) AS lo, "
+            "make_date(year(MAX(GREATEST(tpep_pickup_datetime, tpep_dropoff_datetime))), 12, 31) AS hi FROM raw_trips"
+        )
+    else:
+        days = f"SELECT DATE '{calendar[0]}' AS lo, DATE '{calendar[1]}' AS hi"
+    return [
+        RAW_TRIPS_SQL.strip(),
+        RAW_ZONE_SQL.strip(),
+        _conformed(raw),
         """valid AS (
     SELECT * FROM conformed
     WHERE pickup_datetime >= make_timestamp(year, month, 1, 0, 0, 0)
@@ -137,7 +174,7 @@ def prelude(calendar: tuple[str, str], run_id: str, processed_at: str) -> list[s
         CAST(quarter(d) AS INTEGER) AS quarter,
         CAST(year(d) AS INTEGER) AS year,
         isodow(d) >= 6 AS is_weekend
-    FROM (SELECT CAST(unnest(generate_series(DATE '{start}', DATE '{end}', INTERVAL 1 DAY)) AS DATE) AS d)
+    FROM (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d FROM ({days}))
 )""",
         """zones AS (
     SELECT

@@ -7,6 +7,7 @@ into the fact.
 
 Counts for the report are taken from the data actually read and written (row counts of
 the bronze and silver partitions), so task retries and lost executors cannot inflate them.
+A month that never landed is skipped: nothing is written and its gate row says so.
 """
 
 from __future__ import annotations
@@ -15,10 +16,11 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.operators.conform import conform_zone_lookup
+from tripmart.operators.conform import conform_groups, conform_zone_lookup
 from tripmart.operators.dims import (
     date_dim,
     location_dim,
@@ -28,6 +30,7 @@ from tripmart.operators.dims import (
 )
 from tripmart.operators.facts import build_fact
 from tripmart.operators.load import (
+    clear_period,
     enforce_schema,
     replace_period,
     read_quality_report,
@@ -36,10 +39,18 @@ from tripmart.operators.load import (
     write_quality_report,
 )
 from tripmart.operators.quality import assert_gate, quality_gate, quality_report_from_counts
-from tripmart.plans.star import silver_trips
-from tripmart.schemas import CALENDAR_END, CALENDAR_START, FACT_SCHEMA
+from tripmart.plans.star import Star, silver_trips
+from tripmart.schemas import (
+    CALENDAR_END,
+    CALENDAR_START,
+    DATASET_NAME,
+    FACT_SCHEMA,
+    GATE_MAX_REJECT_PCT,
+    GATE_MIN_ROWS,
+    TRIP_SPEC,
+)
 from tripmart.session import configure
-from tripmart.sources.raw import read_raw_trips, read_zone_lookup_csv
+from tripmart.sources.raw import read_raw_groups, read_zone_lookup_csv
 
 PERIOD = ["source_year", "source_month"]
 
@@ -73,9 +84,11 @@ def register_tables(spark: SparkSession, paths: Paths, database: str = "warehous
     created = []
     for name, (path, partitioned) in tables.items():
         try:
-            spark.read.parquet(path).schema  # skip folders that were never written
-        except Exception:  # noqa: BLE001 - missing path
-            continue
+            spark.read.parquet(path).schema
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            continue  # never written
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} USING parquet LOCATION '{path}'")
         if partitioned:
             spark.sql(f"ALTER TABLE {database}.{name} RECOVER PARTITIONS")
@@ -94,8 +107,23 @@ def register_views(spark: SparkSession, paths: Paths) -> list[str]:
     return list(views)
 
 
-def _with_source_file(raw: DataFrame) -> DataFrame:
-    return raw.withColumn("_source_file", F.col("_metadata.file_path"))
+GATE_SCHEMA = (
+    "dataset string, year int, month int, accepted_rows long, rejection_rate_pct double, "
+    "passed boolean, gate_reason string"
+)
+
+
+def read_conformed(spark: SparkSession, root: str, periods: list[tuple[int, int]] | None = None) -> DataFrame | None:
+    """The landed months (or those of ``periods``) conformed, with their period, source file
+    and uncastable columns; None if none of them landed."""
+    groups = [g.withColumn("_source_file", F.col("_metadata.file_path")) for g in read_raw_groups(spark, root, periods)]
+    return conform_groups(groups, TRIP_SPEC) if groups else None
+
+
+def _missing(spark: SparkSession, periods: list[tuple[int, int]]) -> DataFrame:
+    """Gate rows of months that never landed."""
+    rows = [(DATASET_NAME, y, m, 0, None, False, "source_missing") for y, m in periods]
+    return spark.createDataFrame(rows, GATE_SCHEMA)
 
 
 def _period_counts(df: DataFrame, year_col: str, month_col: str) -> list[tuple[int, int, int]]:
@@ -111,46 +139,46 @@ def in_periods(periods: list[tuple[int, int]], year_col: str = "source_year",
     return (F.col(year_col) * 100 + F.col(month_col)).isin(codes) if codes else F.lit(False)
 
 
-def _empty_periods(spark, schema, root, periods, accepted) -> None:
+def _clear_without(spark, schema, root, periods, accepted) -> None:
+    """Empty the periods that this run found no accepted rows for."""
     done = {(y, m) for y, m, _ in accepted}
     for y, m in periods:
         if (y, m) not in done:
-            replace_period(spark.createDataFrame([], schema), root, y, m)
+            clear_period(spark, schema, root, y, m)
 
 
-def _load_silver_and_report(spark, paths, raw, run_id, processed_at, year=None, month=None):
-    """Write silver for the periods in ``raw``, then the report from row counts."""
-    silver = silver_trips(raw, run_id, processed_at, year, month, source_file=F.col("_source_file"))
+def _load_silver_and_report(spark, paths, trips, run_id, processed_at, year=None, month=None):
+    """Write silver for the periods in ``trips``, then the report from row counts."""
+    silver = silver_trips(trips, run_id, processed_at, year, month, source_file=F.col("_source_file"))
     silver = silver.drop("_source_file")
-    single = year is not None and month is not None
-    if single:
-        # One month: after the dedupe shuffle every task holds rows of that month only, so
-        # each writes one file straight into the month's directory (replaced even if empty).
-        replace_period(silver, paths.silver, year, month)
-    else:
-        # Many months: rebalance by period so tasks do not each write a file into every month.
-        replace_partitions(silver, paths.silver, PERIOD)
-    inputs = _period_counts(raw, "year", "month")
+    # One month: after the dedupe shuffle every task holds rows of that month only, so each
+    # writes one file. Many months: rebalance, so tasks don't each write into every month.
+    replace_partitions(silver, paths.silver, PERIOD, rebalance=year is None)
+    inputs = _period_counts(trips, "year", "month")
     periods = [(y, m) for y, m, _ in inputs]
     # Count only rows this run wrote (its processed_at stamp): a month that now produces no
-    # rows is not rewritten by a dynamic overwrite and still holds an earlier run's rows.
-    this_run = spark.read.parquet(paths.silver).filter(
+    # rows is not rewritten by a dynamic overwrite and still holds an earlier run's rows. The
+    # schema is given, as a first run may have written no file.
+    read = spark.read.schema(silver.schema)
+    this_run = read.parquet(paths.silver).filter(
         in_periods(periods) & (F.col("processed_at_utc") == F.lit(processed_at))
     )
     accepted = _period_counts(this_run, "source_year", "source_month")
-    if not single:
-        # Months of this run with no accepted rows: empty their silver directory too, so a
-        # re-run never leaves the rows of an earlier run behind.
-        _empty_periods(spark, silver.schema, paths.silver, periods, accepted)
+    # Months of this run with no accepted rows lose the rows of an earlier run.
+    _clear_without(spark, silver.schema, paths.silver, periods, accepted)
     # Fresh read (file listing taken after all silver writes of this run).
-    written = spark.read.parquet(paths.silver).filter(in_periods(periods))
+    written = read.parquet(paths.silver).filter(in_periods(periods))
     schema = "year int, month int, rows long"
     report = quality_report_from_counts(
         spark.createDataFrame(inputs, schema), spark.createDataFrame(accepted, schema),
         processed_at=processed_at,
     )
     write_quality_report(report, paths.quality)
-    return written, report, periods, accepted
+    return written, periods, accepted
+
+
+def _fact(written: DataFrame) -> DataFrame:
+    return enforce_schema(build_fact(written, with_trip_key=True), FACT_SCHEMA)
 
 
 def run_period(
@@ -160,21 +188,28 @@ def run_period(
     month: int,
     run_id: str,
     enforce_gate: bool = True,
+    min_rows: int = GATE_MIN_ROWS,
+    max_reject_pct: float = GATE_MAX_REJECT_PCT,
 ) -> DataFrame:
     """Process one month end to end; returns the period's gate row.
 
     Reads only that month's bronze partition; silver, report and fact partitions of the
-    month are replaced, nothing else is touched. A failed gate raises before gold.
+    month are replaced, nothing else is touched. A month without landed files is skipped:
+    nothing is written and the row's reason is ``source_missing``. The gate reads this run's
+    report; a failed gate, or no report, raises before gold.
     """
     configure(spark)
     processed_at = dt.datetime.now(dt.UTC).isoformat()
-    raw = _with_source_file(read_raw_trips(spark, paths.bronze, year, month))
-    written, _, _, _ = _load_silver_and_report(spark, paths, raw, run_id, processed_at, year, month)
-    gate = quality_gate(read_quality_report(spark, paths.quality, year, month))
+    trips = read_conformed(spark, paths.bronze, [(year, month)])
+    if trips is None:
+        return _missing(spark, [(year, month)])
+    written, _, accepted = _load_silver_and_report(spark, paths, trips, run_id, processed_at, year, month)
+    report = read_quality_report(spark, paths.quality, year, month, processed_at)
+    gate = quality_gate(report, min_rows, max_reject_pct)
     if enforce_gate:
-        assert_gate(gate)
-    fact = enforce_schema(build_fact(written), FACT_SCHEMA)
-    replace_period(fact, paths.gold_fact, year, month, cluster_by=["pickup_date_key"])
+        assert_gate(gate, [(year, month)])
+    rows = sum(n for *_, n in accepted)
+    replace_period(_fact(written), paths.gold_fact, year, month, rows, cluster_by=["pickup_date_key"])
     return gate
 
 
@@ -183,8 +218,8 @@ def backfill(
     paths: Paths,
     run_id: str,
     periods: list[tuple[int, int]] | None = None,
-    min_rows: int | None = None,
-    max_reject_pct: float | None = None,
+    min_rows: int = GATE_MIN_ROWS,
+    max_reject_pct: float = GATE_MAX_REJECT_PCT,
     enforce_gate: bool = True,
 ) -> DataFrame:
     """Process many months at once; returns the gate table (one row per period).
@@ -193,30 +228,26 @@ def backfill(
     per period), then the report from row counts, the gate, and the fact for the periods
     that passed. Periods failing the gate get silver data and a report but no fact
     partition (unless ``enforce_gate=False``, which loads every period and only records
-    the verdict).
+    the verdict). Asked-for periods that never landed are skipped as ``source_missing``.
     """
     configure(spark)
     processed_at = dt.datetime.now(dt.UTC).isoformat()
-    raw = read_raw_trips(spark, paths.bronze)
-    if periods:
-        raw = raw.filter(in_periods(periods, "year", "month"))  # partition pruning
-    raw = _with_source_file(raw)
-    written, report, periods, accepted = _load_silver_and_report(spark, paths, raw, run_id, processed_at)
-
-    gate_kwargs = {}
-    if min_rows is not None:
-        gate_kwargs["min_rows"] = min_rows
-    if max_reject_pct is not None:
-        gate_kwargs["max_reject_pct"] = max_reject_pct
-    gate = quality_gate(report, **gate_kwargs)
+    trips = read_conformed(spark, paths.bronze, periods)
+    if trips is None:
+        return _missing(spark, periods or [])
+    written, found, accepted = _load_silver_and_report(spark, paths, trips, run_id, processed_at)
+    report = read_quality_report(spark, paths.quality, processed_at=processed_at)
+    gate = quality_gate(report, min_rows, max_reject_pct)
+    loaded = found
     if enforce_gate:
         # one gate row per period reaches the driver
-        periods = [(r.year, r.month) for r in gate.filter("passed").select("year", "month").collect()]
-    loadable = written.filter(in_periods(periods))
-    fact = enforce_schema(build_fact(loadable), FACT_SCHEMA)
-    replace_partitions(fact, paths.gold_fact, PERIOD, cluster_by=["pickup_date_key"], rebalance=False)
-    _empty_periods(spark, fact.schema, paths.gold_fact, periods, accepted)
-    return gate
+        loaded = [(r.year, r.month) for r in gate.filter("passed").select("year", "month").collect()]
+    if any((y, m) in set(loaded) for y, m, _ in accepted):
+        fact = _fact(written.filter(in_periods(loaded)))
+        replace_partitions(fact, paths.gold_fact, PERIOD, cluster_by=["pickup_date_key"], rebalance=False)
+    _clear_without(spark, FACT_SCHEMA, paths.gold_fact, loaded, accepted)
+    absent = sorted(set(periods or []) - set(found))
+    return gate.unionByName(_missing(spark, absent)) if absent else gate
 
 
 def load_dimensions(
@@ -233,22 +264,16 @@ def load_dimensions(
         write_dimension(dim, f"{paths.gold_dims}/{name}")
     if paths.zone_lookup_csv:
         zones = conform_zone_lookup(read_zone_lookup_csv(spark, paths.zone_lookup_csv))
-        write_dimension(location_dim(zones, with_unknown=with_unknown), f"{paths.gold_dims}/dim_location")
+        # as many rows as there are zone ids, which nothing bounds
+        write_dimension(location_dim(zones, with_unknown=with_unknown), f"{paths.gold_dims}/dim_location", one_file=False)
 
 
 def read_star(spark: SparkSession, paths: Paths):
     """The loaded warehouse as a ``Star``: fact and dimensions read from their tables
     (seeded code dimensions are literal rows)."""
-    from tripmart.operators.dims import MAX_CALENDAR_DAYS
-    from tripmart.plans.star import Star
-
-    dim_date = spark.read.parquet(f"{paths.gold_dims}/dim_date")
-    # Size check before marts broadcast the calendar (a count of a small table).
-    dates_bounded = dim_date.count() <= MAX_CALENDAR_DAYS + 1
     return Star(
-        fact=spark.read.parquet(paths.gold_fact),
-        dim_date=dim_date,
-        dates_bounded=dates_bounded,
+        fact=spark.read.schema(FACT_SCHEMA).parquet(paths.gold_fact),
+        dim_date=spark.read.parquet(f"{paths.gold_dims}/dim_date"),
         dim_location=spark.read.parquet(f"{paths.gold_dims}/dim_location"),
         dim_rate_code=rate_code_dim(spark),
         dim_payment_type=payment_type_dim(spark),

@@ -11,16 +11,19 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.operators.conform import add_lineage, conform, conform_zone_lookup
+from tripmart.operators.conform import (
+    CAST_FAILED,
+    add_lineage,
+    conform_with_rejects,
+    conform_zone_lookup,
+)
 from tripmart.operators.dedupe import dedupe
 from tripmart.operators.dims import (
-    date_dim,
     location_dim,
     payment_type_dim,
     rate_code_dim,
     vendor_dim,
 )
-from tripmart.operators.facts import build_fact
 from tripmart.operators.quality import trip_rules, valid_filter
 from tripmart.schemas import TRIP_KEYS, TRIP_SPEC
 from tripmart.sources.raw import trip_file_name_col
@@ -34,9 +37,6 @@ class Star:
     dim_rate_code: DataFrame
     dim_payment_type: DataFrame
     dim_vendor: DataFrame
-    # True when dim_date's size is proven small (generated in-process from a capped range,
-    # or counted when read from storage); marts broadcast it only then.
-    dates_bounded: bool = True
 
     def dims(self) -> dict[str, DataFrame]:
         return {
@@ -49,8 +49,11 @@ class Star:
 
 
 def valid_trips(raw: DataFrame, year: int | None = None, month: int | None = None) -> DataFrame:
-    """Conformed trips that pass every rule (window, time order, distance)."""
-    return conform(raw, TRIP_SPEC).filter(valid_filter(trip_rules(year, month)))
+    """Conformed trips that pass every rule (window, time order, distance) and whose values
+    could all be cast. ``raw`` may be conformed already, with its rejects."""
+    trips = raw if CAST_FAILED in raw.columns else conform_with_rejects(raw, TRIP_SPEC)
+    rules = trip_rules(year, month)
+    return trips.filter(valid_filter(rules) & (F.size(CAST_FAILED) == 0)).drop(CAST_FAILED)
 
 
 def silver_trips(
@@ -74,25 +77,12 @@ def silver_trips(
 
 
 def dims_for(
-    spark: SparkSession, raw_zones: DataFrame, calendar: tuple[str, str], with_unknown: bool = False
+    spark: SparkSession, raw_zones: DataFrame, dim_date: DataFrame, with_unknown: bool = False
 ) -> dict[str, DataFrame]:
     return {
-        "dim_date": date_dim(spark, *calendar, with_unknown=with_unknown),
+        "dim_date": dim_date,
         "dim_location": location_dim(conform_zone_lookup(raw_zones), with_unknown=with_unknown),
         "dim_rate_code": rate_code_dim(spark),
         "dim_payment_type": payment_type_dim(spark),
         "dim_vendor": vendor_dim(spark),
     }
-
-
-def star_from_raw(
-    spark: SparkSession,
-    raw: DataFrame,
-    raw_zones: DataFrame,
-    calendar: tuple[str, str],
-    run_id: str,
-    processed_at: str | None = None,
-    with_unknown: bool = False,
-) -> Star:
-    fact = build_fact(silver_trips(raw, run_id, processed_at))
-    return Star(fact=fact, **dims_for(spark, raw_zones, calendar, with_unknown))

@@ -240,7 +240,8 @@ FACT_COLUMNS = [
     ("pipeline_run_id", T.StringType()),
     ("inserted_at_utc", T.TimestampType()),
 ]
-FACT_SCHEMA = T.StructType([T.StructField(n, t) for n, t in FACT_COLUMNS])
+# The warehouse table: the key, then the columns above.
+FACT_SCHEMA = T.StructType([T.StructField(n, t) for n, t in [("trip_key", T.StringType()), *FACT_COLUMNS]])
 
 # Foreign keys of the fact: (fact column, dimension table, dimension key).
 FACT_FOREIGN_KEYS = [

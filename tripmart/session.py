@@ -11,8 +11,10 @@ SQL runtime confs that the plans in this package rely on:
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -33,6 +35,15 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, as from a checkout
+    that isn't installed; elsewhere the package is installed on the cluster."""
+    root, environment = str(Path(__file__).parents[1]), spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def _checkpoint_base(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext

@@ -1,47 +1,91 @@
 """Landing audit and period bookkeeping.
 
 * ``file_manifest``  - one row per landed file: path, size, sha-256, period, status.
+* ``completed_periods`` - months whose stored manifest and loaded data both say done.
 * ``period_spine``   - every calendar month between two bounds (or spanned by data).
 * ``pending_periods`` - requested months that have source data but are not done yet.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.schemas import DATASET_NAME
+from tripmart.schemas import DATASET_NAME, MANIFEST_SCHEMA
+from tripmart.session import importable
 
 _YEAR_RE = r"year=(\d{4})"
 _MONTH_RE = r"month=(\d{1,2})"
 
 
+#: Bytes of a file that are read at once.
+CHUNK_BYTES = 1 << 20
+
+
+def _checksums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """SHA-256 of each row's file, read in chunks: any size, in little memory."""
+    from pyarrow import fs
+
+    for batch in batches:
+        sums = []
+        for uri in batch["path"]:
+            store, path = fs.FileSystem.from_uri(uri)
+            digest = hashlib.sha256()
+            with store.open_input_stream(path) as file:
+                while chunk := file.read(CHUNK_BYTES):
+                    digest.update(chunk)
+            sums.append(digest.hexdigest())
+        yield batch.assign(sha256_checksum=sums)
+
+
 def file_manifest(
     spark: SparkSession, root: str, glob: str = "*.parquet", dataset: str = DATASET_NAME
 ) -> DataFrame:
-    """Hash every landed file in parallel (one task per file, content never hits the driver).
-
-    The ``binaryFile`` source loads a file's bytes into one row, so files above 2 GiB are
-    rejected by Spark; raw monthly drops are far below that.
-    """
+    """One row per landed file with its checksum, in ``MANIFEST_SCHEMA``. Files are listed
+    without their contents and hashed by the tasks."""
+    importable(spark)
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .load(root)
+        .select("path", "length", "modificationTime")
     )
-    return files.select(
+    hashed = files.mapInPandas(_checksums, "path string, length long, modificationTime timestamp, sha256_checksum string")
+    return hashed.select(
         F.lit(dataset).alias("dataset"),
         F.regexp_extract("path", _YEAR_RE, 1).cast("int").alias("year"),
         F.regexp_extract("path", _MONTH_RE, 1).cast("int").alias("month"),
         F.col("path").alias("source_path"),
         F.col("length").alias("file_size_bytes"),
-        F.sha2(F.col("content"), 256).alias("sha256_checksum"),
+        "sha256_checksum",
         F.col("modificationTime").alias("modified_at"),
         F.lit("SUCCESS").alias("status"),
     )
 
 
+def write_manifest(manifest: DataFrame, root: str) -> None:
+    """Store a manifest by period; the periods in it replace their earlier rows."""
+    manifest.select([F.col(f.name).cast(f.dataType) for f in MANIFEST_SCHEMA]).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(root)
+
+
+def read_manifest(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(root)
+
+
+def completed_periods(manifest: DataFrame, loaded: DataFrame, keys=("year", "month")) -> DataFrame:
+    """Periods that are done: all their landed files were taken in well, and the loaded table
+    has rows of them."""
+    keys = list(keys)
+    good = manifest.groupBy(*keys).agg(F.bool_and(F.coalesce(F.col("status") == "SUCCESS", F.lit(False))).alias("_ok"))
+    return good.filter("_ok").select(*keys).join(loaded.select(*keys).distinct(), keys, "left_semi")
+
+
 def period_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
     """Months from ``start`` to ``end`` inclusive (ISO dates, day ignored)."""
     return _spine(

@@ -1,12 +1,20 @@
 """Bronze/silver readers and the partition path layout.
 
-Raw monthly files land as ``<root>/year=YYYY/month=MM/<dataset>_YYYY-MM.parquet``. Reading
-the *root* (not a leaf) keeps ``year``/``month`` as partition columns, so a period filter
-becomes partition pruning and many months can be processed by one job.
+Raw monthly files land as ``<root>/year=YYYY/month=MM/<dataset>_YYYY-MM.parquet``. Months may
+differ in their columns and types: files of one schema are read together, with the root as
+base path, so ``year``/``month`` stay partition columns and many months make one job.
+
+A corrected month lands beside the first one, with its landing time in the file names
+(``<dataset>_YYYY-MM.20240305T101500.parquet``, or such a part before Spark's own file
+names); the files of a month's latest landing supersede the others.
 """
 
 from __future__ import annotations
 
+import re
+from collections import defaultdict
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,17 +40,75 @@ def read_raw_trips(
     year: int | None = None,
     month: int | None = None,
 ) -> DataFrame:
-    """Scan the raw trip table (schema from the parquet footers).
+    """Scan the raw trip table, or its months of ``year`` and ``month``, as one frame.
 
-    With ``year``/``month`` the scan is pruned to that partition; the partition columns are
-    kept so downstream window checks can use each row's own period.
+    For months whose columns all have one type each; others can't be one raw frame (take
+    :func:`read_raw_groups` and conform each). A column that some month lacks is NULL there.
     """
-    df = spark.read.option("mergeSchema", "false").parquet(root)
+    files = landed_files(spark, root, year, month)
+    paths = [p for some in files.values() for p in some]
+    return spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*paths)
+
+
+def _landing(path: str) -> str:
+    """Landing time in a file's name; empty for a first landing without one."""
+    found = re.findall(r"(\d{8}T\d{6})", path.rpartition("/")[2])
+    return found[0] if found else ""
+
+
+def landed_files(
+    spark: SparkSession, root: str, year: int | None = None, month: int | None = None
+) -> dict[tuple[int, int], list[str]]:
+    """Files of each month's latest landing; no entry for a month that never landed.
+
+    A listing without contents: one short row per file reaches the driver, which holds the
+    listing of every scan anyway."""
+    try:
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return {}
+        raise
+    if not {"year", "month"} <= set(listed.columns):  # a root without any month
+        return {}
     if year is not None:
-        df = df.filter(F.col("year") == F.lit(year))
+        listed = listed.filter(F.col("year") == F.lit(year))
     if month is not None:
-        df = df.filter(F.col("month") == F.lit(month))
-    return df
+        listed = listed.filter(F.col("month") == F.lit(month))
+    found: dict[tuple[int, int], list[str]] = defaultdict(list)
+    for r in listed.select("year", "month", "path").collect():
+        if r.year is not None and r.month is not None:
+            found[int(r.year), int(r.month)].append(r.path)
+    latest = {period: max(map(_landing, paths)) for period, paths in found.items()}
+    return {k: sorted(p for p in found[k] if _landing(p) == latest[k]) for k in sorted(found)}
+
+
+def read_raw_groups(
+    spark: SparkSession, root: str, periods: list[tuple[int, int]] | None = None
+) -> list[DataFrame]:
+    """The raw months, or those of ``periods``, as one frame per file schema.
+
+    Usually that is a single frame with the months' schemas merged. Where a column changed its
+    type, months are grouped by the schema in their files' footers. No column is lost."""
+    if periods is not None and len(set(periods)) == 1:
+        files = landed_files(spark, root, *periods[0])
+    else:
+        files = landed_files(spark, root)
+    wanted = {k: v for k, v in files.items() if periods is None or k in set(periods)}
+    if not wanted:
+        return []
+    reader = spark.read.option("basePath", root)
+    try:
+        return [reader.option("mergeSchema", "true").parquet(*[p for v in wanted.values() for p in v])]
+    except Exception as e:  # a Spark error class of the footers' comparison, not one type of exception
+        if "MERGE_SCHEMA" not in str(e):
+            raise
+    groups: dict[str, list[str]] = defaultdict(list)
+    reader = spark.read.option("basePath", root).option("mergeSchema", "false")
+    for paths in wanted.values():  # one footer per file; months come in few files
+        for path in paths:
+            groups[reader.parquet(path).schema.json()].append(path)
+    return [reader.parquet(*paths) for paths in groups.values()]
 
 
 def read_period_leaf(spark: SparkSession, root: str, year: int, month: int) -> DataFrame:

@@ -11,9 +11,10 @@ landed file reaches the driver) and those periods are re-run with the idempotent
 A micro-batch that fails half-way is replayed from the checkpoint and converges to the
 same tables.
 
-The file source recognises files by path: land a corrected month under a new file name
-(e.g. with the landing time in it) and it is picked up. A file overwritten in place is not
-seen again; re-run that month with ``run_period`` instead.
+The file source recognises files by path: land a corrected month with the landing time in
+its file names (see ``sources.raw``) and it is picked up and supersedes the earlier files of
+that month. A file overwritten in place is not seen again; re-run that month with
+``run_period`` instead.
 """
 
 from __future__ import annotations
@@ -23,25 +24,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripmart.plans.runs import Paths, backfill
-from tripmart.session import configure, scratch_dir
+from tripmart.session import configure
 
 
 def start_incremental(
     spark: SparkSession,
     paths: Paths,
     run_id: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     enforce_gate: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start a run over all not-yet-processed bronze files; returns the (finishing) query.
 
-    ``checkpoint`` must be a durable shared location and stay the same across runs; by
-    default a new folder under the session's checkpoint directory is used.
+    ``checkpoint`` must be a durable shared location and stay the same across runs: it is
+    what remembers the files that were processed.
     """
     configure(spark)
-    # Raw columns + year/month partitions, from the files already landed (at least one).
-    schema = spark.read.parquet(paths.bronze).schema
+    # The stream only tells which months have new files; these two columns are partitions.
+    schema = "year int, month int"
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -60,13 +61,13 @@ def start_incremental(
     return (
         stream.select("year", "month")
         .writeStream.foreachBatch(process)
-        .option("checkpointLocation", checkpoint or scratch_dir(spark, "incremental-ckpt"))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def run_incremental(spark: SparkSession, paths: Paths, run_id: str, checkpoint: str | None = None,
+def run_incremental(spark: SparkSession, paths: Paths, run_id: str, checkpoint: str,
                     enforce_gate: bool = True) -> None:
     """Process everything new and wait until done."""
     q = start_incremental(spark, paths, run_id, checkpoint, enforce_gate)
