@@ -2,29 +2,19 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.session import scratch_dir
+from tripmart.session import importable, scratch_dir
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Rows per Arrow batch where rows carry whole texts: bounds a Python worker's memory.
 TEXT_BATCH_ROWS = 128
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it, as from a checkout
-    that isn't installed; elsewhere the package is installed on the cluster."""
-    root, environment = str(Path(__file__).parents[2]), spark.sparkContext.environment
-    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
-
-
 def text_batches(spark: SparkSession, rows: int = TEXT_BATCH_ROWS) -> None:
     """Get the session ready for tasks on whole texts: workers can import the package, and
     Arrow batches have ``rows`` rows at most (a smaller setting stays).
@@ -43,7 +33,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     It cuts the lineage and fixes the rows, and the files outlive executors."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.parquet(path)
+    # what was shuffled to make the table isn't read again once it is written
+    cleanup = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path, compression="zstd")
+    finally:
+        spark.conf.set(_CLEANUP, cleanup)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -16,20 +16,15 @@ from pyspark.sql import functions as F
 from tripmart.llm.common import stored
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    low = both.groupBy("src").agg(F.min("dst").alias("low"))
-    low = low.select("src", F.least("src", "low").alias("low"))
-    far = both.where("dst > src").join(low, "src")
-    return far.select(F.col("dst").alias("src"), F.col("low").alias("dst"))
-
-
-def _small_star(edges: DataFrame) -> DataFrame:
-    down = edges.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
-    low = down.groupBy("src").agg(F.min("dst").alias("low"))
-    near = down.join(low, "src").where("dst <> low")
+def _stars(edges: DataFrame) -> DataFrame:
+    """Both steps on links from larger to smaller nodes. Repeats between them do no harm."""
+    ends = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    low = ends.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("low"))
+    hung = edges.join(low, F.col("dst") == F.col("node")).select("src", F.least("dst", "low").alias("dst"))
+    least = hung.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("low"))
+    near = hung.join(least, F.col("src") == F.col("node")).where("dst <> low")
     return near.select(F.col("dst").alias("src"), F.col("low").alias("dst")).unionByName(
-        low.select("src", F.col("low").alias("dst"))
+        least.select(F.col("node").alias("src"), F.col("low").alias("dst"))
     )
 
 
@@ -44,17 +39,18 @@ def connected_components(links: DataFrame, name: str = "components") -> DataFram
     """Component of every linked node.
 
     ``links`` has two columns of one orderable type, ``src`` and ``dst``; direction,
-    repeats, self links and order don't matter, rows with a null end are no links. Returns
+    repeats, self links and order don't matter; null ends aren't allowed. Returns
     ``node, component`` (the smallest node reachable) for each node that has a link to
     another one; a node without links is its own component and isn't listed.
     """
-    edges = links.select("src", "dst").where("src <> dst").distinct()
-    edges = stored(_small_star(edges).distinct(), name)
+    down = links.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
+    edges = stored(down.where("src <> dst").distinct(), name)
     before = _mark(edges)
     while before[0]:
-        edges = stored(_small_star(_large_star(edges).distinct()).distinct(), name)
+        edges = stored(_stars(edges).distinct(), name)
         now = _mark(edges)
         if now == before:
             break
         before = now
-    return edges.select(F.col("src").alias("node"), F.col("dst").alias("component"))
+    centres = edges.select("dst").distinct().select(F.col("dst").alias("src"), "dst")
+    return edges.unionByName(centres).select(F.col("src").alias("node"), F.col("dst").alias("component"))

@@ -6,11 +6,8 @@ fingerprints, one segment differs by at most one bit. Each segment is indexed on
 position with that bit as a wildcard, so the pair meets in a bucket, and an equality join
 with a bit count verifies it.
 
-Copies collapse to one row per fingerprint first. Buckets are then worked off in two steps,
-so that dense groups never give all pairs: each member is verified against its bucket's
-smallest fingerprint, the links found are united, and only buckets that still hold members
-of different components are joined with themselves, across components. Every pair that
-shares a bucket is thus verified or already in one component.
+Copies collapse to one row per fingerprint first, and dense groups of near ones never give
+all pairs (see ``buckets``).
 """
 
 from __future__ import annotations
@@ -24,8 +21,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.llm.buckets import united
 from tripmart.llm.common import stored, strings, text_batches, text_or_empty
-from tripmart.llm.components import connected_components
 
 BITS = 64
 SEED = 42
@@ -100,45 +97,17 @@ def _near(a: str, b: str, max_distance: int) -> Column:
 def near_links(prints: DataFrame, max_distance: int = 4) -> DataFrame:
     """Components of the distinct fingerprints ``fp`` under links of at most ``max_distance``
     differing bits: ``node, component`` of each fingerprint that has a link."""
+    spark = prints.sparkSession
     distinct = stored(prints.select("fp").distinct(), "simhash-fp")
-    keyed = distinct.select("fp", _variants(max_distance).alias("key")).select("fp", "key.bit", "key.kept")
-    shared = (
-        keyed.groupBy("bit", "kept")
-        .agg(F.min("fp").alias("first"), F.max("fp").alias("last"))
-        .where("first <> last")
-        .select("bit", "kept", "first")
+    # a fingerprint becomes many rows, so its small table is spread first
+    spread = distinct.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    members = spread.select(_variants(max_distance).alias("key"), F.col("fp").alias("id"))
+    return united(
+        members,
+        lambda pairs: pairs.where(_near("src", "dst", max_distance)),
+        lambda a, b: _near(a, b, max_distance),
+        "simhash",
     )
-    met = stored(keyed.join(shared, ["bit", "kept"]), "simhash-buckets")
-    links = stored(
-        met.where("fp <> first").where(_near("fp", "first", max_distance)).select(
-            F.col("fp").alias("src"), F.col("first").alias("dst")
-        ).distinct(),
-        "simhash-links",
-    )
-    groups = connected_components(links, "simhash-first")
-    grouped = (
-        met.select("bit", "kept", "fp")
-        .join(groups, F.col("fp") == F.col("node"), "left")
-        .select("bit", "kept", "fp", F.coalesce("component", "fp").alias("component"))
-    )
-    grouped = stored(grouped, "simhash-grouped")
-    mixed = (
-        grouped.groupBy("bit", "kept")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low <> high")
-        .select("bit", "kept")
-    )
-    open_rows = stored(grouped.join(mixed, ["bit", "kept"], "left_semi"), "simhash-open")
-    other = open_rows.select(
-        "bit", "kept", F.col("fp").alias("fp2"), F.col("component").alias("component2")
-    )
-    across = open_rows.join(
-        other,
-        (open_rows["bit"] == other["bit"]) & (open_rows["kept"] == other["kept"])
-        & (F.col("component") < F.col("component2")) & _near("fp", "fp2", max_distance),
-    ).select(F.col("component").alias("src"), F.col("component2").alias("dst")).distinct()
-    joined = links.unionByName(across)
-    return connected_components(joined, "simhash-all")
 
 
 def simhash_dedup(
@@ -161,3 +130,14 @@ def simhash_dedup(
     lowest = classes.groupBy("group").agg(F.min("first_id").alias("component_id"))
     classes = classes.join(lowest, "group").select("fp", "component_id")
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+
+
+def simhash_keep(
+    docs: DataFrame, shingle: int = 4, max_distance: int = 4, text: str = "text", doc_id: str = "doc_id"
+) -> DataFrame:
+    """The rows of ``docs`` that have their group's smallest id, with all their columns; of rows
+    that repeat an id one stays. Rows without an id can't be told apart and stay."""
+    found = simhash_dedup(docs, shingle, max_distance, text, doc_id)
+    stay = found.where("doc_id = component_id").select(F.col("doc_id").alias("__stays")).distinct()
+    named = docs.join(stay, F.col(doc_id) == F.col("__stays"), "left_semi").dropDuplicates([doc_id])
+    return named.unionByName(docs.where(F.col(doc_id).isNull()))
