@@ -20,6 +20,17 @@ class Memo(dict):
         self[key] = value
         return value
 
+    def unknown(self, keys: set) -> list:
+        """The keys that are neither here nor in the reserve; those in the reserve move here."""
+        out = []
+        for key in keys - self.keys():
+            value = self.reserve.get(key)
+            if value is None:
+                out.append(key)
+            else:
+                self[key] = value
+        return out
+
     def trim(self) -> None:
         if len(self) > self.limit:
             self.reserve = dict(self)

@@ -177,8 +177,9 @@ def token_pieces(
 
         def rows() -> Iterator[tuple]:
             for batch in batches:
-                for doc, t in zip(batch.column(0).to_pylist(), strings(batch.column(1)), strict=True):
-                    ids = coder.encode(t) + end
+                coded = coder.encode_many(strings(batch.column(1)))
+                for doc, ids in zip(batch.column(0).to_pylist(), coded, strict=True):
+                    ids += end
                     for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[at : at + 4 * capacity]
                         n = len(part) // 4

@@ -54,7 +54,8 @@ def train_dictionary(docs: DataFrame, path: str, end_id: int) -> bytes:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = word_ids(path)
         for batch in batches:
-            arrays = [_serialized(coder.encode(t), end_id, width)[: SAMPLE_IDS * width] for t in strings(batch.column(1))]
+            coded = coder.encode_many(strings(batch.column(1)))
+            arrays = [_serialized(ids, end_id, width)[: SAMPLE_IDS * width] for ids in coded]
             yield pa.RecordBatch.from_arrays([pa.array(arrays, pa.binary())], ["ids"])
 
     arrays = [bytes(r.ids) for r in sample.mapInArrow(run, "ids binary").collect()]
@@ -105,8 +106,9 @@ def write_shards(
             out.write(struct.pack(HEAD, MAGIC, 1, width, hashlib.sha256(dictionary).digest()))
             batch = first
             while batch is not None:
-                for doc, t in zip(batch.column(0).to_pylist(), strings(batch.column(1)), strict=True):
-                    data = _serialized(coder.encode(t), end_id, width)
+                coded = coder.encode_many(strings(batch.column(1)))
+                for doc, ids in zip(batch.column(0).to_pylist(), coded, strict=True):
+                    data = _serialized(ids, end_id, width)
                     frame = pack.compress(data)
                     index.append((doc or 0, doc is None, out.size, len(frame), len(data) // width))
                     out.write(frame)

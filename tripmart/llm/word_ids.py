@@ -1,23 +1,42 @@
 """Ids of whole texts by a tokenizer file, through the tokenizers library.
 
-A tokenizer that drops white space encodes the parts between spaces on their own; so each
-distinct part is encoded once per worker and looked up after that (bounded). A part goes
-through the library's own normaliser, splitter and model. Other tokenizers, and texts that
-hold the string of an added token, go through the library as a whole.
+Where the file's rules say so, a text's pieces can be told by its own split pattern: lower
+case, composed characters, white space dropped. Each distinct piece then goes through the
+library once per worker, many together, and is looked up after that (bounded). That holds
+for Latin-1 text, whose characters are composed already. Other parts between spaces go
+through the library one by one, and texts that hold the string of an added token, or all
+texts of another kind of tokenizer, as a whole.
 """
 
 from __future__ import annotations
 
 import gc
+import json
 import os
 
 import numpy as np
+import regex
 from tokenizers import Tokenizer
 
 from tripmart.llm.memo import Memo
 
-#: Distinct parts, and distinct pieces of parts, that a worker keeps.
-MAX_PARTS = 300_000
+#: Distinct pieces that a worker keeps, and pieces in one call of the library.
+MAX_PIECES, AT_ONCE = 500_000, 64
+
+
+def _split_pattern(rules: dict) -> str | None:
+    """The pattern whose matches in lower-cased text are the pieces, by a tokenizer's rules."""
+    steps = (rules.get("normalizer") or {}).get("normalizers") or []
+    splits = (rules.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    lower = [s["type"] for s in steps] == ["NFC", "Replace", "Lowercase"]
+    if not lower or steps[1].get("pattern") != {"Regex": "\\s+"} or steps[1].get("content") != " ":
+        return None
+    if [s["type"] for s in splits] != ["Split", "ByteLevel"]:
+        return None
+    first, last = splits
+    if not first["invert"] or first["behavior"] != "Removed" or last["add_prefix_space"] or last["use_regex"]:
+        return None
+    return first["pattern"].get("Regex")
 
 
 class WordIds:
@@ -25,42 +44,79 @@ class WordIds:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.parts = Memo(self._part, MAX_PARTS)
-        self.pieces = Memo(self._piece, MAX_PARTS)
-        self.apart = self._drops_spaces()
+        rules = json.loads(self.tokenizer.to_str())
+        pattern = None if rules.get("truncation") or rules.get("padding") else _split_pattern(rules)
+        if any(c.isspace() for a in self.added for c in a):
+            pattern = None
+        suffix = rules["model"].get("end_of_word_suffix")
+        if not suffix:
+            pattern = None
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if suffix and t.endswith(suffix)]] = True
+        self.split = regex.compile(pattern).findall if pattern else None
+        self.pieces = Memo(self.whole, MAX_PIECES)
+        self.parts = Memo(self.whole, MAX_PIECES // 4)
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def _drops_spaces(self) -> bool:
-        """Do parts between spaces encode on their own, with this tokenizer?"""
-        t = self.tokenizer
-        if t.normalizer is None or t.pre_tokenizer is None or any(c.isspace() for a in self.added for c in a):
-            return False
-        if t.truncation or t.padding or self.whole(" \n "):
-            return False
-        probe = "Ab 12, it's\nÉa  x"
-        return self.whole(probe) == b"".join(self.whole(p) for p in probe.replace("\n", " ").split(" "))
-
-    def _piece(self, piece: str) -> bytes:
-        return np.array([t.id for t in self.tokenizer.model.tokenize(piece)], dtype="<u4").tobytes()
-
-    def _part(self, part: str) -> bytes:
-        if not part:
-            return b""
-        normal = self.tokenizer.normalizer.normalize_str(part)
-        pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)
-        return b"".join([self.pieces[p] for p, _ in pieces])
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode pieces that aren't known yet: many in a call, with spaces between; the last
+        token of a piece is known by the word's end it holds."""
+        groups = [pieces[k : k + AT_ONCE] for k in range(0, len(pieces), AT_ONCE)]
+        coded = self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
+        for group, found in zip(groups, coded, strict=True):
+            ids = np.array(found.ids, dtype="<u4")
+            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(ends) != len(group) or ends[-1] != len(ids):
+                self.pieces.update((p, self.whole(p)) for p in group)
+                continue
+            data = ids.tobytes()
+            begin = 0
+            for piece, end in zip(group, ends, strict=True):
+                self.pieces[piece] = data[4 * begin : 4 * end]
+                begin = end
+
+    def _pieces(self, text: str) -> list[str] | None:
+        """Pieces of a Latin-1 text, None for another one."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return None
+        return self.split(text.lower())
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, without special tokens, as little-endian unsigned 32-bit integers."""
+        plan: list = []  # per text: pieces, or a list of (pieces or None, part), or None
+        for t in texts:
+            if self.split is None or any(a in t for a in self.added):
+                plan.append(None)
+            elif (found := self._pieces(t)) is not None:
+                plan.append(found)
+            else:
+                plan.append([(self._pieces(p), p) for p in t.replace("\n", " ").split(" ")])
+        new: set[str] = set()
+        for found in plan:
+            if found and isinstance(found[0], tuple):
+                new.update(*(p for p, _ in found if p))
+            elif found:
+                new.update(found)
+        self._learn(self.pieces.unknown(new))
+        look, out = self.pieces.__getitem__, []
+        for t, found in zip(texts, plan, strict=True):
+            if found is None:
+                out.append(self.whole(t))
+            elif found and isinstance(found[0], tuple):
+                out.append(b"".join(self.parts[p] if own is None else b"".join(map(look, own)) for own, p in found))
+            else:
+                out.append(b"".join(map(look, found)))
+        self.pieces.trim()
+        self.parts.trim()
+        return out
 
     def encode(self, text: str) -> bytes:
-        """The ids, without special tokens, as little-endian unsigned 32-bit integers."""
-        if not self.apart or any(a in text for a in self.added):
-            return self.whole(text)
-        ids = b"".join(map(self.parts.__getitem__, text.replace("\n", " ").split(" ")))
-        self.parts.trim()
-        self.pieces.trim()
-        return ids
+        return self.encode_many([text])[0]
 
 
 _KNOWN: dict[str, WordIds] = {}
