@@ -1,7 +1,8 @@
 """Links between the members of candidate buckets, without all pairs of a dense bucket.
 
 A bucket of two members is one pair. In larger ones every member is first verified against
-a few leaders of its bucket, and the links found are united. A bucket whose members are
+the smallest and the largest, from four members on also against a few other leaders, and the
+links found are united. A bucket whose members are
 then all of one component is done; the others may get new leaders, and only what is still
 apart is joined across components. So each pair that shares a bucket is verified or known to
 be connected, and a dense group costs a few rows a member.
@@ -28,19 +29,19 @@ def _mask(k: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _leaders(n: int, first_mask: int = 0) -> Column:
-    """Leaders of a bucket: the smallest member, the largest and the nearest to some patterns
-    (an exclusive or orders the ids anew, and is undone)."""
+def _leader_pairs(rows: DataFrame, n: int, first_mask: int, near: Callable[[str, str], Column]) -> DataFrame:
+    """Pairs of the members ``key, id`` with leaders of their bucket: those nearest to some
+    patterns (an exclusive or orders the ids anew, and is undone)."""
     masks = [_mask(first_mask + k) for k in range(n)]
     nearest = [F.min(F.col("id").bitwiseXOR(F.lit(m))).bitwiseXOR(F.lit(m)) for m in masks]
-    return F.array_distinct(F.array(F.min("id"), F.max("id"), *nearest))
+    leaders = rows.groupBy("key").agg(F.array_distinct(F.array(*nearest)).alias("leaders"))
+    met = rows.join(leaders, "key").select("id", F.explode("leaders").alias("leader"))
+    return _pairs(met, "id", "leader", near)
 
 
-def _leader_pairs(led: DataFrame, near: Callable[[str, str], Column]) -> DataFrame:
-    """Pairs of members with their leaders, from rows ``id, leaders``."""
-    met = led.select("id", F.explode("leaders").alias("leader")).where("id <> leader")
-    pair = met.select(F.least("id", "leader").alias("src"), F.greatest("id", "leader").alias("dst"))
-    return pair.where(near("src", "dst")).distinct()
+def _pairs(rows: DataFrame, a: str, b: str, near: Callable[[str, str], Column]) -> DataFrame:
+    pair = rows.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("src"), F.greatest(a, b).alias("dst"))
+    return pair.where(near("src", "dst"))
 
 
 def united(
@@ -55,15 +56,18 @@ def united(
     ``leaders`` come before that join at most.
     """
     counted = members.groupBy("key").agg(
-        F.min("id").alias("src"), F.max("id").alias("dst"), F.count("*").alias("n"), _leaders(leaders).alias("leaders")
+        F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n")
     )
-    shared = counted.where("n > 1").withColumn("leaders", F.when(F.col("n") > 2, F.col("leaders")))
-    shared = stored(shared, f"{name}-shared")
-    led = stored(members.join(shared.where("n > 2").select("key", "leaders"), "key"), f"{name}-large")
-    pairs = shared.where("n = 2").select("src", "dst").where(near("src", "dst"))
-    links = stored(verified(pairs.unionByName(_leader_pairs(led, near)).distinct()), f"{name}-links")
+    shared = stored(counted.where("n > 1"), f"{name}-shared")
+    large = stored(members.join(shared.where("n > 2"), "key"), f"{name}-large")
+    dense = large.where("n > 3").select("key", "id")
+    pairs = _pairs(shared.where("n = 2"), "low", "high", near)
+    for end in ("low", "high"):
+        pairs = pairs.unionByName(_pairs(large, "id", end, near))
+    pairs = pairs.unionByName(_leader_pairs(dense, leaders, 0, near))
+    links = stored(verified(pairs.distinct()), f"{name}-links")
     groups = connected_components(links, f"{name}-groups")
-    large = led.select("key", "id")
+    large = dense  # in a bucket of three all pairs have met
     for k in range(rounds + 1):
         large = _apart(large, groups, f"{name}-apart")
         if large.isEmpty():
@@ -71,8 +75,8 @@ def united(
         if k == rounds:
             found = _across(large, near)
         else:
-            led = large.groupBy("key").agg(_leaders(leaders, (k + 1) * leaders).alias("leaders"))
-            found = _between(_leader_pairs(large.join(led, "key"), near), groups)
+            again = _leader_pairs(large.select("key", "id"), leaders, (k + 1) * leaders, near)
+            found = _between(again.distinct(), groups)
         found = stored(verified(found), f"{name}-more")
         if not found.isEmpty():
             links = links.unionByName(found)
@@ -90,15 +94,11 @@ def _across(large: DataFrame, near: Callable[[str, str], Column]) -> DataFrame:
 
 
 def _apart(large: DataFrame, groups: DataFrame, name: str) -> DataFrame:
-    """Rows ``key, id, component`` of the buckets whose members are of several components.
-
-    In a bucket of three all pairs have met a leader."""
+    """Rows ``key, id, component`` of the buckets whose members are of several components."""
     rows = large.select("key", "id").join(groups, F.col("id") == F.col("node"), "left")
     rows = stored(rows.select("key", "id", F.coalesce("component", "id").alias("component")), name)
-    spread = rows.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")
-    )
-    return stored(rows.join(spread.where("low <> high and n > 3").select("key"), "key"), name)
+    spread = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return stored(rows.join(spread.where("low <> high").select("key"), "key"), name)
 
 
 def _between(pairs: DataFrame, groups: DataFrame) -> DataFrame:
