@@ -33,6 +33,7 @@ HEAD_SIZE, TAIL_SIZE = struct.calcsize(HEAD), struct.calcsize(TAIL)
 INDEX = np.dtype([("doc_id", "<i8"), ("null_id", "u1"), ("place", "<u8"), ("size", "<u4"), ("n", "<u8")])
 #: Documents that the dictionary is trained on at most, ids of each, and its size in bytes.
 SAMPLE_DOCS, SAMPLE_IDS, DICT_BYTES = 1000, 2048, 64 << 10
+LEVEL = 3
 #: Bytes of frames that a reader holds.
 READ_BYTES = 4 << 20
 MANIFEST_DDL = "shard int, path string, docs long, tokens long"
@@ -97,7 +98,10 @@ def write_shards(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         coder, index = word_ids(path), []
-        pack = zstandard.ZstdCompressor(level=3, dict_data=_dict_of(dictionary))
+        shared = _dict_of(dictionary)
+        if shared:
+            shared.precompute_compress(level=LEVEL)  # once, not for each document
+        pack = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared)
         uri = f"{folder}/shard-{task.partitionId():06d}-{task.taskAttemptId()}.tokd"
         first = next(batches, None)
         if first is None:
