@@ -46,28 +46,31 @@ def _pairs(rows: DataFrame, a: str, b: str, near: Callable[[str, str], Column])
 
 def united(
     members: DataFrame, verified: Callable[[DataFrame], DataFrame], near: Callable[[str, str], Column], name: str,
-    leaders: int = LEADERS, rounds: int = 0,
+    ends: tuple[str, ...] = ("low", "high"), leaders: int = LEADERS, rounds: int = 0,
 ) -> DataFrame:
     """``node, component`` of all ids that link to another one.
 
     ``members``: distinct rows ``key, id`` (a long), cheap to compute twice. ``verified``
     keeps the rows of ``src, dst`` that link; ``near`` is a condition on two id columns that
-    no linked pair fails, applied within the join across components. ``rounds`` of new
-    ``leaders`` come before that join at most.
+    no linked pair fails, applied within the join across components. Members meet the ``ends``
+    of their bucket (smallest, largest) and that many ``leaders`` first; ``rounds`` of new
+    leaders come before that join at most.
     """
     counted = members.groupBy("key").agg(
         F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n")
     )
     shared = stored(counted.where("n > 1"), f"{name}-shared")
     large = stored(members.join(shared.where("n > 2"), "key"), f"{name}-large")
-    dense = large.where("n > 3").select("key", "id")
+    # two ends leave no pair of a bucket of three unmet
+    dense = large.where("n > 3" if len(ends) > 1 else "n > 2").select("key", "id")
     pairs = _pairs(shared.where("n = 2"), "low", "high", near)
-    for end in ("low", "high"):
+    for end in ends:
         pairs = pairs.unionByName(_pairs(large, "id", end, near))
-    pairs = pairs.unionByName(_leader_pairs(dense, leaders, 0, near))
+    if leaders:
+        pairs = pairs.unionByName(_leader_pairs(dense, leaders, 0, near))
     links = stored(verified(pairs.distinct()), f"{name}-links")
     groups = connected_components(links, f"{name}-groups")
-    large = dense  # in a bucket of three all pairs have met
+    large = dense
     for k in range(rounds + 1):
         large = _apart(large, groups, f"{name}-apart")
         if large.isEmpty():
