@@ -215,24 +215,23 @@ class Decoder:
     def __init__(self, ranks: dict[bytes, int]):
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.moves: dict[tuple[bytes, int], tuple[str, bytes]] = {}
-        self.whole: dict[int, str | None] = {}
+        self.whole = Memo(self._whole, len(ranks) + 1)
         self.pending = b""
 
     def _move(self, pending: bytes, token: int) -> tuple[str, bytes]:
         move = self.moves[pending, token] = utf8_machine(pending, self.bytes_of[token])
         return move
 
-    def _whole(self, token: int) -> str | None:
+    def _whole(self, token: int) -> str:
+        """The text of a token that is whole characters; "�" for another one."""
         text, rest = utf8_machine(b"", self.bytes_of[token])
-        found = self.whole[token] = None if rest or "�" in text else text
-        return found
+        return "�" if rest else text
 
     def feed(self, ids: list[int]) -> str:
         if not self.pending:
-            whole = self.whole
-            parts = [whole[t] if t in whole else self._whole(t) for t in ids]
-            if None not in parts:
-                return "".join(parts)
+            text = "".join(map(self.whole.__getitem__, ids))
+            if "�" not in text:
+                return text
         out, pending, moves = [], self.pending, self.moves
         for t in ids:
             text, pending = moves.get((pending, t)) or self._move(pending, t)
@@ -252,7 +251,6 @@ _DECODERS: dict[str, Decoder] = {}
 def _encoder(path: str, pattern: str) -> Encoder:
     """One encoder for each vocabulary and worker, so its states serve many tasks."""
     if (path, pattern) not in _ENCODERS:
-        gc.set_threshold(200_000, 20, 50)  # the tables are many small tuples without cycles
         _ENCODERS[path, pattern] = Encoder(read_ranks(path), pattern)
     return _ENCODERS[path, pattern]
 
@@ -274,6 +272,7 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, text: str = "text", doc
         encoder = _encoder(path, pattern)
         for batch in batches:
             coded = [encoder.encode(t) for t in strings(batch.column(1))]
+            gc.freeze()  # the tables are many small tuples without cycles: not for the collector
             ends = np.cumsum([0, *(len(c) // 4 for c in coded)], dtype=np.int32)
             values = pa.array(np.frombuffer(b"".join(coded), dtype="<i4"))
             ids = pa.ListArray.from_arrays(pa.array(ends), values)
