@@ -65,3 +65,14 @@ def test_documents(spark):
     ids = sorted((r.doc_id for r in kept.collect()), key=repr)
     assert [i for i in ids if i is not None and i != 8] == sorted([1, 4, 6, 7, 19, 30], key=repr) and ids.count(None) == 2
     assert simhash_dedup(empty_docs(spark)).collect() == []
+
+
+def test_rows_that_share_an_id_or_have_none(spark):
+    """One row of each group stays, also where an id is repeated or null."""
+    clean, other, lone = (" ".join(words(k, 200)) for k in (50, 51, 52))
+    rows = [(1, other, "a"), (7, other, "copy"), (7, clean, "b"), (8, clean, "copy")]
+    rows += [(None, lone, "c")] * 3 + [(9, None, "d"), (9, None, "d")]
+    for parts in (1, 5):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, row string").repartition(parts)
+        kept = sorted((tuple(r) for r in simhash_keep(docs).collect()), key=repr)
+        assert kept == sorted([(1, other, "a"), (7, clean, "b"), (None, lone, "c"), (9, None, "d")], key=repr)

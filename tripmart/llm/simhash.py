@@ -56,17 +56,29 @@ def simhash(text: str, shingle: int = 4) -> int:
 def _fingerprints(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [simhash(t, shingle) for t in strings(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())], ["doc_id", "fp"])
+            prints = pa.array([simhash(t, shingle) for t in strings(batch.column(1))], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), prints, *batch.columns[2:]], ["doc_id", "fp", *batch.schema.names[2:]]
+            )
 
     return run
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``doc_id, fp`` for each row of ``docs``; null texts count as empty."""
+def _text_hash(text: Column) -> list[Column]:
+    """128 bits of a text; with the id they are a row's key."""
+    return [F.xxhash64(text).alias("__t1"), F.xxhash64(F.lit(1), text).alias("__t2")]
+
+
+def fingerprints(
+    docs: DataFrame, shingle: int = 4, text: str = "text", doc_id: str = "doc_id", keyed: bool = False
+) -> DataFrame:
+    """``doc_id, fp`` for each row of ``docs``, and ``__t1, __t2`` of its text if ``keyed``;
+    null texts count as empty."""
     text_batches(docs.sparkSession)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    return rows.mapInArrow(_fingerprints(shingle), "doc_id long, fp long")
+    content = text_or_empty(text)
+    key = _text_hash(content) if keyed else []
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), content.alias("text"), *key)
+    return rows.mapInArrow(_fingerprints(shingle), "doc_id long, fp long" + ", __t1 long, __t2 long" * keyed)
 
 
 def hex_of(fp: Column) -> Column:
@@ -135,9 +147,19 @@ def simhash_dedup(
 def simhash_keep(
     docs: DataFrame, shingle: int = 4, max_distance: int = 4, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
-    """The rows of ``docs`` that have their group's smallest id, with all their columns; of rows
-    that repeat an id one stays. Rows without an id can't be told apart and stay."""
-    found = simhash_dedup(docs, shingle, max_distance, text, doc_id)
-    stay = found.where("doc_id = component_id").select(F.col("doc_id").alias("__stays")).distinct()
-    named = docs.join(stay, F.col(doc_id) == F.col("__stays"), "left_semi").dropDuplicates([doc_id])
-    return named.unionByName(docs.where(F.col(doc_id).isNull()))
+    """One row of each group of ``docs``, with all its columns: the one of the smallest id, and
+    of rows that share this id that of the smallest text hash. Rows are told apart by id and
+    text, so documents of different groups stay even if they share an id. Of a group's rows
+    without an id one stays, too."""
+    prints = stored(fingerprints(docs, shingle, text, doc_id, keyed=True), "simhash-docs")
+    groups = prints.join(near_links(prints, max_distance), F.col("fp") == F.col("node"), "left")
+    group = F.coalesce("component", "fp").alias("group")
+    first = F.min(F.struct("doc_id", "__t1", "__t2")).alias("first")
+    stay = groups.groupBy(group, F.col("doc_id").isNull()).agg(first).select(
+        F.col("first.doc_id").alias("__stays"), F.col("first.__t1").alias("__s1"), F.col("first.__t2").alias("__s2")
+    )
+    t1, t2 = _text_hash(text_or_empty(text))
+    rows = docs.withColumns({"__id": F.col(doc_id).cast("long"), "__t1": t1, "__t2": t2})
+    same = F.col("__id").eqNullSafe(F.col("__stays")) & (F.col("__t1") == F.col("__s1")) & (F.col("__t2") == F.col("__s2"))
+    found = rows.join(stay, same, "left_semi").dropDuplicates(["__id", "__t1", "__t2"])
+    return found.select(*docs.columns)
