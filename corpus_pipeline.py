@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import stored
-from tripmart.llm.line_dedup import line_dedup
+from tripmart.llm.line_dedup import COUNTS, line_dedup
 from tripmart.llm.packing import pack_documents
 from tripmart.llm.quality import fit_quality, keep_quality
 from tripmart.llm.secret_scan import redact_secrets
@@ -37,7 +37,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that near-repeat over the documents stay in one place; every document stays."""
-    return _measured(line_dedup(docs).select(*docs.columns))
+    own = {c: f"__own_{c}" for c in docs.columns if c.lower() in COUNTS}
+    found = line_dedup(docs.withColumnsRenamed(own)).drop(*COUNTS)
+    return _measured(found.withColumnsRenamed({v: k for k, v in own.items()}).select(*docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
