@@ -4,11 +4,11 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from frames import awkward_docs, empty_docs
+from frames import awkward_docs, empty_docs, words
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tripmart.llm.token_store import Shard, read_shards, write_shards
+from tripmart.llm.token_store import Shard, read_shards, train_dictionary, write_shards
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -44,6 +44,21 @@ def test_round_trip_and_random_access(spark):
         Shard(first.path, dictionary + b"x")
 
 
+def test_dictionary_from_all_of_a_document(spark):
+    """What comes after the first 2,048 ids is trained on, too."""
+    phrase = " " + " ".join(words(1, 40))
+    rows = [(k, " ".join(words(100 + k, 1200)) + phrase * 100) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = LIBRARY.encode(phrase * 3, add_special_tokens=False).ids
+    width = 2 if LIBRARY.get_vocab_size() <= 1 << 16 else 4
+    parts = {np.array(ids[k : k + 6]).astype(f"<u{width}").tobytes() for k in range(len(ids) - 6)}
+    for _, text in rows:
+        head = np.array(LIBRARY.encode(text, add_special_tokens=False).ids[:2048]).astype(f"<u{width}").tobytes()
+        assert not any(p in head for p in parts)
+    dictionary = train_dictionary(docs, PATH, 2)
+    assert any(p in dictionary for p in parts)
+
+
 def test_empty_table(spark):
     manifest = write_shards(empty_docs(spark), PATH, end_id=2)
     assert manifest.collect() == [] and read_shards(spark, manifest).collect() == []

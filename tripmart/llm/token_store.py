@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,8 +47,8 @@ def _id_width(path: str) -> int:
 
 def train_dictionary(docs: DataFrame, path: str, end_id: int) -> bytes:
     """A dictionary from the id arrays of at most ``SAMPLE_DOCS`` rows (those with the smallest
-    id hashes), cut at ``SAMPLE_IDS``; empty where there is too little to train on. It decides
-    the shards' size alone, never their content."""
+    id hashes), of each ``SAMPLE_IDS`` at most from a hashed place; empty where there is too
+    little to train on. It decides the shards' size alone, never their content."""
     chosen = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
     sample = docs.join(F.broadcast(chosen), "doc_id", "left_semi").limit(SAMPLE_DOCS)
     width = _id_width(path)
@@ -56,7 +57,7 @@ def train_dictionary(docs: DataFrame, path: str, end_id: int) -> bytes:
         coder = word_ids(path)
         for batch in batches:
             coded = coder.encode_many(strings(batch.column(1)))
-            arrays = [_serialized(ids, end_id, width)[: SAMPLE_IDS * width] for ids in coded]
+            arrays = [_slice(_serialized(ids, end_id, width), width) for ids in coded]
             yield pa.RecordBatch.from_arrays([pa.array(arrays, pa.binary())], ["ids"])
 
     arrays = [bytes(r.ids) for r in sample.mapInArrow(run, "ids binary").collect()]
@@ -73,6 +74,12 @@ def _serialized(ids: bytes, end_id: int, width: int) -> bytes:
     return np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id)).astype(f"<u{width}").tobytes()
 
 
+def _slice(ids: bytes, width: int) -> bytes:
+    """``SAMPLE_IDS`` ids in a row at most, from a place that the ids' checksum decides."""
+    first = zlib.crc32(ids) % (max(0, len(ids) // width - SAMPLE_IDS) + 1)
+    return ids[first * width : (first + SAMPLE_IDS) * width]
+
+
 def _dict_of(data: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(data) if data else None
 
