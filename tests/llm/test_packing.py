@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from tripmart.llm import packing
 from tripmart.llm.packing import pack_documents, segments, sequences, solve, solve_lp
 from tripmart.llm.word_ids import word_ids
 
@@ -47,6 +48,18 @@ def test_close_to_the_lower_bound():
     assert bound <= used <= 1.01 * bound + 1
 
 
+def test_the_program_carries_the_packing(monkeypatch):
+    """Most pieces are placed by the linear program at any size, the rest greedily."""
+    greedy, rest = packing._best_fit, []
+    monkeypatch.setattr(packing, "_best_fit", lambda left, capacity: rest.append(left.copy()) or greedy(left, capacity))
+    for n in (200, 2000):
+        r = random.Random(3)
+        counts = Counter(min(2048, int(r.lognormvariate(6, 1)) + 1) for _ in range(n))
+        used = sum(times for _, times in solve(counts, 2048))
+        assert used <= sum(times for _, times in greedy(counts, 2048)) + 1
+        assert len(rest) == 1 and sum(rest.pop().values()) < 0.5 * n
+
+
 def test_documents(spark):
     r = random.Random(4)
     more = [(100 + k, " ".join(r.choice("the a cat sat mat on".split()) for _ in range(r.randint(1, 90))), "") for k in range(300)]

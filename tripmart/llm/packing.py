@@ -6,8 +6,9 @@ the number of documents: a configuration is a multiset of lengths that fits one
 and the linear program covers the histogram with the fewest configurations. It is solved by
 multiplicative weights: each round prices the lengths, a knapsack dynamic program finds the
 configurations of the highest price, and covered lengths lose weight. The solution is
-rounded down to whole sequences, and the rest of the histogram is packed best-fit, largest
-first. Only the histogram reaches the driver.
+rounded down to whole sequences, then up by the largest fraction where the pieces left allow
+it, and the rest of the histogram is packed best-fit, largest first. Only the histogram
+reaches the driver.
 
 Pieces find their places without a hot key: each is numbered among those of its length in
 its task, tasks' counts are summed up before it, and the number points into the solution.
@@ -127,15 +128,20 @@ def solve(counts: dict[int, int], capacity: int) -> list[tuple[Config, int]]:
         return []
     left, out = dict(counts), []
     fractional, _ = solve_lp(counts, capacity)
-    for config, x in sorted(fractional.items(), key=lambda e: (-e[1], e[0])):
-        times = min(int(x), *(left[s] // n for s, n in config))
+
+    def take(config: Config, wanted: int) -> None:
+        times = min(wanted, *(left[s] // n for s, n in config))
         if times:
             out.append((config, times))
             for s, n in config:
                 left[s] -= n * times
-    out += _best_fit(left, capacity)
-    plain = _best_fit(counts, capacity)  # rounding may lose on small histograms
-    return min(out, plain, key=lambda found: sum(n for _, n in found))
+
+    for config, x in sorted(fractional.items(), key=lambda e: (-e[1], e[0])):
+        take(config, int(x))
+    # rounded up within what is left, so that the program carries small inputs, too
+    for config, _ in sorted(fractional.items(), key=lambda e: (int(e[1]) - e[1], e[0])):
+        take(config, 1)
+    return out + _best_fit(left, capacity)
 
 
 def segments(solution: list[tuple[Config, int]]) -> np.ndarray:
