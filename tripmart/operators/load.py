@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tripmart.schemas import QUALITY_REPORT_SCHEMA
 
@@ -131,7 +132,20 @@ def read_quality_report(spark: SparkSession, root: str, year: int | None = None,
     return latest.select(*[F.col(c) if c in ("year", "month") else F.col(f"_r.{c}") for c in cols])
 
 
+def read_written(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A table's folder by its schema; no rows where nothing was ever written (a first run
+    that loads no period is a normal outcome, and its readers see an empty table)."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def partition_counts(spark: SparkSession, path: str,
                      by: Sequence[str] = ("source_year", "source_month")) -> DataFrame:
-    """Rows per partition of a written table (reads no data columns)."""
-    return spark.read.parquet(path).groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))
+    """Rows per partition of a written table (reads no data columns); none for a table that
+    was never written."""
+    keys = StructType([StructField(c, IntegerType()) for c in by])
+    return read_written(spark, path, keys).groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))

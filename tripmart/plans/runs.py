@@ -34,6 +34,7 @@ from tripmart.operators.load import (
     enforce_schema,
     replace_period,
     read_quality_report,
+    read_written,
     replace_partitions,
     write_dimension,
     write_quality_report,
@@ -272,7 +273,7 @@ def read_star(spark: SparkSession, paths: Paths):
     """The loaded warehouse as a ``Star``: fact and dimensions read from their tables
     (seeded code dimensions are literal rows)."""
     return Star(
-        fact=spark.read.schema(FACT_SCHEMA).parquet(paths.gold_fact),
+        fact=read_written(spark, paths.gold_fact, FACT_SCHEMA),
         dim_date=spark.read.parquet(f"{paths.gold_dims}/dim_date"),
         dim_location=spark.read.parquet(f"{paths.gold_dims}/dim_location"),
         dim_rate_code=rate_code_dim(spark),

@@ -23,7 +23,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tripmart.operators.load import read_written
 from tripmart.plans.runs import Paths, backfill
+from tripmart.schemas import FACT_SCHEMA
 from tripmart.session import configure
 
 
@@ -78,6 +80,6 @@ def run_incremental(spark: SparkSession, paths: Paths, run_id: str, checkpoint:
 
 def processed_periods(spark: SparkSession, paths: Paths) -> DataFrame:
     """Periods present in the fact table (what the incremental runs have loaded)."""
-    return spark.read.parquet(paths.gold_fact).select(
+    return read_written(spark, paths.gold_fact, FACT_SCHEMA).select(
         F.col("source_year").cast("int").alias("year"), F.col("source_month").cast("int").alias("month")
     ).distinct()
