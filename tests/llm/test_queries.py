@@ -29,7 +29,7 @@ def docs():
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     result = con.execute(ORACLE_SQL[name])
     columns = [c[0] for c in result.description]

@@ -9,10 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm.bpe import bpe_decode, bpe_encode
+from tripmart.llm.decontamination import decontaminate
 from tripmart.llm.embedding_dedup import embedding_dedup
 from tripmart.llm.exact_dedup import exact_dedup
 from tripmart.llm.line_dedup import line_dedup
+from tripmart.llm.merkle import merkle_manifest
 from tripmart.llm.packing import pack_documents
+from tripmart.llm.periodic_runs import periodic_runs
 from tripmart.llm.quality import fit_quality, id_remainder, score_quality
 from tripmart.llm.secret_scan import BASE_RULES, scan_secrets
 from tripmart.llm.simhash import hex_of, simhash_dedup
@@ -174,3 +177,141 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_shards(spark, manifest).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
+
+
+def _with_planted_run(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``, where every tenth checksum of an id makes the words from some place on
+    repeat with a period. Words are split off once: the arrays are columns of a generator's row."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    split = F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "")
+    planted = docs.where(h % 10 == 0).select("doc_id", "text", F.floor(h / 10).alias("g"), F.inline(F.array(F.struct(split.alias("words")))))
+    n = F.size("words")
+    sized = planted.withColumn("a", F.when(n > 0, F.col("g") % n).cast("int")).withColumn(
+        "p", (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    )
+    rest = n - F.col("a")
+    unit = F.slice("words", F.col("a") + 1, F.col("p"))
+    copies = F.slice(F.flatten(F.array_repeat(unit, F.ceil(rest / F.col("p")).cast("int"))), 1, rest)
+    text = F.when(n > 0, F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), copies), " ")).otherwise(F.col("text"))
+    others = docs.where(h.isNull() | (h % 10 != 0)).select("doc_id", "text")
+    return others.unionByName(sized.select("doc_id", text.alias("text")))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(_with_planted_run(table(spark, sf_dir, "documents")))
+    best = F.col("best")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *(best[c].alias(c) for c in ("start", "length", "period")),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+ORACLE_SQL["op12_decontamination"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), i AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), iw AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[p : p + k - 1], ' ') AS g
+  FROM (SELECT item_id, w, least(len(w), 10) AS k, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p FROM i WHERE len(w) > 0)
+), dw AS (
+  SELECT r, p, n.k, array_to_string(w[p : p + n.k - 1], ' ') AS g
+  FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS p FROM d) x JOIN (SELECT DISTINCT k FROM iw) n ON p + n.k - 1 <= len(x.w)
+), m AS (SELECT r, p, dw.k, item_id FROM dw JOIN iw ON dw.g = iw.g AND dw.k = iw.k),
+hits AS (
+  SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(p, p + k)) AS at FROM (SELECT DISTINCT r, p, k FROM m)) GROUP BY r
+), items AS (
+  SELECT r, count(*) AS n_items, string_agg(t, ',' ORDER BY t) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS t FROM m WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hits ON d.r = hits.r LEFT JOIN items ON d.r = items.r
+"""
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    found = merkle_manifest(
+        table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"],
+        claimed={"text": F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))},
+    )
+    steps = F.transform("path", lambda s: F.concat(s["left"], s["right"]))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.array_join(steps, ""), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def _field(column: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({column} AS VARCHAR)) AS VARCHAR) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+# the checksum's lowest bit by hand: eight steps for each character of the id
+ORACLE_SQL["op13_merkle_manifest"] = f"""
+WITH RECURSIVE c AS (
+  SELECT *, list_reduce([4294967295] || flatten(list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1),
+    lambda k: [CAST(ord(substr(CAST(doc_id AS VARCHAR), CAST(k AS INT), 1)) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])),
+    lambda x, y: xor(xor(x, y) // 2, 3988292384 * (xor(x, y) % 2))) AS crc
+  FROM documents
+), f AS (
+  SELECT row_number() OVER () AS r, doc_id, source, {_leaf("text")} AS leaf, {_leaf("claimed")} AS claim
+  FROM (SELECT *, CASE WHEN crc % 2 = 1 THEN replace(text, chr(10), '') ELSE text END AS claimed FROM c)
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS pos,
+         count(*) OVER (PARTITION BY source) AS total FROM f
+), n AS (
+  SELECT 0 AS lvl, source, pos, total, leaf AS h FROM o
+  UNION ALL
+  SELECT lvl + 1, source, pos // 3, (total + 2) // 3, sha256(string_agg(h, '' ORDER BY pos))
+  FROM n WHERE total > 1 GROUP BY lvl, source, pos // 3, total
+), s AS (
+  SELECT source, h, lvl, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS total
+  FROM n WHERE total = 1
+), t AS (
+  SELECT 0 AS lvl, pos, total, h FROM s
+  UNION ALL
+  SELECT lvl + 1, pos // 3, (total + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM t WHERE total > 1 GROUP BY lvl, pos // 3, total
+), fold AS (
+  SELECT r, source, 0 AS lvl, pos, total, claim AS h, '' AS proof FROM o
+  UNION ALL
+  SELECT r, source, lvl + 1, pos // 3, (total + 2) // 3, sha256(string_agg(part, '' ORDER BY spot)),
+         any_value(proof) || coalesce(string_agg(part, '' ORDER BY spot) FILTER (WHERE spot <> pos), '')
+  FROM (
+    SELECT fold.r, fold.source, fold.lvl, fold.pos, fold.total, fold.proof, n.pos AS spot, CASE WHEN n.pos = fold.pos THEN fold.h ELSE n.h END AS part
+    FROM fold JOIN n ON n.lvl = fold.lvl AND n.source IS NOT DISTINCT FROM fold.source AND n.pos // 3 = fold.pos // 3
+    WHERE fold.total > 1
+  ) GROUP BY r, source, lvl, pos, total
+), top AS (
+  SELECT fold.r, 0 AS lvl, s.pos, s.total, fold.h, fold.proof FROM fold JOIN s ON fold.source IS NOT DISTINCT FROM s.source WHERE fold.total = 1
+  UNION ALL
+  SELECT r, lvl + 1, pos // 3, (total + 2) // 3, sha256(string_agg(part, '' ORDER BY spot)),
+         any_value(proof) || coalesce(string_agg(part, '' ORDER BY spot) FILTER (WHERE spot <> pos), '')
+  FROM (
+    SELECT top.r, top.lvl, top.pos, top.total, top.proof, t.pos AS spot, CASE WHEN t.pos = top.pos THEN top.h ELSE t.h END AS part
+    FROM top JOIN t ON t.lvl = top.lvl AND t.pos // 3 = top.pos // 3 WHERE top.total > 1
+  ) GROUP BY r, lvl, pos, total
+)
+SELECT o.doc_id, o.leaf, s.h AS subroot, root.h AS root, sha256(top.proof) AS proof_sha256, top.h AS folded_root, top.h = root.h AS verified
+FROM o JOIN s ON o.source IS NOT DISTINCT FROM s.source JOIN top ON top.r = o.r AND top.total = 1 JOIN (SELECT h FROM t WHERE total = 1) root ON true
+"""
