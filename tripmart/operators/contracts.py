@@ -1,14 +1,16 @@
 """Data contracts the warehouse declares but never enforces, made executable.
 
 Each contract returns a small DataFrame of findings (zero = clean). Fact-wide contracts
-scan the fact once.
+scan the fact once. ``contract_findings`` puts them all in one form, and ``assert_contracts``
+stops a load on those that it is told to block on.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.schemas import DIM_KEYS, FACT_FOREIGN_KEYS, VARCHAR_LIMITS
@@ -126,3 +128,60 @@ def unique_business_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Business-key uniqueness after de-duplication: duplicate groups and rows (0, 0 = ok)."""
     return contract_unique_keys({"trips": df}, {"trips": list(keys)}).drop("table_name")
 
+
+
+#: The names under which :func:`contract_findings` lists the contracts.
+CONTRACTS = ("not_null", "foreign_key", "primary_key", "length", "unknown_member", "business_key")
+
+
+class ContractBreach(ValueError):
+    """A load was stopped; ``findings`` are its rows ``(contract, subject, findings)``."""
+
+    def __init__(self, findings: list[tuple[str, str, int]]):
+        self.findings = findings
+        super().__init__("contracts broken: " + ", ".join(f"{c} {s}: {n}" for c, s, n in findings))
+
+
+def contract_findings(
+    fact: DataFrame, dims: dict[str, DataFrame], contracts: Sequence[str] = CONTRACTS,
+    fact_key: str = "trip_key", business_key: Sequence[str] = (),
+) -> DataFrame:
+    """``contract, subject, findings``: a row per check of the named contracts, 0 = clean.
+
+    Findings are null values, rows with a dangling key, repeated keys, columns over their length,
+    dimensions without exactly one unknown member, and repeated business keys."""
+    unknown = set(contracts) - set(CONTRACTS)
+    if unknown:
+        raise ValueError(f"no such contracts: {sorted(unknown)}")
+
+    def form(df: DataFrame, contract: str, subject: Column | str, count: Column | str) -> DataFrame:
+        subject = F.col(subject) if isinstance(subject, str) else subject
+        count = F.col(count) if isinstance(count, str) else count
+        return df.select(F.lit(contract).alias("contract"), subject.alias("subject"), count.cast("long").alias("findings"))
+
+    found = []
+    if "not_null" in contracts:
+        found.append(form(contract_not_null(fact), "not_null", "column_name", "null_count"))
+    if "foreign_key" in contracts:
+        found.append(form(contract_foreign_keys(fact, dims), "foreign_key", "fk_column", "dangling_rows"))
+    if "primary_key" in contracts:
+        keyed = {**dims, "fact_trip": fact}
+        keys = contract_unique_keys(keyed, {**DIM_KEYS, "fact_trip": fact_key})
+        found.append(form(keys, "primary_key", "table_name", "duplicate_keys"))
+    if "length" in contracts:
+        lengths = contract_lengths({**dims, "fact_trip": fact})
+        column = F.concat_ws(".", "table_name", "column_name")
+        found.append(form(lengths, "length", column, (~F.col("within_limit")).cast("int")))
+    if "unknown_member" in contracts:
+        found.append(form(contract_unknown_row(dims), "unknown_member", "table_name", (~F.col("has_single_unknown")).cast("int")))
+    if "business_key" in contracts and business_key:
+        found.append(form(unique_business_keys(fact, business_key), "business_key", F.lit("fact_trip"), "duplicate_keys"))
+    return reduce(DataFrame.unionByName, found)
+
+
+def assert_contracts(findings: DataFrame) -> None:
+    """Raise :class:`ContractBreach` if any check has findings (one short row per broken check
+    reaches the driver)."""
+    broken = sorted(tuple(r) for r in findings.where("findings > 0").select("contract", "subject", "findings").collect())
+    if broken:
+        raise ContractBreach(broken)

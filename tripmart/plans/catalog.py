@@ -9,8 +9,9 @@ state or engine-specific hashes have no SQL and are listed in ``ROWS_ONLY``.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,18 +29,21 @@ from tripmart.operators.conform import (
 from tripmart.operators.dedupe import dedupe
 from tripmart.operators.dims import date_dim, date_dim_spanning, location_dim, scd1_upsert, seed_usage
 from tripmart.operators.facts import build_fact, key_by_lookup
-from tripmart.operators.load import partition_counts, read_quality_report, replace_partitions
+from tripmart.operators.identity import assign_identities, key_table
+from tripmart.operators.load import enforce_schema, partition_counts, read_quality_report, replace_partitions
 from tripmart.operators.quality import (
     quality_gate,
     quality_report,
     reject_reason_counts,
     trip_rules,
 )
+from tripmart.operators.swap import SwappedTable, merge_scd1, register_swapped, swap
 from tripmart.plans import marts, reports
 from tripmart.plans.oracle import (
     DIM_KEYS as SQL_DIM_KEYS,
     FACT_FOREIGN_KEYS as SQL_FOREIGN_KEYS,
     M6,
+    MONEY_COLS,
     R,
     TRIP_KEYS as SQL_TRIP_KEYS,
     VARCHAR_LIMITS as SQL_LIMITS,
@@ -47,11 +51,21 @@ from tripmart.plans.oracle import (
     prelude,
     with_ctes,
 )
-from tripmart.plans.runs import Paths, backfill, run_period
+from tripmart.plans.runs import (
+    Paths,
+    backfill,
+    fact_table,
+    load_dimensions,
+    location_table,
+    read_fact,
+    read_rejected,
+    run_period,
+)
 from tripmart.plans.star import Star, dims_for, silver_trips, valid_trips
 from tripmart.functions.keys import key_or_unknown
 from tripmart.schemas import (
     DIM_KEYS,
+    FACT_SCHEMA,
     PAYMENT_TYPE_KEYS,
     RATE_CODE_KEYS,
     TRIP_KEYS,
@@ -70,6 +84,7 @@ from tripmart.sources.manifest import (
     write_manifest,
 )
 from tripmart.sources.raw import (
+    read_period_leaf,
     read_raw_groups,
     read_raw_trips,
     read_zone_lookup_csv,
@@ -622,7 +637,105 @@ def q_contract_unknown_row(spark, sf):
     return contracts.contract_unknown_row(star.dims(), fact=star.fact)
 
 
+# ---------------------------------------------------------------------------------------
+# Loads: leaf reads, swapped periods, quarantine, contracts, stored dimension and keys
+# ---------------------------------------------------------------------------------------
+
+
+def q_scan_period_leaf(spark, sf):
+    """One month's leaf of the landed files, with its period columns."""
+    root = scratch_dir(spark, "bronze")
+    write_bronze(_ctx(spark, sf).raw, root)
+    return _doubles(read_period_leaf(spark, root, *PERIOD))
+
+
+def _loaded(c: Ctx, table: SwappedTable, fact: DataFrame) -> None:
+    periods = [tuple(r) for r in fact.select("source_year", "source_month").distinct().collect()]
+    swap(fact, table, periods, RUN_ID, cluster_by=["pickup_date_key"], rebalance=True)
+
+
+def q_replace_partition_swapped(spark, sf):
+    """Load the fact into a registered table, then swap one month for other rows and the next one
+    for none: what SQL on the table sees. One more run fails before its swap and changes nothing."""
+    c = _ctx(spark, sf)
+    fact = enforce_schema(build_fact(c.silver, with_trip_key=True), FACT_SCHEMA)
+    root = scratch_dir(spark, "swapped")
+    table = fact_table(root, f"fact_{root.rpartition('-')[2]}")
+    register_swapped(spark, table)
+    _loaded(c, table, fact)
+    y, m = PERIOD
+    rerun = fact.filter((F.col("source_year") == y) & (F.col("source_month") == m) & (F.col("total_amount") > 20000))
+    swap(rerun.withColumn("tip_amount", F.col("tip_amount") + 1), table, [(y, m), (y, m + 1)], RUN_ID)
+    try:
+        swap(rerun.withColumn("vendor_key", F.raise_error(F.lit("lost")).cast("int")), table, [(y, m)], RUN_ID)
+    except PySparkException:
+        pass
+    return spark.sql(
+        f"SELECT source_year, source_month, COUNT(*) AS rows, CAST(SUM(tip_amount) AS DOUBLE) AS tips "
+        f"FROM {table.name} GROUP BY source_year, source_month"
+    )
+
+
+def q_rejected_trips(spark, sf):
+    """Months with faults of each kind go through the pipeline: the rejected rows, from the
+    quarantine, with the names of the rules they failed and the columns that weren't castable."""
+    c = _ctx(spark, sf)
+    paths = replace(c.paths(), judged=scratch_dir(spark, "judged"))
+    write_bronze(c.dirty, paths.bronze)
+    backfill(spark, paths, RUN_ID, enforce_gate=False)
+    rows = read_rejected(spark, paths)
+    return _doubles(rows.select(
+        *_CONFORMED_COLS, F.col("source_year").cast("int").alias("year"), F.col("source_month").cast("int").alias("month"),
+        F.array_join("reject_reasons", ",").alias("reasons"), F.array_join(CAST_FAILED, ",").alias("uncastable")))
+
+
+def q_contracts_block_load(spark, sf):
+    """A load whose location dimension lacks some zones is stopped by the foreign keys: what each
+    foreign key found, and the rows that got into the fact."""
+    c = _ctx(spark, sf)
+    paths = replace(c.paths(), zone_lookup_csv=scratch_dir(spark, "zones"))
+    write_bronze(c.raw, paths.bronze)
+    write_zone_lookup_csv(c.raw_zones.filter("LocationID % 5 <> 0"), paths.zone_lookup_csv)
+    load_dimensions(spark, paths, CALENDAR, with_unknown=False)
+    try:
+        backfill(spark, paths, RUN_ID, enforce_gate=False, contracts=["foreign_key"])
+        broken = []
+    except contracts.ContractBreach as e:
+        broken = e.findings
+    stopped = spark.createDataFrame(broken, "contract string, subject string, findings long")
+    return stopped.withColumn("fact_rows", F.lit(read_fact(spark, paths).count()).cast("long"))
+
+
+def q_dim_location_loaded(spark, sf):
+    """Two loads of the stored location dimension: all zones, then every second one under another
+    name; the second reads and replaces what the first wrote, and a third changes nothing."""
+    c = _ctx(spark, sf)
+    table = location_table(scratch_dir(spark, "dim_location"))
+    merge_scd1(spark, table, location_dim(c.zones, with_unknown=True), "location_key", RUN_ID)
+    changed = location_dim(c.zones).filter("location_id % 2 = 0").withColumn("zone", F.concat("zone", F.lit(" (new)")))
+    merge_scd1(spark, table, changed, "location_key", RUN_ID)
+    return merge_scd1(spark, table, changed, "location_key", RUN_ID)
+
+
+def q_fact_identity(spark, sf):
+    """Numbers of the trips' keys: a first load of some vendors' trips, then one of all trips, in
+    which the first ones keep theirs."""
+    c = _ctx(spark, sf)
+    keys = key_table(scratch_dir(spark, "keys"))
+    for trips in (c.raw.filter("VendorID <= 3"), c.raw):
+        fact = build_fact(silver_trips(trips, RUN_ID, PROCESSED_AT), with_trip_key=True)
+        periods = [tuple(r) for r in fact.select("source_year", "source_month").distinct().collect()]
+        found = assign_identities(spark, fact, keys, periods, RUN_ID)
+    return found.select("trip_key", "trip_identity")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "scan_period_leaf": q_scan_period_leaf,
+    "replace_partition_swapped": q_replace_partition_swapped,
+    "rejected_trips": q_rejected_trips,
+    "contracts_block_load": q_contracts_block_load,
+    "dim_location_loaded": q_dim_location_loaded,
+    "fact_identity": q_fact_identity,
     "scan_raw_trips": q_scan_raw_trips,
     "scan_drifting_months": q_scan_drifting_months,
     "conform_trips": q_conform_trips,
@@ -1210,6 +1323,8 @@ def _more_oracles(money: str) -> dict[str, str]:
     first_fact = with_ctes(PRE, f"SELECT * FROM fact WHERE {quarter} AND source_month <> {m}")
     second_fact = with_ctes(rerun, "SELECT * FROM fact")
     named = {src: tgt for tgt, (src, _) in _CAST_TARGET.items()}
+    some = prelude(None, RUN_ID, PROCESSED_AT, "(SELECT * FROM raw_trips WHERE VendorID <= 3)")
+    few, every = (with_ctes(_with_keys(pre), "SELECT DISTINCT trip_key FROM keyed") for pre in (some, PRE))
     return {
         "scan_drifting_months": _sql(
             f"SELECT {money}, CASE WHEN year >= 1997 THEN CAST(0.75 AS DOUBLE) END AS cbd_congestion_fee, "
@@ -1267,6 +1382,33 @@ def _more_oracles(money: str) -> dict[str, str]:
             f"THEN 1 ELSE 0 END) AS DOUBLE) AS tips FROM fact WHERE NOT ({quarter} AND source_month = {m}) OR total_amount > 20000 "
             "GROUP BY source_year, source_month"
         ),
+        "scan_period_leaf": _sql(f"SELECT * FROM raw_trips WHERE year = {y} AND month = {m}"),
+        "replace_partition_swapped": _sql(
+            f"SELECT source_year, source_month, COUNT(*) AS rows, CAST(SUM(tip_amount + CASE WHEN {quarter} AND source_month = {m} "
+            f"THEN 1 ELSE 0 END) AS DOUBLE) AS tips FROM fact WHERE (NOT ({quarter} AND source_month = {m}) OR total_amount > 20000) "
+            f"AND NOT ({quarter} AND source_month = {m + 1}) GROUP BY source_year, source_month"
+        ),
+        "rejected_trips": _sql(
+            f"SELECT * EXCLUDE (bad) REPLACE ({', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in MONEY_COLS)}), "
+            "concat_ws(',', " + ", ".join(f"CASE WHEN NOT COALESCE({p}, FALSE) THEN '{n}' END" for n, p in rules.items()) + ") AS reasons, "
+            "CASE WHEN bad THEN 'total_amount' ELSE '' END AS uncastable FROM (SELECT *, total_amount IS NULL AS bad FROM conformed) "
+            "WHERE NOT (" + " AND ".join(f"COALESCE({p}, FALSE)" for p in rules.values()) + ")", pre=dirty,
+        ),
+        "contracts_block_load": _sql(
+            "SELECT 'foreign_key' AS contract, fk_column AS subject, dangling_rows AS findings, CAST(0 AS BIGINT) AS fact_rows FROM ("
+            + _fk_sql().replace("FROM dim_location d WHERE", "FROM dim_location d WHERE d.location_id % 5 <> 0 AND")
+            + ") WHERE dangling_rows > 0"
+        ),
+        "dim_location_loaded": _sql(
+            "SELECT * REPLACE (CASE WHEN location_id % 2 = 0 THEN zone || ' (new)' ELSE zone END AS zone) FROM dim_location "
+            "UNION ALL SELECT 0, 0, 'Unknown', 'Unknown', 'Unknown'"
+        ),
+        "fact_identity": (
+            f"WITH few AS ({few}), every AS ({every}) "
+            "SELECT trip_key, row_number() OVER (ORDER BY trip_key) AS trip_identity FROM few "
+            "UNION ALL SELECT trip_key, (SELECT COUNT(*) FROM few) + row_number() OVER (ORDER BY trip_key) "
+            "FROM every WHERE trip_key NOT IN (SELECT trip_key FROM few)"
+        ),
         "monthly_recap_narrow_calendar": _sql(
             "SELECT year, month_name, total_trips, total_revenue_usd, avg_distance_miles, avg_duration_minutes FROM ("
             "SELECT d.year, d.month_name, f.source_year, f.source_month, COUNT(*) AS total_trips, "

@@ -14,13 +14,15 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.operators.conform import conform_groups, conform_zone_lookup
+from tripmart.operators.conform import CAST_FAILED, conform_groups, conform_zone_lookup
+from tripmart.operators.contracts import assert_contracts, contract_findings
 from tripmart.operators.dims import (
     date_dim,
     location_dim,
@@ -40,11 +42,13 @@ from tripmart.operators.load import (
     write_quality_report,
 )
 from tripmart.operators.quality import assert_gate, quality_gate, quality_report_from_counts
-from tripmart.plans.star import Star, silver_trips
+from tripmart.operators.swap import SwappedTable, merge_scd1, read_swapped, swap
+from tripmart.plans.star import REASONS, VERDICT, Star, judged_trips, silver_trips
 from tripmart.schemas import (
     CALENDAR_END,
     CALENDAR_START,
     DATASET_NAME,
+    DIM_LOCATION_SCHEMA,
     FACT_SCHEMA,
     GATE_MAX_REJECT_PCT,
     GATE_MIN_ROWS,
@@ -58,12 +62,33 @@ PERIOD = ["source_year", "source_month"]
 
 @dataclass(frozen=True)
 class Paths:
+    """Folders of the pipeline. Optional: ``judged``, where accepted and rejected trips are
+    written side by side (then the silver table is its accepted part); ``fact_table`` and
+    ``location_table``, which are swapped by location instead of overwritten in place."""
+
     bronze: str
     silver: str
     quality: str
     gold_fact: str
     gold_dims: str
     zone_lookup_csv: str | None = None
+    judged: str | None = None
+    fact_table: SwappedTable | None = None
+    location_table: SwappedTable | None = None
+
+    def sink(self, verdict: str) -> str:
+        """Folder of the trips with a verdict (``accepted``: the silver table)."""
+        return f"{self.judged}/{VERDICT}={verdict}" if self.judged else self.silver
+
+
+def fact_table(root: str, name: str | None = None) -> SwappedTable:
+    """A fact whose months are swapped by location."""
+    return SwappedTable(root, FACT_SCHEMA, tuple(PERIOD), name)
+
+
+def location_table(root: str, name: str | None = None) -> SwappedTable:
+    """A location dimension that goes from version to version."""
+    return SwappedTable(root, DIM_LOCATION_SCHEMA, (), name)
 
 
 def new_run_id(prefix: str = "run") -> str:
@@ -78,7 +103,7 @@ def register_tables(spark: SparkSession, paths: Paths, database: str = "warehous
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     tables = {
         "fact_trip": (paths.gold_fact, True),
-        "silver_trips": (paths.silver, True),
+        "silver_trips": (paths.sink("accepted"), True),
         **{d: (f"{paths.gold_dims}/{d}", False) for d in
            ("dim_date", "dim_location", "dim_rate_code", "dim_payment_type", "dim_vendor")},
     }
@@ -101,7 +126,7 @@ def register_views(spark: SparkSession, paths: Paths) -> list[str]:
     """Expose the warehouse tables to SQL as session views (the reference's schema and
     CREATE TABLE statements re-aimed: the tables are the written parquet folders)."""
     star = read_star(spark, paths)
-    views = {"fact_trip": star.fact, **star.dims(), "silver_trips": spark.read.parquet(paths.silver),
+    views = {"fact_trip": star.fact, **star.dims(), "silver_trips": spark.read.parquet(paths.sink("accepted")),
              "quality_report": read_quality_report(spark, paths.quality)}
     for name, df in views.items():
         df.createOrReplaceTempView(name)
@@ -150,25 +175,30 @@ def _clear_without(spark, schema, root, periods, accepted) -> None:
 
 def _load_silver_and_report(spark, paths, trips, run_id, processed_at, year=None, month=None):
     """Write silver for the periods in ``trips``, then the report from row counts."""
-    silver = silver_trips(trips, run_id, processed_at, year, month, source_file=F.col("_source_file"))
-    silver = silver.drop("_source_file")
+    judge = judged_trips if paths.judged else silver_trips
+    rows = judge(trips, run_id, processed_at, year, month, source_file=F.col("_source_file")).drop("_source_file")
     # One month: after the dedupe shuffle every task holds rows of that month only, so each
     # writes one file. Many months: rebalance, so tasks don't each write into every month.
-    replace_partitions(silver, paths.silver, PERIOD, rebalance=year is None)
+    if paths.judged:
+        replace_partitions(rows, paths.judged, [VERDICT, *PERIOD], rebalance=year is None)
+    else:
+        replace_partitions(rows, paths.silver, PERIOD, rebalance=year is None)
+    silver, root = rows.drop(VERDICT, REASONS, CAST_FAILED), paths.sink("accepted")
     inputs = _period_counts(trips, "year", "month")
     periods = [(y, m) for y, m, _ in inputs]
     # Count only rows this run wrote (its processed_at stamp): a month that now produces no
     # rows is not rewritten by a dynamic overwrite and still holds an earlier run's rows. The
     # schema is given, as a first run may have written no file.
-    read = spark.read.schema(silver.schema)
-    this_run = read.parquet(paths.silver).filter(
-        in_periods(periods) & (F.col("processed_at_utc") == F.lit(processed_at))
-    )
-    accepted = _period_counts(this_run, "source_year", "source_month")
+    mine = in_periods(periods) & (F.col("processed_at_utc") == F.lit(processed_at))
+    accepted = _period_counts(read_written(spark, root, silver.schema).filter(mine), *PERIOD)
     # Months of this run with no accepted rows lose the rows of an earlier run.
-    _clear_without(spark, silver.schema, paths.silver, periods, accepted)
+    _clear_without(spark, silver.schema, root, periods, accepted)
+    if paths.judged:  # and those without rejected rows lose the earlier run's
+        root, schema = paths.sink("rejected"), rows.drop(VERDICT).schema
+        rejected = _period_counts(read_written(spark, root, schema).filter(mine), *PERIOD)
+        _clear_without(spark, schema, root, periods, rejected)
     # Fresh read (file listing taken after all silver writes of this run).
-    written = read.parquet(paths.silver).filter(in_periods(periods))
+    written = read_written(spark, paths.sink("accepted"), silver.schema).filter(in_periods(periods))
     schema = "year int, month int, rows long"
     report = quality_report_from_counts(
         spark.createDataFrame(inputs, schema), spark.createDataFrame(accepted, schema),
@@ -178,10 +208,28 @@ def _load_silver_and_report(spark, paths, trips, run_id, processed_at, year=None
     return written, periods, accepted
 
 
+def read_rejected(spark: SparkSession, paths: Paths) -> DataFrame:
+    """The rejected trips of all loaded months with their reasons, from the quarantine."""
+    return spark.read.parquet(paths.sink("rejected"))
+
+
 def _fact(written: DataFrame) -> DataFrame:
     return enforce_schema(build_fact(written, with_trip_key=True), FACT_SCHEMA)
 
 
+def read_fact(spark: SparkSession, paths: Paths) -> DataFrame:
+    """The loaded fact; no rows where nothing was ever loaded."""
+    if paths.fact_table:
+        return read_swapped(spark, paths.fact_table)
+    return read_written(spark, paths.gold_fact, FACT_SCHEMA)
+
+
+def _check(spark: SparkSession, paths: Paths, fact: DataFrame, contracts: Sequence[str]) -> None:
+    """Stop the load if the rows about to be loaded break one of the contracts."""
+    if contracts:
+        assert_contracts(contract_findings(fact, read_star(spark, paths).dims(), contracts))
+
+
 def run_period(
     spark: SparkSession,
     paths: Paths,
@@ -191,13 +239,15 @@ def run_period(
     enforce_gate: bool = True,
     min_rows: int = GATE_MIN_ROWS,
     max_reject_pct: float = GATE_MAX_REJECT_PCT,
+    contracts: Sequence[str] = (),
 ) -> DataFrame:
     """Process one month end to end; returns the period's gate row.
 
     Reads only that month's bronze partition; silver, report and fact partitions of the
     month are replaced, nothing else is touched. A month without landed files is skipped:
     nothing is written and the row's reason is ``source_missing``. The gate reads this run's
-    report; a failed gate, or no report, raises before gold.
+    report; a failed gate, or no report, raises before gold, and so do rows that break one of
+    ``contracts`` (names of ``operators.contracts``, checked against the loaded dimensions).
     """
     configure(spark)
     processed_at = dt.datetime.now(dt.UTC).isoformat()
@@ -209,8 +259,13 @@ def run_period(
     gate = quality_gate(report, min_rows, max_reject_pct)
     if enforce_gate:
         assert_gate(gate, [(year, month)])
-    rows = sum(n for *_, n in accepted)
-    replace_period(_fact(written), paths.gold_fact, year, month, rows, cluster_by=["pickup_date_key"])
+    fact = _fact(written)
+    _check(spark, paths, fact, contracts)
+    if paths.fact_table:
+        swap(fact, paths.fact_table, [(year, month)], run_id, cluster_by=["pickup_date_key"])
+    else:
+        rows = sum(n for *_, n in accepted)
+        replace_period(fact, paths.gold_fact, year, month, rows, cluster_by=["pickup_date_key"])
     return gate
 
 
@@ -222,6 +277,7 @@ def backfill(
     min_rows: int = GATE_MIN_ROWS,
     max_reject_pct: float = GATE_MAX_REJECT_PCT,
     enforce_gate: bool = True,
+    contracts: Sequence[str] = (),
 ) -> DataFrame:
     """Process many months at once; returns the gate table (one row per period).
 
@@ -230,6 +286,7 @@ def backfill(
     that passed. Periods failing the gate get silver data and a report but no fact
     partition (unless ``enforce_gate=False``, which loads every period and only records
     the verdict). Asked-for periods that never landed are skipped as ``source_missing``.
+    Rows that break one of ``contracts`` stop the load of all of them.
     """
     configure(spark)
     processed_at = dt.datetime.now(dt.UTC).isoformat()
@@ -243,10 +300,15 @@ def backfill(
     if enforce_gate:
         # one gate row per period reaches the driver
         loaded = [(r.year, r.month) for r in gate.filter("passed").select("year", "month").collect()]
-    if any((y, m) in set(loaded) for y, m, _ in accepted):
-        fact = _fact(written.filter(in_periods(loaded)))
-        replace_partitions(fact, paths.gold_fact, PERIOD, cluster_by=["pickup_date_key"], rebalance=False)
-    _clear_without(spark, FACT_SCHEMA, paths.gold_fact, loaded, accepted)
+    fact = _fact(written.filter(in_periods(loaded)))
+    if loaded:
+        _check(spark, paths, fact, contracts)
+    if paths.fact_table:
+        swap(fact, paths.fact_table, loaded, run_id, cluster_by=["pickup_date_key"])
+    else:
+        if any((y, m) in set(loaded) for y, m, _ in accepted):
+            replace_partitions(fact, paths.gold_fact, PERIOD, cluster_by=["pickup_date_key"], rebalance=False)
+        _clear_without(spark, FACT_SCHEMA, paths.gold_fact, loaded, accepted)
     absent = sorted(set(periods or []) - set(found))
     return gate.unionByName(_missing(spark, absent)) if absent else gate
 
@@ -257,25 +319,29 @@ def load_dimensions(
     calendar: tuple[str, str] = (CALENDAR_START, CALENDAR_END),
     with_unknown: bool = True,
 ) -> None:
-    """Rebuild the calendar (SCD0), the seeded code dimensions and the location (SCD1
-    overwrite) dimension."""
+    """Rebuild the calendar (SCD0), the seeded code dimensions and the location dimension (SCD1:
+    overwritten, or merged into the stored one where ``paths.location_table`` is set)."""
     write_dimension(date_dim(spark, *calendar, with_unknown=with_unknown), f"{paths.gold_dims}/dim_date")
     for name, dim in (("dim_rate_code", rate_code_dim(spark)), ("dim_payment_type", payment_type_dim(spark)),
                       ("dim_vendor", vendor_dim(spark))):
         write_dimension(dim, f"{paths.gold_dims}/{name}")
     if paths.zone_lookup_csv:
         zones = conform_zone_lookup(read_zone_lookup_csv(spark, paths.zone_lookup_csv))
-        # as many rows as there are zone ids, which nothing bounds
-        write_dimension(location_dim(zones, with_unknown=with_unknown), f"{paths.gold_dims}/dim_location", one_file=False)
+        locations = location_dim(zones, with_unknown=with_unknown)
+        if paths.location_table:
+            merge_scd1(spark, paths.location_table, locations, "location_key", new_run_id("dims"))
+        else:  # as many rows as there are zone ids, which nothing bounds
+            write_dimension(locations, f"{paths.gold_dims}/dim_location", one_file=False)
 
 
 def read_star(spark: SparkSession, paths: Paths):
     """The loaded warehouse as a ``Star``: fact and dimensions read from their tables
     (seeded code dimensions are literal rows)."""
     return Star(
-        fact=read_written(spark, paths.gold_fact, FACT_SCHEMA),
+        fact=read_fact(spark, paths),
         dim_date=spark.read.parquet(f"{paths.gold_dims}/dim_date"),
-        dim_location=spark.read.parquet(f"{paths.gold_dims}/dim_location"),
+        dim_location=read_swapped(spark, paths.location_table) if paths.location_table
+        else spark.read.parquet(f"{paths.gold_dims}/dim_location"),
         dim_rate_code=rate_code_dim(spark),
         dim_payment_type=payment_type_dim(spark),
         dim_vendor=vendor_dim(spark),

@@ -24,7 +24,7 @@ from tripmart.operators.dims import (
     rate_code_dim,
     vendor_dim,
 )
-from tripmart.operators.quality import trip_rules, valid_filter
+from tripmart.operators.quality import trip_rules, valid_filter, with_reject_reasons
 from tripmart.schemas import TRIP_KEYS, TRIP_SPEC
 from tripmart.sources.raw import trip_file_name_col
 
@@ -76,6 +76,37 @@ def silver_trips(
     return add_lineage(accepted, run_id, processed_at, source_file=source_file)
 
 
+#: Columns that the quarantine has beside those of silver.
+REASONS, VERDICT = "reject_reasons", "verdict"
+
+
+def judged_trips(
+    raw: DataFrame,
+    run_id: str,
+    processed_at: str | None = None,
+    year: int | None = None,
+    month: int | None = None,
+    source_file: str | Column | None = None,
+) -> DataFrame:
+    """All trips under a ``verdict``, in one pass: ``accepted`` ones as :func:`silver_trips` has
+    them, and each ``rejected`` row with its ``reject_reasons`` (names of the failed rules) and
+    its uncastable columns.
+
+    Accepted rows are de-duplicated per period; a rejected row has a number of its own among the
+    grouping keys, so that none is folded into another. One shuffle serves both.
+    """
+    trips = raw if CAST_FAILED in raw.columns else conform_with_rejects(raw, TRIP_SPEC)
+    rejected = F.size(REASONS) > 0
+    tagged = with_reject_reasons(trips, trip_rules(year, month, cast_failed=CAST_FAILED)).withColumn(
+        "_own", F.when(rejected, F.monotonically_increasing_id())
+    )
+    kept = dedupe(tagged, ["year", "month", *TRIP_KEYS, "_own"]).drop("_own")
+    kept = kept.withColumn(VERDICT, F.when(rejected, "rejected").otherwise("accepted"))
+    if source_file is None:
+        source_file = trip_file_name_col(F.col("year"), F.col("month"))
+    return add_lineage(kept, run_id, processed_at, source_file=source_file)
+
+
 def dims_for(
     spark: SparkSession, raw_zones: DataFrame, dim_date: DataFrame, with_unknown: bool = False
 ) -> dict[str, DataFrame]:

@@ -11,14 +11,14 @@ names); the files of a month's latest landing supersede the others.
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripmart.schemas import DATASET_NAME, RAW_ZONE_SCHEMA
+from tripmart.sources.footers import file_schemas, schema_groups
 
 
 def period_dir(root: str, year: int, month: int) -> str:
@@ -50,65 +50,63 @@ def read_raw_trips(
     return spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*paths)
 
 
-def _landing(path: str) -> str:
-    """Landing time in a file's name; empty for a first landing without one."""
-    found = re.findall(r"(\d{8}T\d{6})", path.rpartition("/")[2])
-    return found[0] if found else ""
-
-
-def landed_files(
-    spark: SparkSession, root: str, year: int | None = None, month: int | None = None
-) -> dict[tuple[int, int], list[str]]:
-    """Files of each month's latest landing; no entry for a month that never landed.
-
-    A listing without contents: one short row per file reaches the driver, which holds the
-    listing of every scan anyway."""
+def landed(spark: SparkSession, root: str, year: int | None = None, month: int | None = None) -> DataFrame | None:
+    """``year, month, path`` of the files of each month's latest landing, without their
+    contents; None for a root where no month ever landed."""
     try:
         listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return {}
+            return None
         raise
     if not {"year", "month"} <= set(listed.columns):  # a root without any month
-        return {}
+        return None
     if year is not None:
         listed = listed.filter(F.col("year") == F.lit(year))
     if month is not None:
         listed = listed.filter(F.col("month") == F.lit(month))
+    # landing time in a file's name; empty for a first landing without one
+    landing = F.regexp_extract(F.element_at(F.split("path", "/"), -1), r"(\d{8}T\d{6})", 1)
+    files = listed.where("year IS NOT NULL AND month IS NOT NULL").select(
+        F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"), "path", landing.alias("_landing")
+    )
+    latest = F.max("_landing").over(Window.partitionBy("year", "month"))
+    return files.withColumn("_latest", latest).where("_landing = _latest").select("year", "month", "path")
+
+
+def landed_files(
+    spark: SparkSession, root: str, year: int | None = None, month: int | None = None
+) -> dict[tuple[int, int], list[str]]:
+    """Files of each month's latest landing; no entry for a month that never landed.
+
+    A listing without contents: one short row per file reaches the driver, which holds the
+    listing of every scan anyway."""
+    files = landed(spark, root, year, month)
     found: dict[tuple[int, int], list[str]] = defaultdict(list)
-    for r in listed.select("year", "month", "path").collect():
-        if r.year is not None and r.month is not None:
-            found[int(r.year), int(r.month)].append(r.path)
-    latest = {period: max(map(_landing, paths)) for period, paths in found.items()}
-    return {k: sorted(p for p in found[k] if _landing(p) == latest[k]) for k in sorted(found)}
+    for r in files.collect() if files is not None else ():
+        found[r.year, r.month].append(r.path)
+    return {k: sorted(found[k]) for k in sorted(found)}
 
 
 def read_raw_groups(
     spark: SparkSession, root: str, periods: list[tuple[int, int]] | None = None
 ) -> list[DataFrame]:
-    """The raw months, or those of ``periods``, as one frame per file schema.
+    """The raw months, or those of ``periods``, as one frame per group of file schemas.
 
-    Usually that is a single frame with the months' schemas merged. Where a column changed its
-    type, months are grouped by the schema in their files' footers. No column is lost."""
+    Usually that is a single frame, in which a column that some month lacks is NULL there.
+    Where a column changed its type, its months make frames of their own. No column is lost.
+    The tasks read the footers (``sources.footers``); the driver opens no file."""
     if periods is not None and len(set(periods)) == 1:
-        files = landed_files(spark, root, *periods[0])
+        files = landed(spark, root, *periods[0])
     else:
-        files = landed_files(spark, root)
-    wanted = {k: v for k, v in files.items() if periods is None or k in set(periods)}
-    if not wanted:
+        files = landed(spark, root)
+    if files is None:
         return []
+    if periods is not None:
+        codes = sorted({y * 100 + m for y, m in periods})
+        files = files.where((F.col("year") * 100 + F.col("month")).isin(codes) if codes else F.lit(False))
     reader = spark.read.option("basePath", root)
-    try:
-        return [reader.option("mergeSchema", "true").parquet(*[p for v in wanted.values() for p in v])]
-    except Exception as e:  # a Spark error class of the footers' comparison, not one type of exception
-        if "MERGE_SCHEMA" not in str(e):
-            raise
-    groups: dict[str, list[str]] = defaultdict(list)
-    reader = spark.read.option("basePath", root).option("mergeSchema", "false")
-    for paths in wanted.values():  # one footer per file; months come in few files
-        for path in paths:
-            groups[reader.parquet(path).schema.json()].append(path)
-    return [reader.parquet(*paths) for paths in groups.values()]
+    return [reader.schema(g.schema).parquet(*g.paths) for g in schema_groups(file_schemas(files))]
 
 
 def read_period_leaf(spark: SparkSession, root: str, year: int, month: int) -> DataFrame:
