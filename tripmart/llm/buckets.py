@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import stored
+from tripmart.llm.common import release, stored
 from tripmart.llm.components import connected_components
 
 #: Leaders of a bucket beside its smallest and largest member, unless given.
@@ -69,10 +69,13 @@ def united(
     if leaders:
         pairs = pairs.unionByName(_leader_pairs(dense, leaders, 0, near))
     links = stored(verified(pairs.distinct()), f"{name}-links")
+    release(shared)
     groups = connected_components(links, f"{name}-groups")
-    large = dense
+    large, done = dense, large
     for k in range(rounds + 1):
         large = _apart(large, groups, f"{name}-apart")
+        release(done)
+        done = large
         if large.isEmpty():
             break
         if k == rounds:
@@ -84,6 +87,7 @@ def united(
         if not found.isEmpty():
             links = links.unionByName(found)
             groups = connected_components(links, f"{name}-groups")
+    release(done)
     return groups
 
 
@@ -101,7 +105,9 @@ def _apart(large: DataFrame, groups: DataFrame, name: str) -> DataFrame:
     rows = large.select("key", "id").join(groups, F.col("id") == F.col("node"), "left")
     rows = stored(rows.select("key", "id", F.coalesce("component", "id").alias("component")), name)
     spread = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return stored(rows.join(spread.where("low <> high").select("key"), "key"), name)
+    apart = stored(rows.join(spread.where("low <> high").select("key"), "key"), name)
+    release(rows)
+    return apart
 
 
 def _between(pairs: DataFrame, groups: DataFrame) -> DataFrame:

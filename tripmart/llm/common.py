@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.llm.files import opened
 from tripmart.session import importable, scratch_dir
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -33,6 +34,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     It cuts the lineage and fixes the rows, and the files outlive executors."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
+    schema = df.schema
     # what was shuffled to make the table isn't read again once it is written
     cleanup = spark.conf.get(_CLEANUP)
     spark.conf.set(_CLEANUP, "true")
@@ -40,7 +42,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path, compression="zstd")
     finally:
         spark.conf.set(_CLEANUP, cleanup)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete what ``stored`` wrote for these, once no frame still to be computed reads it."""
+    for table in tables:
+        store, path = opened(table.scratch_path)
+        store.delete_dir(path)
 
 
 def text_or_empty(column: str = "text") -> Column:

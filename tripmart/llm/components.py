@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import stored
+from tripmart.llm.common import release, stored
 
 
 def _stars(edges: DataFrame) -> DataFrame:
@@ -47,7 +47,8 @@ def connected_components(links: DataFrame, name: str = "components") -> DataFram
     edges = stored(down.where("src <> dst").distinct(), name)
     before = _mark(edges)
     while before[0]:
-        edges = stored(_stars(edges).distinct(), name)
+        edges, last = stored(_stars(edges).distinct(), name), edges
+        release(last)
         now = _mark(edges)
         if now == before:
             break
