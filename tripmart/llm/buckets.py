@@ -11,6 +11,7 @@ be connected, and a dense group costs a few rows a member.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,22 +46,27 @@ def _pairs(rows: DataFrame, a: str, b: str, near: Callable[[str, str], Column])
 
 
 def united(
-    members: DataFrame, verified: Callable[[DataFrame], DataFrame], near: Callable[[str, str], Column], name: str,
+    members: DataFrame | list[DataFrame], verified: Callable[[DataFrame], DataFrame], near: Callable[[str, str], Column], name: str,
     ends: tuple[str, ...] = ("low", "high"), leaders: int = LEADERS, rounds: int = 0,
 ) -> DataFrame:
     """``node, component`` of all ids that link to another one.
 
-    ``members``: distinct rows ``key, id`` (a long), cheap to compute twice. ``verified``
+    ``members``: distinct rows ``key, id`` (a long), cheap to compute twice; or several such
+    frames without common keys, which are counted one after the other, each shuffle's files
+    gone before the next. ``verified``
     keeps the rows of ``src, dst`` that link; ``near`` is a condition on two id columns that
     no linked pair fails, applied within the join across components. Members meet the ``ends``
     of their bucket (smallest, largest) and that many ``leaders`` first; ``rounds`` of new
     leaders come before that join at most.
     """
-    counted = members.groupBy("key").agg(
-        F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n")
-    )
-    shared = stored(counted.where("n > 1"), f"{name}-shared")
-    large = stored(members.join(shared.where("n > 2"), "key"), f"{name}-large")
+    tables = []
+    for part in members if isinstance(members, list) else [members]:
+        counted = part.groupBy("key").agg(
+            F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n")
+        )
+        own = stored(counted.where("n > 1"), f"{name}-shared")
+        tables.append((own, stored(part.join(own.where("n > 2"), "key"), f"{name}-large")))
+    shared, large = (reduce(DataFrame.unionByName, some) for some in zip(*tables, strict=True))
     # two ends leave no pair of a bucket of three unmet
     dense = large.where("n > 3" if len(ends) > 1 else "n > 2").select("key", "id")
     pairs = _pairs(shared.where("n = 2"), "low", "high", near)
@@ -69,13 +75,13 @@ def united(
     if leaders:
         pairs = pairs.unionByName(_leader_pairs(dense, leaders, 0, near))
     links = stored(verified(pairs.distinct()), f"{name}-links")
-    release(shared)
+    release(*(own for own, _ in tables))
     groups = connected_components(links, f"{name}-groups")
-    large, done = dense, large
+    large, done = dense, [rows for _, rows in tables]
     for k in range(rounds + 1):
         large = _apart(large, groups, f"{name}-apart")
-        release(done)
-        done = large
+        release(*done)
+        done = [large]
         if large.isEmpty():
             break
         if k == rounds:
@@ -87,7 +93,7 @@ def united(
         if not found.isEmpty():
             links = links.unionByName(found)
             groups = connected_components(links, f"{name}-groups")
-    release(done)
+    release(*done)
     return groups
 
 
