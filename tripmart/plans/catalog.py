@@ -30,14 +30,20 @@ from tripmart.operators.dedupe import dedupe
 from tripmart.operators.dims import date_dim, date_dim_spanning, location_dim, scd1_upsert, seed_usage
 from tripmart.operators.facts import build_fact, key_by_lookup
 from tripmart.operators.identity import assign_identities, key_table
-from tripmart.operators.load import enforce_schema, partition_counts, read_quality_report, replace_partitions
+from tripmart.operators.load import (
+    enforce_schema,
+    partition_counts,
+    read_quality_report,
+    replace_partitions,
+    write_dimension,
+)
 from tripmart.operators.quality import (
     quality_gate,
     quality_report,
     reject_reason_counts,
     trip_rules,
 )
-from tripmart.operators.swap import SwappedTable, merge_scd1, register_swapped, swap
+from tripmart.operators.swap import SwappedTable, merge_scd1, read_swapped, register_swapped, swap
 from tripmart.plans import marts, reports
 from tripmart.plans.oracle import (
     DIM_KEYS as SQL_DIM_KEYS,
@@ -51,6 +57,8 @@ from tripmart.plans.oracle import (
     prelude,
     with_ctes,
 )
+from tripmart.plans.observed import load_silver_observed
+from tripmart.plans.partials import partials_table
 from tripmart.plans.runs import (
     Paths,
     backfill,
@@ -81,6 +89,7 @@ from tripmart.sources.manifest import (
     period_spine,
     period_spine_of,
     read_manifest,
+    update_manifest,
     write_manifest,
 )
 from tripmart.sources.raw import (
@@ -729,7 +738,63 @@ def q_fact_identity(spark, sf):
     return found.select("trip_key", "trip_identity")
 
 
+def q_quality_report_observed(spark, sf):
+    """The report from metrics observed within the silver write."""
+    c = _ctx(spark, sf)
+    paths = c.paths()
+    write_bronze(c.raw, paths.bronze)
+    return load_silver_observed(spark, paths, RUN_ID, PROCESSED_AT)
+
+
+def q_mart_zones_from_partials(spark, sf):
+    """The zone mart from monthly states, after a quarter was loaded and one of its months run
+    again with other rows."""
+    c = _ctx(spark, sf)
+    paths, (y, m) = replace(c.paths(), partials=partials_table(scratch_dir(spark, "partials"))), PERIOD
+    write_bronze(c.raw.filter(F.col("year") == y).filter(F.col("month").isin(m - 1, m, m + 1)), paths.bronze)
+    backfill(spark, paths, RUN_ID, enforce_gate=False)
+    changed = c.raw.filter((F.col("year") == y) & (F.col("month") == m) & (F.col("VendorID") <= 3))
+    write_bronze(changed.withColumn("total_amount", (F.col("total_amount") * 2).cast("decimal(10,2)")), paths.bronze)
+    run_period(spark, paths, y, m, RUN_ID, enforce_gate=False)
+    return marts.mart_zones_from_partials(c.star, read_swapped(spark, paths.partials))
+
+
+def q_mart_daily_quarter(spark, sf):
+    """The days of one quarter from the loaded fact, whose other months aren't read."""
+    c = _ctx(spark, sf)
+    paths = c.paths()
+    replace_partitions(build_fact(c.silver), paths.gold_fact)
+    write_dimension(c.dim_date, f"{paths.gold_dims}/dim_date")
+    star = c.star
+    star.fact, star.dim_date = spark.read.parquet(paths.gold_fact), spark.read.parquet(f"{paths.gold_dims}/dim_date")
+    return marts.mart_daily_quarter(star, PERIOD[0], (PERIOD[1] + 2) // 3)
+
+
+def q_file_manifest_incremental(spark, sf):
+    """All months are audited and stored, then one lands anew: which months' files the second audit
+    hashed, and whether the stored manifest has every landed file once."""
+    c = _ctx(spark, sf)
+    root, stored = scratch_dir(spark, "bronze"), scratch_dir(spark, "manifest")
+    write_bronze(c.raw, root)
+    update_manifest(spark, root, stored)
+    y, m = PERIOD
+    write_bronze(c.raw.filter((F.col("year") == y) & (F.col("month") == m) & (F.col("VendorID") <= 3)), root)
+    again = update_manifest(spark, root, stored).select("year", "month").distinct().withColumn("_again", F.lit(True))
+    files = file_manifest(spark, root).select("year", "month", "source_path", "sha256_checksum")
+    kept = read_manifest(spark, stored).select("year", "month", F.col("source_path").alias("_path"), F.col("sha256_checksum").alias("_sum"))
+    met = files.join(kept, ["year", "month"], "full").groupBy("year", "month").agg(
+        F.countDistinct("source_path").alias("_n"), F.countDistinct("_path").alias("_k"),
+        F.count_if((F.col("source_path") == F.col("_path")) & (F.col("sha256_checksum") == F.col("_sum"))).alias("_same"))
+    return met.join(again, ["year", "month"], "left").select(
+        "year", "month", F.coalesce("_again", F.lit(False)).alias("hashed_again"),
+        ((F.col("_n") == F.col("_k")) & (F.col("_n") == F.col("_same"))).alias("up_to_date"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "quality_report_observed": q_quality_report_observed,
+    "mart_zones_from_partials": q_mart_zones_from_partials,
+    "mart_daily_quarter": q_mart_daily_quarter,
+    "file_manifest_incremental": q_file_manifest_incremental,
     "scan_period_leaf": q_scan_period_leaf,
     "replace_partition_swapped": q_replace_partition_swapped,
     "rejected_trips": q_rejected_trips,
@@ -1382,6 +1447,23 @@ def _more_oracles(money: str) -> dict[str, str]:
             f"THEN 1 ELSE 0 END) AS DOUBLE) AS tips FROM fact WHERE NOT ({quarter} AND source_month = {m}) OR total_amount > 20000 "
             "GROUP BY source_year, source_month"
         ),
+        "mart_zones_from_partials": _sql(
+            "SELECT * FROM zones_mart",
+            _ZONES_CTE.replace("FROM fact f", f"FROM (SELECT * FROM ({first_fact}) UNION ALL SELECT * FROM ({second_fact})) f"),
+        ),
+        "mart_daily_quarter": _sql(
+            "SELECT d.year, d.month, d.day_of_month, d.full_date, d.month_name, COUNT(*) AS total_trips, "
+            "CAST(SUM(f.total_amount) AS DOUBLE) AS total_revenue_usd, "
+            f"{R(f'AVG({_MIN})')} AS avg_duration_minutes, {R('AVG(f.trip_distance)')} AS avg_distance_miles, "
+            "d.month_name || ' ' || CAST(d.year AS VARCHAR) AS period_label, "
+            "substr(d.month_name, 1, 3) || ' ' || CAST(d.day_of_month AS VARCHAR) AS day_label "
+            f"FROM fact f JOIN dim_date d ON f.pickup_date_key = d.date_key WHERE d.year = {y} AND d.quarter = {(m + 2) // 3} "
+            "GROUP BY d.year, d.month, d.day_of_month, d.full_date, d.month_name"
+        ),
+        "file_manifest_incremental": _sql(
+            f"SELECT DISTINCT year, month, year = {y} AND month = {m} AS hashed_again, TRUE AS up_to_date FROM raw_trips"
+        ),
+        "quality_report_observed": _sql("SELECT * FROM report", report),
         "scan_period_leaf": _sql(f"SELECT * FROM raw_trips WHERE year = {y} AND month = {m}"),
         "replace_partition_swapped": _sql(
             f"SELECT source_year, source_month, COUNT(*) AS rows, CAST(SUM(tip_amount + CASE WHEN {quarter} AND source_month = {m} "

@@ -15,11 +15,14 @@ Ordering follows the reports' ORDER BY with NULLS LAST made explicit.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.functions.calendar import day_label, month_index, period_label
 from tripmart.functions.measures import avg_exact, growth_pct, ratio_pct
+from tripmart.plans.partials import merged
 from tripmart.plans.star import Star
 
 def _minutes() -> Column:
@@ -217,6 +220,19 @@ def mart_daily(star: Star, period: tuple[int, int] | None = None) -> DataFrame:
     ).orderBy(F.col("full_date").asc_nulls_last())
 
 
+def mart_daily_quarter(star: Star, year: int, quarter: int) -> DataFrame:
+    """:func:`mart_daily` of one quarter, chosen in the calendar alone.
+
+    An accepted trip's pickup lies in its source month, so the calendar also joins on the fact's
+    partition columns: its few months then prune the fact's folders at run time (dynamic
+    partition pruning), where the day keys would let all of them be read."""
+    days = star.dim_date.filter((F.col("year") == F.lit(year)) & (F.col("quarter") == F.lit(quarter))).withColumns(
+        {"_y": F.col("year").cast("short"), "_m": F.col("month").cast("short")})
+    pruned = star.fact.join(
+        days.select("_y", "_m").distinct(), (F.col("source_year") == F.col("_y")) & (F.col("source_month") == F.col("_m")), "left_semi")
+    return mart_daily(replace(star, fact=pruned, dim_date=days.drop("_y", "_m")))
+
+
 def mart_zones(star: Star, period: tuple[int, int] | None = None) -> DataFrame:
     """Trips, revenue and mean fare per month and pickup zone (INNER calendar join, LEFT
     location join). The fact is reduced to (day, location) partials before any join."""
@@ -226,6 +242,19 @@ def mart_zones(star: Star, period: tuple[int, int] | None = None) -> DataFrame:
         F.sum("fare_amount").alias("_fare"),
         F.count("fare_amount").alias("_fare_n"),
     )
+    return _zones_of(pre, star)
+
+
+def mart_zones_from_partials(star: Star, states: DataFrame) -> DataFrame:
+    """:func:`mart_zones` from the stored monthly states, without the fact."""
+    by = merged(states, ("pickup_date_key", "pickup_location_key"))
+    return _zones_of(by.select(
+        "pickup_date_key", "pickup_location_key", F.col("trips").alias("_n"), F.col("total_amount_sum").alias("_rev"),
+        F.col("fare_amount_sum").alias("_fare"), F.col("fare_amount_n").alias("_fare_n"),
+    ), star)
+
+
+def _zones_of(pre: DataFrame, star: Star) -> DataFrame:
     j = _with_dates(pre, star, ["year", "month", "month_name"], "inner")
     loc = _locations(star)
     j = j.join(loc, j["pickup_location_key"] == loc["_lk"], "left")

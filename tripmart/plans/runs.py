@@ -43,6 +43,7 @@ from tripmart.operators.load import (
 )
 from tripmart.operators.quality import assert_gate, quality_gate, quality_report_from_counts
 from tripmart.operators.swap import SwappedTable, merge_scd1, read_swapped, swap
+from tripmart.plans.partials import monthly_partials
 from tripmart.plans.star import REASONS, VERDICT, Star, judged_trips, silver_trips
 from tripmart.schemas import (
     CALENDAR_END,
@@ -64,7 +65,8 @@ PERIOD = ["source_year", "source_month"]
 class Paths:
     """Folders of the pipeline. Optional: ``judged``, where accepted and rejected trips are
     written side by side (then the silver table is its accepted part); ``fact_table`` and
-    ``location_table``, which are swapped by location instead of overwritten in place."""
+    ``location_table``, which are swapped by location instead of overwritten in place; and
+    ``partials``, the monthly states that each load of a month replaces."""
 
     bronze: str
     silver: str
@@ -75,6 +77,7 @@ class Paths:
     judged: str | None = None
     fact_table: SwappedTable | None = None
     location_table: SwappedTable | None = None
+    partials: SwappedTable | None = None
 
     def sink(self, verdict: str) -> str:
         """Folder of the trips with a verdict (``accepted``: the silver table)."""
@@ -224,6 +227,12 @@ def read_fact(spark: SparkSession, paths: Paths) -> DataFrame:
     return read_written(spark, paths.gold_fact, FACT_SCHEMA)
 
 
+def _load_partials(spark: SparkSession, paths: Paths, periods: list[tuple[int, int]], run_id: str) -> None:
+    """Replace the months' states, computed from the rows that were just loaded."""
+    if paths.partials and periods:
+        swap(monthly_partials(read_fact(spark, paths).filter(in_periods(periods))), paths.partials, periods, run_id)
+
+
 def _check(spark: SparkSession, paths: Paths, fact: DataFrame, contracts: Sequence[str]) -> None:
     """Stop the load if the rows about to be loaded break one of the contracts."""
     if contracts:
@@ -266,6 +275,7 @@ def run_period(
     else:
         rows = sum(n for *_, n in accepted)
         replace_period(fact, paths.gold_fact, year, month, rows, cluster_by=["pickup_date_key"])
+    _load_partials(spark, paths, [(year, month)], run_id)
     return gate
 
 
@@ -309,6 +319,7 @@ def backfill(
         if any((y, m) in set(loaded) for y, m, _ in accepted):
             replace_partitions(fact, paths.gold_fact, PERIOD, cluster_by=["pickup_date_key"], rebalance=False)
         _clear_without(spark, FACT_SCHEMA, paths.gold_fact, loaded, accepted)
+    _load_partials(spark, paths, loaded, run_id)
     absent = sorted(set(periods or []) - set(found))
     return gate.unionByName(_missing(spark, absent)) if absent else gate
 

@@ -15,8 +15,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.operators.load import read_written
 from tripmart.schemas import DATASET_NAME, MANIFEST_SCHEMA
-from tripmart.session import importable
+from tripmart.session import importable, scratch_dir
 
 _YEAR_RE = r"year=(\d{4})"
 _MONTH_RE = r"month=(\d{1,2})"
@@ -47,14 +48,21 @@ def file_manifest(
 ) -> DataFrame:
     """One row per landed file with its checksum, in ``MANIFEST_SCHEMA``. Files are listed
     without their contents and hashed by the tasks."""
-    importable(spark)
-    files = (
+    return _audited(_listing(spark, root, glob), dataset)
+
+
+def _listing(spark: SparkSession, root: str, glob: str) -> DataFrame:
+    return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .load(root)
         .select("path", "length", "modificationTime")
     )
+
+
+def _audited(files: DataFrame, dataset: str) -> DataFrame:
+    importable(files.sparkSession)
     hashed = files.mapInPandas(_checksums, "path string, length long, modificationTime timestamp, sha256_checksum string")
     return hashed.select(
         F.lit(dataset).alias("dataset"),
@@ -68,6 +76,40 @@ def file_manifest(
     )
 
 
+def new_files(
+    spark: SparkSession, root: str, stored: DataFrame, glob: str = "*.parquet", dataset: str = DATASET_NAME
+) -> DataFrame:
+    """Manifest rows of the files that a stored manifest doesn't have as they are: another path,
+    size or time. Only these are opened and hashed."""
+    known = stored.select(
+        F.col("source_path").alias("path"), F.col("file_size_bytes").alias("length"), F.col("modified_at").alias("modificationTime")
+    )
+    return _audited(_listing(spark, root, glob).join(known, known.columns, "left_anti"), dataset)
+
+
+def update_manifest(
+    spark: SparkSession, root: str, manifest_root: str, glob: str = "*.parquet", dataset: str = DATASET_NAME
+) -> DataFrame:
+    """Bring the stored manifest up to date with the landed files; returns the rows of the
+    files that were hashed for it.
+
+    The months of new, changed or vanished files are written anew, with the stored rows of
+    their other files; the rest stays as it is. A second run without landings hashes nothing."""
+    stored = read_manifest(spark, manifest_root)
+    # fixed in a file of its own: the months to write are read from it twice
+    path = scratch_dir(spark, "new-files")
+    new_files(spark, root, stored, glob, dataset).write.parquet(path)
+    fresh = spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+    there = _listing(spark, root, glob).select(
+        F.col("path").alias("source_path"), F.col("length").alias("file_size_bytes"), F.col("modificationTime").alias("modified_at"))
+    kept = stored.join(there, there.columns, "left_semi")
+    gone = stored.join(there, there.columns, "left_anti")
+    months = fresh.select("year", "month").unionByName(gone.select("year", "month")).distinct()
+    rows = fresh.unionByName(kept.select(*fresh.columns).join(months, ["year", "month"], "left_semi").select(*fresh.columns))
+    write_manifest(rows, manifest_root)
+    return fresh
+
+
 def write_manifest(manifest: DataFrame, root: str) -> None:
     """Store a manifest by period; the periods in it replace their earlier rows."""
     manifest.select([F.col(f.name).cast(f.dataType) for f in MANIFEST_SCHEMA]).write.mode("overwrite").option(
@@ -75,7 +117,8 @@ def write_manifest(manifest: DataFrame, root: str) -> None:
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(MANIFEST_SCHEMA).parquet(root)
+    """The stored manifest; no rows where none was stored yet."""
+    return read_written(spark, root, MANIFEST_SCHEMA)
 
 
 def completed_periods(manifest: DataFrame, loaded: DataFrame, keys=("year", "month")) -> DataFrame:
