@@ -30,5 +30,5 @@ def test_run_is_the_stages_in_order(spark):
 
 
 def test_registered():
-    assert [k.split("_")[0] for k in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [k.split("_")[0] for k in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(ORACLE_SQL) <= set(QUERIES)
