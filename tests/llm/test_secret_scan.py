@@ -65,3 +65,16 @@ def test_overlapping_spans_are_replaced_once():
     text = "token=deadbeefdeadbeefdeadbeef0 x"
     assert redact(text, SCANNER.scan([text])[0]) == "[assign] x"
     assert Scanner((Rule("k", "key=(.+)", group=1, least=2),)).scan(["key=ab"]) == [[("k", 0, 6)]]
+
+
+def test_whole_private_keys(spark):
+    """The key's body goes with its first line, also where the end is missing; other text stays."""
+    body = "\n".join(["MIIEpAIBAAKCAQEA" + "x9/+" * 12] * 3)
+    whole = f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----"
+    headed = f"-----BEGIN PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\n\n{body}=\n-----END PRIVATE KEY-----"
+    texts = [f"a {whole} b", f"a\n{headed}\nb (c)", f"a -----BEGIN PRIVATE KEY-----\n{body}\nplain words follow!",
+             "-----BEGIN PRIVATE KEY-----", f"{whole} and {whole}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in redact_secrets(docs).collect()}
+    assert got == {0: "a [private_key] b", 1: "a\n[private_key]\nb (c)", 2: "a [private_key]\nplain words follow!",
+                   3: "[private_key]", 4: "[private_key] and [private_key]"}

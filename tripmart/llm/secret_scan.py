@@ -43,7 +43,12 @@ BASE_RULES = (
 )
 #: Further kinds of secrets with a plain mark of their own.
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    # to the END mark with nothing but a key's characters between, else over the lines of base64
+    Rule(
+        "private_key",
+        r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+        r"(?:[A-Za-z0-9+/=,:.\s-]*?-----END [A-Z ]*PRIVATE KEY-----|(?:\s+[A-Za-z0-9+/=]{16,})*)",
+    ),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", least=40),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", least=15),
 )
