@@ -56,6 +56,16 @@ def test_quality(spark, docs):
     assert np.mean([p == q for p, q in known]) > 0.85
 
 
+def test_quality_of_rows_that_taught_nothing(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = dict(duckdb.sql(f"SELECT doc_id, quality FROM '{sf}/labels.parquet'").fetchall())
+    rows = [(r.score, labels[r.doc_id]) for r in QUERIES["op4_quality"](spark, sf).collect() if r.held_out and r.doc_id in labels]
+    good, bad = (np.array([s for s, q in rows if q == k]) for k in (1, 0))
+    auc = (good[:, None] > bad).mean() + (good[:, None] == bad).mean() / 2
+    assert len(good) > 500 and len(bad) > 100 and auc > 0.99
+    assert (good >= 0.3).mean() > 0.99 and (bad >= 0.3).mean() < 0.05
+
+
 def test_byte_bpe(spark, docs):
     ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})

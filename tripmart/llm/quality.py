@@ -1,136 +1,225 @@
 """Quality classifier: random-indexing word vectors, pooled, and a small calibrated network.
 
-A word's slot is a hash of the word. Each slot has a sparse ternary index vector (a few +1
-and -1 at hashed places), and a slot's context vector is the sum of the index vectors of
-the words near it over all documents: integer sums, so they don't depend on the order of
-tasks. Tasks send one sum per slot, whatever they read; the table of slots has a fixed
-size, so it can be broadcast. A document is the weighted mean of its words' vectors with
-the shares of a few word shapes; a two-layer network gives a logit and a temperature, fitted
-on labelled rows that the network did not see, makes it a probability.
+Every word that makes up at least ``LEAST_SHARE`` of all words has a vector of its own: all
+words are counted in Spark, and a share can be reached by ``1 / LEAST_SHARE`` words at most,
+however large the corpus. The rarer words stand for their form (kind of characters, case and
+length), as unknown words do in taggers; each form has a vector like a word, and beside it every
+rare word keeps its own index vector, which is made from its hash and stored nowhere. So every
+word of a text counts, and the table can be broadcast.
+
+A word or form has a sparse ternary index vector (a few +1 and -1 at random places), and its
+context vector is the sum of the index vectors of the words near it over all documents:
+integer sums, so they don't depend on the order of tasks. A document is pooled into the mean
+of its words' weighted vectors and the mean product of neighbours' unit vectors (how much a word
+is like the next one); nothing else describes it. A two-layer network gives a logit and a temperature, fitted on labelled rows that the network
+did not see, makes it a probability.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import strings, text_batches, text_or_empty
+from tripmart.llm.common import release, stored, strings, text_batches, text_or_empty
 from tripmart.llm.memo import Memo
 
-SLOTS, DIMS, NONZERO, REACH = 1 << 14, 32, 4, 2
+DIMS, NONZERO, REACH = 32, 4, 2
+#: Share of all words from which a word has its own vector: 32,768 words at most reach it.
+LEAST_SHARE = 1 / (1 << 15)
 #: Labelled rows that the network is fitted on at most (those with the smallest id hashes).
 MAX_LABELLED = 20_000
 #: Weight of a word with share p of all words: RARE / (RARE + p).
 RARE = 1e-3
 HIDDEN, EPOCHS, RATE, BATCH, DECAY = 32, 40, 0.01, 256, 1e-4
 _TOKEN = re.compile(r"\w+|[^\w\s]+").findall
-_UPPER, _TITLE, _LOWER, _OTHER, _DIGIT, _POINT, _RUN, _MARK, _REPEAT = range(9)
-SHAPES = 9
-FEATURES = DIMS + SHAPES + 2
+_KINDS = ("upper", "title", "lower", "mixed", "number", "other", "marks")
+_LENGTHS = 6
+#: Forms of rare words.
+FORMS = len(_KINDS) * _LENGTHS
+FEATURES = 2 * DIMS
+#: Words of a text that are pooled at once.
+_CHUNK = 1 << 14
+#: Distinct words that a task counts before it sends them on.
+_COUNTED = 300_000
 
 
-def _shape(word: str) -> int:
+def word_key(word: str) -> int:
+    """64 bits that stand for a word, signed; words may be as long as texts."""
+    return xxhash.xxh64_intdigest(word.encode()) - (1 << 63)
+
+
+def word_form(word: str) -> int:
+    """The form of a word: its kind of characters and the bits of its length (6 or more alike)."""
     if word.isalpha():
-        if word.isupper():
-            return _UPPER if len(word) > 1 else _TITLE
-        return _TITLE if word.istitle() else _LOWER if word.islower() else _OTHER
-    if word[0].isalnum():
-        return _DIGIT if word.isdigit() else _OTHER
-    return _RUN if len(word) > 1 else _POINT if word in ".,;:?'\"-" else _MARK
+        kind = "upper" if word.isupper() else "title" if word.istitle() else "lower" if word.islower() else "mixed"
+    elif word[0].isalnum() or word[0] == "_":
+        kind = "number" if word.isdigit() else "other"
+    else:
+        kind = "marks"
+    return _KINDS.index(kind) * _LENGTHS + min(len(word).bit_length(), _LENGTHS) - 1
+
+
+@dataclass
+class Vocabulary:
+    """Codes of words: forms come first, then the words of ``keys`` (sorted). A rare word's is
+    negative and holds its form and 32 bits of its hash."""
 
+    keys: np.ndarray
+    _codes: Memo | None = field(default=None, repr=False)
 
-def _code(word: str) -> int:
-    """Slot and shape of a word in one number."""
-    return zlib.crc32(word.encode()) % SLOTS | _shape(word) << 20
+    def __len__(self) -> int:
+        return FORMS + len(self.keys)
 
+    def __getstate__(self) -> dict:
+        return {"keys": self.keys, "_codes": None}
 
-_CODES = Memo(_code, 300_000)
+    def codes(self, text: str) -> np.ndarray:
+        """The code of each word of a text."""
+        if self._codes is None:
+            places = {k: FORMS + n for n, k in enumerate(self.keys.tolist())}
 
+            def code(word: str) -> int:
+                known = places.get(word_key(word))
+                return -1 - word_form(word) - FORMS * (word_key(word) & 0xFFFFFFFF) if known is None else known
 
-def _codes(text: str) -> np.ndarray:
-    words = _TOKEN(text)
-    found = np.fromiter(map(_CODES.__getitem__, words), dtype=np.int64, count=len(words))
-    _CODES.trim()
-    return found
+            self._codes = Memo(code, 300_000)
+        words = _TOKEN(text)
+        found = np.fromiter(map(self._codes.__getitem__, words), dtype=np.int64, count=len(words))
+        self._codes.trim()
+        return found
 
+    def index_vectors(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places and signs of the non-zero entries of each code's index vector."""
+        random = np.random.default_rng(7)
+        places = np.argsort(random.random((len(self), DIMS)), axis=1)[:, :NONZERO]
+        return places, random.choice([-1.0, 1.0], (len(self), NONZERO))
 
-def _index_vectors() -> tuple[np.ndarray, np.ndarray]:
-    """Places and signs of the non-zero entries of each slot's index vector."""
-    random = np.random.default_rng(7)
-    places = np.argsort(random.random((SLOTS, DIMS)), axis=1)[:, :NONZERO]
-    return places, random.choice([-1.0, 1.0], (SLOTS, NONZERO))
 
+def _rows(codes: np.ndarray) -> np.ndarray:
+    """Rows of the vectors: a rare word's is that of its form."""
+    return np.where(codes < 0, (-1 - codes) % FORMS, codes)
+
+
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts: Counter[str] = Counter()
+
+    def counted() -> pa.RecordBatch:
+        keys = pa.array(map(word_key, counts), pa.int64(), size=len(counts))
+        return pa.RecordBatch.from_arrays([keys, pa.array(list(counts.values()), pa.int64())], ["key", "n"])
 
-def _context_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    places, signs = _index_vectors()
-    total, seen = np.zeros(SLOTS * DIMS), np.zeros(SLOTS, dtype=np.int64)
     for batch in batches:
-        docs = [_codes(t) & SLOTS - 1 for t in strings(batch.column(0))]
-        slots = np.concatenate([np.zeros(0, np.int64), *docs])
-        owner = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-        seen += np.bincount(slots, minlength=SLOTS)
-        where, what = [np.zeros(0, np.int64)], [np.zeros(0)]
-        for gap in range(1, REACH + 1):
-            near = owner[gap:] == owner[:-gap]
-            left, right = slots[:-gap][near], slots[gap:][near]
-            for word, other in ((left, right), (right, left)):
-                where.append((word[:, None] * DIMS + places[other]).ravel())
-                what.append(signs[other].ravel())
-        total += np.bincount(np.concatenate(where), np.concatenate(what), minlength=SLOTS * DIMS)
-    used = np.flatnonzero(seen)
-    if len(used):
-        sums = total.reshape(SLOTS, DIMS)[used].astype(np.int64)
-        columns = [pa.array(used), pa.array(seen[used]), *(pa.array(c) for c in sums.T.copy())]
-        yield pa.RecordBatch.from_arrays(columns, ["slot", "n", *(f"d{k}" for k in range(DIMS))])
-
-
-def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """Weighted unit context vector of each slot, over all documents."""
+        for text in strings(batch.column(0)):
+            counts.update(_TOKEN(text))
+            if len(counts) > _COUNTED:
+                yield counted()
+                counts.clear()
+    yield counted()
+
+
+def vocabulary(docs: DataFrame, text: str = "text", least_share: float = LEAST_SHARE) -> Vocabulary:
+    """The words of ``docs`` that make up ``least_share`` of all words, over whole texts."""
+    text_batches(docs.sparkSession)
+    found = docs.select(text_or_empty(text).alias("text")).mapInArrow(_word_counts, "key long, n long")
+    counts = stored(found.groupBy("key").agg(F.sum("n").alias("n")), "quality-words")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    known = counts.where(F.col("n") >= least_share * total).select("key").toPandas()  # 1 / least_share rows at most
+    release(counts)
+    return Vocabulary(np.sort(known["key"].to_numpy(dtype=np.int64)))
+
+
+def _context_sums(words: Vocabulary):
+    """Per task: how often each code occurs, and the sum of its neighbours' index vectors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places, signs = words.index_vectors()
+        size = len(words) * DIMS
+        total, seen = np.zeros(size), np.zeros(len(words), dtype=np.int64)
+        for batch in batches:
+            docs = [_rows(words.codes(t)) for t in strings(batch.column(0))]
+            codes = np.concatenate([np.zeros(0, np.int64), *docs])
+            owner = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+            seen += np.bincount(codes, minlength=len(words))
+            where, what = [np.zeros(0, np.int64)], [np.zeros(0)]
+            for gap in range(1, REACH + 1):
+                near = owner[gap:] == owner[:-gap]
+                left, right = codes[:-gap][near], codes[gap:][near]
+                for word, other in ((left, right), (right, left)):
+                    where.append((word[:, None] * DIMS + places[other]).ravel())
+                    what.append(signs[other].ravel())
+            total += np.bincount(np.concatenate(where), np.concatenate(what), minlength=size)
+        used = np.flatnonzero(seen)
+        if len(used):
+            sums = total.reshape(-1, DIMS)[used].astype(np.int64)
+            columns = [pa.array(used), pa.array(seen[used]), *(pa.array(c) for c in sums.T.copy())]
+            yield pa.RecordBatch.from_arrays(columns, ["code", "n", *(f"d{k}" for k in range(DIMS))])
+
+    return run
+
+
+@dataclass
+class WordVectors:
+    """Unit context vectors of all codes and the weights of these; 5 MiB at most."""
+
+    words: Vocabulary
+    unit: np.ndarray
+    weights: np.ndarray
+
+    def pooled(self, texts: list[str]) -> np.ndarray:
+        """Features of each text; zeros for one without words."""
+        out = np.zeros((len(texts), FEATURES))
+        for row, text in zip(out, texts, strict=True):
+            codes = self.words.codes(text)
+            last = np.zeros((0, DIMS), np.float32)
+            for k in range(0, len(codes), _CHUNK):
+                part = codes[k : k + _CHUNK]
+                at = _rows(part)
+                unit = self.unit[at]
+                row[:DIMS] += self.weights[at] @ unit
+                rare = part < 0
+                unit[rare] = _own_vectors(part[rare])
+                unit = np.concatenate([last, unit])
+                row[DIMS:] += np.einsum("ij,ij->j", unit[1:], unit[:-1])
+                last = unit[-1:]
+            row /= max(1, len(codes))
+        return out
+
+
+def _own_vectors(codes: np.ndarray) -> np.ndarray:
+    """Unit index vectors of rare words: signs from their hashes."""
+    bits = ((-1 - codes) // FORMS).astype("<u4").view(np.uint8).reshape(-1, 4)
+    return (np.unpackbits(bits, axis=1).astype(np.float32) * 2 - 1) / np.float32(np.sqrt(DIMS))
+
+
+def word_vectors(docs: DataFrame, words: Vocabulary, text: str = "text") -> WordVectors:
+    """Context vectors of all codes, over all documents."""
     text_batches(docs.sparkSession)
     dims = [f"d{k}" for k in range(DIMS)]
-    ddl = ", ".join(f"{c} long" for c in ["slot", "n", *dims])
-    sums = docs.select(text_or_empty(text).alias("text")).mapInArrow(_context_sums, ddl)
-    table = sums.groupBy("slot").agg(*(F.sum(c).alias(c) for c in ["n", *dims])).toPandas()  # SLOTS rows at most
-    vectors, share = np.zeros((SLOTS, DIMS)), np.zeros(SLOTS)
-    slots = table["slot"].to_numpy()
-    vectors[slots] = table[dims].to_numpy(dtype=float)
-    share[slots] = table["n"].to_numpy(dtype=float)
+    ddl = ", ".join(f"{c} long" for c in ["code", "n", *dims])
+    sums = docs.select(text_or_empty(text).alias("text")).mapInArrow(_context_sums(words), ddl)
+    table = sums.groupBy("code").agg(*(F.sum(c).alias(c) for c in ["n", *dims])).toPandas()  # a row per code
+    vectors, share = np.zeros((len(words), DIMS)), np.zeros(len(words))
+    codes = table["code"].to_numpy(dtype=np.int64)
+    vectors[codes] = table[dims].to_numpy(dtype=float)
+    share[codes] = table["n"].to_numpy(dtype=float)
     share /= max(1.0, share.sum())
     vectors -= share @ vectors  # what all words have in common says nothing
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-    return (vectors * (RARE / (RARE + share))[:, None]).astype(np.float32)
-
-
-def pooled(texts: list[str], vectors: np.ndarray) -> np.ndarray:
-    """Features of each text; zeros for one without words."""
-    out = np.zeros((len(texts), FEATURES))
-    for row, text in zip(out, texts, strict=True):
-        codes = _codes(text)
-        n = len(codes)
-        if not n:
-            continue
-        slots = codes & SLOTS - 1
-        counts = np.bincount(slots, minlength=SLOTS) if n > SLOTS // 8 else None
-        row[:DIMS] = (counts @ vectors if counts is not None else vectors[slots].sum(axis=0)) / n
-        row[DIMS : DIMS + SHAPES] = np.bincount(codes >> 20, minlength=SHAPES) / n
-        row[DIMS + _REPEAT] = np.count_nonzero(slots[1:] == slots[:-1]) / n
-        row[-2] = (np.count_nonzero(counts) if counts is not None else len(np.unique(slots))) / n
-        row[-1] = np.log1p(n) / 10
-    return out
+    return WordVectors(words, vectors.astype(np.float32), (RARE / (RARE + share)).astype(np.float32))
 
 
 @dataclass
 class QualityModel:
-    """Slot vectors and a network; its size doesn't depend on the corpus."""
+    """Word vectors and a network; 5 MiB at most, whatever the corpus."""
 
-    vectors: np.ndarray
+    vectors: WordVectors
     mean: np.ndarray
     scale: np.ndarray
     layers: list[np.ndarray]  # w1, b1, w2, b2
@@ -142,14 +231,14 @@ class QualityModel:
         return hidden @ w2 + b2[0]
 
     def score(self, texts: list[str]) -> np.ndarray:
-        return _sigmoid(self.logits(pooled(texts, self.vectors)) / self.temperature)
+        return _sigmoid(self.logits(self.vectors.pooled(texts)) / self.temperature)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def train(features: np.ndarray, labels: np.ndarray, held: np.ndarray, vectors: np.ndarray) -> QualityModel:
+def train(features: np.ndarray, labels: np.ndarray, held: np.ndarray, vectors: WordVectors) -> QualityModel:
     """Fit the network on the rows not ``held`` and the temperature on those ``held``.
 
     With fewer than two classes the score is the same for every text: the labels' mean, or
@@ -208,7 +297,7 @@ def fit_quality(
 
     Rows with a null id or label, or of an id not in ``docs``, teach nothing; an id with
     several labels, or several texts, counts once for each."""
-    vectors = word_vectors(docs, text)
+    vectors = word_vectors(docs, vocabulary(docs, text), text)
     known = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("double").alias("label"))
     known = known.where("doc_id is not null and label is not null").where(id_remainder(F.col("doc_id")) != 0)
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_labelled)
@@ -219,7 +308,7 @@ def fit_quality(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            features = pooled(strings(batch.column(0)), vectors).tolist()
+            features = vectors.pooled(strings(batch.column(0))).tolist()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(features, pa.list_(pa.float64())), *batch.columns[1:]], ["features", "label", "held"]
             )
