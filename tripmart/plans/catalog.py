@@ -67,9 +67,11 @@ from tripmart.plans.runs import (
     location_table,
     read_fact,
     read_rejected,
+    register_tables,
     run_period,
 )
 from tripmart.plans.star import Star, dims_for, silver_trips, valid_trips
+from tripmart.plans.statistics import analyze_tables, cost_session, star_sql
 from tripmart.functions.keys import key_or_unknown
 from tripmart.schemas import (
     DIM_KEYS,
@@ -770,6 +772,19 @@ def q_mart_daily_quarter(spark, sf):
     return marts.mart_daily_quarter(star, PERIOD[0], (PERIOD[1] + 2) // 3)
 
 
+def q_star_sql(spark, sf):
+    """A quarter in SQL on the registered, analyzed tables, its joins ordered by cost."""
+    c = _ctx(spark, sf)
+    paths, star = c.paths(), c.star
+    replace_partitions(star.fact, paths.gold_fact)
+    for name, dim in star.dims().items():
+        write_dimension(dim, f"{paths.gold_dims}/{name}")
+    database = f"star_{paths.gold_fact.split('/')[-2].rpartition('-')[2]}"
+    register_tables(spark, paths, database)
+    analyze_tables(spark, database)
+    return star_sql(cost_session(spark), database, PERIOD[0], (PERIOD[1] + 2) // 3)
+
+
 def q_file_manifest_incremental(spark, sf):
     """All months are audited and stored, then one lands anew: which months' files the second audit
     hashed, and whether the stored manifest has every landed file once."""
@@ -794,6 +809,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_report_observed": q_quality_report_observed,
     "mart_zones_from_partials": q_mart_zones_from_partials,
     "mart_daily_quarter": q_mart_daily_quarter,
+    "star_sql": q_star_sql,
     "file_manifest_incremental": q_file_manifest_incremental,
     "scan_period_leaf": q_scan_period_leaf,
     "replace_partition_swapped": q_replace_partition_swapped,
@@ -1451,6 +1467,13 @@ def _more_oracles(money: str) -> dict[str, str]:
             "SELECT * FROM zones_mart",
             _ZONES_CTE.replace("FROM fact f", f"FROM (SELECT * FROM ({first_fact}) UNION ALL SELECT * FROM ({second_fact})) f"),
         ),
+        "star_sql": _sql(
+            "SELECT l.borough, v.vendor_name, p.payment_type_name, COUNT(*) AS total_trips, "
+            "CAST(SUM(f.total_amount) AS DOUBLE) AS total_revenue_usd FROM fact f "
+            "JOIN dim_location l ON f.pickup_location_key = l.location_key JOIN dim_vendor v ON f.vendor_key = v.vendor_key "
+            "JOIN dim_payment_type p ON f.payment_type_key = p.payment_type_key JOIN dim_date d ON f.pickup_date_key = d.date_key "
+            f"WHERE d.year = {y} AND d.quarter = {(m + 2) // 3} GROUP BY l.borough, v.vendor_name, p.payment_type_name"
+        ),
         "mart_daily_quarter": _sql(
             "SELECT d.year, d.month, d.day_of_month, d.full_date, d.month_name, COUNT(*) AS total_trips, "
             "CAST(SUM(f.total_amount) AS DOUBLE) AS total_revenue_usd, "
