@@ -40,10 +40,10 @@ MAX_LABELLED = 20_000
 RARE = 1e-3
 HIDDEN, EPOCHS, RATE, BATCH, DECAY = 32, 40, 0.01, 256, 1e-4
 _TOKEN = re.compile(r"\w+|[^\w\s]+").findall
-_KINDS = ("upper", "title", "lower", "mixed", "number", "other", "marks")
+_UPPER, _TITLE, _LOWER, _MIXED, _NUMBER, _OTHER, _MARKS = range(7)
 _LENGTHS = 6
 #: Forms of rare words.
-FORMS = len(_KINDS) * _LENGTHS
+FORMS = 7 * _LENGTHS
 FEATURES = 2 * DIMS
 #: Words of a text that are pooled at once.
 _CHUNK = 1 << 14
@@ -59,12 +59,12 @@ def word_key(word: str) -> int:
 def word_form(word: str) -> int:
     """The form of a word: its kind of characters and the bits of its length (6 or more alike)."""
     if word.isalpha():
-        kind = "upper" if word.isupper() else "title" if word.istitle() else "lower" if word.islower() else "mixed"
+        kind = _LOWER if word.islower() else _TITLE if word.istitle() else _UPPER if word.isupper() else _MIXED
     elif word[0].isalnum() or word[0] == "_":
-        kind = "number" if word.isdigit() else "other"
+        kind = _NUMBER if word.isdigit() else _OTHER
     else:
-        kind = "marks"
-    return _KINDS.index(kind) * _LENGTHS + min(len(word).bit_length(), _LENGTHS) - 1
+        kind = _MARKS
+    return kind * _LENGTHS + min(len(word).bit_length(), _LENGTHS) - 1
 
 
 @dataclass
@@ -87,8 +87,9 @@ class Vocabulary:
             places = {k: FORMS + n for n, k in enumerate(self.keys.tolist())}
 
             def code(word: str) -> int:
-                known = places.get(word_key(word))
-                return -1 - word_form(word) - FORMS * (word_key(word) & 0xFFFFFFFF) if known is None else known
+                key = word_key(word)
+                known = places.get(key)
+                return -1 - word_form(word) - FORMS * (key & 0xFFFFFFFF) if known is None else known
 
             self._codes = Memo(code, 300_000)
         words = _TOKEN(text)
