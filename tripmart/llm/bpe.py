@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import gc
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,8 +42,10 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES):
         self.ranks, self.max_states = ranks, max_states
         self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.top = 1 + max(ranks.values())
         self.begins = {token[:k] for token in ranks for k in range(1, len(token))}
         self.pairs: dict[tuple[int, int], bool] = {}
+        self.parts: dict[int, tuple[int, int] | None] = {}  # the two tokens a token was merged from
         self.forget()
 
     def forget(self) -> None:
@@ -53,10 +56,11 @@ class Transducer:
         self.trees: list[tuple[int, bytes, list, list]] = []
         self._state(-1, b"", [], [])
 
-    def merged(self, data: bytes) -> list[int]:
-        """The encoding by definition: merge the lowest-ranked pair, leftmost first."""
+    def merged(self, data: bytes, down_to: int = 1) -> list[int]:
+        """The encoding by definition: merge the lowest-ranked pair, leftmost first, while there
+        are more than ``down_to`` parts."""
         parts = [data[k : k + 1] for k in range(len(data))]
-        while len(parts) > 1:
+        while len(parts) > down_to:
             best, at = None, 0
             for k in range(len(parts) - 1):
                 rank = self.ranks.get(parts[k] + parts[k + 1])
@@ -67,16 +71,50 @@ class Transducer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [self.ranks[p] for p in parts]
 
+    def _halves(self, token: int) -> tuple[int, int] | None:
+        """The tokens of the last merge of ``token``, (token, token) for a single byte; None where
+        merging doesn't arrive at it, or not by ranks that rise from merge to merge."""
+        if token not in self.parts:
+            data = self.bytes_of[token]
+            found = self.merged(data, 2) if len(data) > 1 else [token, token]
+            rising = len(found) == 2 and (
+                len(data) == 1
+                or all(self._halves(t) and (t < token or len(self.bytes_of[t]) == 1) for t in found)
+            )
+            self.parts[token] = tuple(found) if rising else None
+        return self.parts[token]
+
     def _fits(self, last: int, token: int) -> bool:
         """May ``token`` follow ``last`` (-1: nothing) in an encoding?"""
         key = (last, token)
         known = self.pairs.get(key)
         if known is None:
-            before = self.bytes_of[last] if last >= 0 else b""
-            want = [last, token] if last >= 0 else [token]
-            known = self.pairs[key] = self.merged(before + self.bytes_of[token]) == want
+            if last >= 0 and self._halves(last) and self._halves(token):
+                known = self._apart(last, token)
+            else:
+                before = self.bytes_of[last] if last >= 0 else b""
+                want = [last, token] if last >= 0 else [token]
+                known = self.merged(before + self.bytes_of[token]) == want
+            self.pairs[key] = known
         return known
 
+    def _apart(self, a: int, b: int) -> bool:
+        """Do tokens of rising merges stay apart as neighbours? The merges beside the boundary
+        are undone, the latest first; one across it that has a lower rank than the one undone
+        (or the same rank and lies further left) would have come before that."""
+        limit = self.top
+        while True:
+            across = self.ranks.get(self.bytes_of[a] + self.bytes_of[b])
+            if across is not None and across < limit:
+                return False
+            right, left = self.parts[a][1], self.parts[b][0]
+            if right != a and (left == b or a > b):
+                limit, a = a, right
+            elif left != b:
+                limit, b = b + 1, left
+            else:
+                return True
+
     def _state(self, last: int, pending: bytes, tree: list, live: list[int]) -> int:
         """``tree[k]``: (start, token) of the last token of the first k + 1 pending bytes;
         ``live``: the starts whose bytes so far begin some longer token."""
@@ -97,27 +135,32 @@ class Transducer:
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         last, pending, tree, live = self.trees[state]
+        ranks, begins, pairs = self.ranks, self.begins, self.pairs
         data = pending + bytes((byte,))
         n = len(data)
         grown, still = None, []
         for start in (*live, n - 1):
-            if start and tree[start - 1] is None:
-                continue
+            before = last
+            if start:
+                if tree[start - 1] is None:
+                    continue
+                before = tree[start - 1][1]
             part = data[start:]
             if grown is None:
-                token = self.ranks.get(part)
-                if token is not None and self._fits(tree[start - 1][1] if start else last, token):
+                token = ranks.get(part)
+                if token is not None and (pairs.get((before, token)) or self._fits(before, token)):
                     grown = (start, token)
-            if part in self.begins:
+            if part in begins:
                 still.append(start)
         tree = [*tree, grown]
-        branches = {n, *still}
-        while len(branches) > 1:
-            far = max(branches)
-            branches.remove(far)
-            branches.add(tree[far - 1][0])
-        cut = branches.pop()
-        emitted = self._path(tree, cut)
+        cut = n  # the last place that all branches have come through
+        for branch in still:
+            while cut != branch:
+                if cut > branch:
+                    cut = tree[cut - 1][0]
+                else:
+                    branch = tree[branch - 1][0]
+        emitted = self._path(tree, cut) if cut else ()
         if cut:
             rest = [t and (t[0] - cut, t[1]) if t and t[0] >= cut else None for t in tree[cut:]]
             to = self._state(emitted[-1], data[cut:], rest, [k - cut for k in still])
@@ -159,7 +202,8 @@ class Encoder:
         self.memo = Memo(self._piece, MAX_PIECES)
 
     def _piece(self, piece: str) -> bytes:
-        return np.array(self.transducer.encode(piece.encode()), dtype="<i4").tobytes()
+        ids = self.transducer.encode(piece.encode())
+        return struct.pack(f"<{len(ids)}i", *ids)
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian 32-bit integers."""
