@@ -34,7 +34,8 @@ def test_base_spans(texts):
     assert [[s for s in spans if s[0] in base] for spans in found] == [plain(t) for t in texts]
 
 
-@given(st.sampled_from(["ab(cd|ef)gh", "x?abc+d", "(foo|ba[rz])qux", "a[0-9]+bcd", "(abc|de)", "[a-z]{3}key", "ab{2,3}cde"]).flatmap(
+@given(st.sampled_from(["ab(cd|ef)gh", "x?abc+d", "(foo|ba[rz])qux", "a[0-9]+bcd", "(abc|de)", "[a-z]{3}key", "ab{2,3}cde",
+                        "gh[pousr]_[a-z]+", "[a-f]?[0-9]{2}xyz", "k[A-Za-z]=[0-9]", "abc[a-z]d", "[A-Z_]+ab[c-h]"]).flatmap(
     lambda p: st.tuples(st.just(p), st.from_regex(p))))
 @settings(max_examples=300, deadline=None)
 def test_query_misses_no_match(case):
@@ -46,6 +47,9 @@ def test_query_misses_no_match(case):
 def test_queries_of_the_rules():
     assert trigram_query("[0-9a-f]+") is None and trigram_query("ab|cde") is None
     assert trigrams_of(trigram_query("AKIA[A-Z0-9]+")) == {"aki", "kia"}
+    # five letters where no trigram is known yet are spelled out
+    assert trigrams_of(trigram_query("gh[pousr]_[A-Za-z0-9]+")) == {f"gh{c}" for c in "pousr"} | {f"h{c}_" for c in "pousr"}
+    assert [r.kind for r in RULES if trigram_query(r.pattern) is None] == ["hex"]
 
 
 def test_frames(spark):

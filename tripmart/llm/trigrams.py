@@ -11,9 +11,10 @@ import re
 from re import _constants as op
 from re import _parser
 
-#: Exact strings followed at once, and characters of a class that are spelled out.
+#: Exact strings followed at once. A class of more than ``FEW`` characters is spelled out, up to
+#: that limit, only where the strings before it have no trigram yet.
 MAX_STRINGS = 64
-MAX_CLASS = 4
+FEW = 4
 
 
 def trigram_query(pattern: str):
@@ -55,7 +56,9 @@ def _sequence(items):
     whole, run, queries = True, {""}, []
     for item in items:
         exact, query, stops = _item(*item)
-        if exact is not None and len(run) * len(exact) <= MAX_STRINGS:
+        wide = exact is not None and len(exact) > FEW and max(map(len, exact)) == 1
+        needed = not wide or min(map(len, run)) < 3
+        if exact is not None and needed and len(run) * len(exact) <= MAX_STRINGS:
             run = {a + b for a in run for b in exact}
         else:
             whole = False
@@ -101,11 +104,11 @@ def _class(items) -> set[str] | None:
     for kind, arg in items:
         if kind is op.LITERAL:
             found.add(chr(arg).lower())
-        elif kind is op.RANGE and arg[1] - arg[0] < MAX_CLASS:
+        elif kind is op.RANGE and arg[1] - arg[0] < MAX_STRINGS:
             found |= {chr(c).lower() for c in range(arg[0], arg[1] + 1)}
         else:
             return None
-    return found if len(found) <= MAX_CLASS else None
+    return found if len(found) <= MAX_STRINGS else None
 
 
 class BlockIndex:
