@@ -34,6 +34,25 @@ def test_transducer_is_the_merge_rule(data):
     assert small.encode(data) == (LIBRARY.encode_single_token(data) and [RANKS[data]] if data in RANKS else small.merged(data))
 
 
+@given(st.randoms(use_true_random=False), st.booleans())
+@settings(max_examples=150, deadline=None)
+def test_small_vocabularies(r, rising):
+    """Also with ranks that don't rise from merge to merge, and with neighbours of one rank."""
+    tokens = [b"a", b"b", b"c"]
+    for _ in range(r.randint(3, 20)):
+        token = r.choice(tokens) + r.choice(tokens)
+        if len(token) < 7 and token not in tokens:
+            tokens.append(token)
+    numbers = list(range(len(tokens)))
+    if not rising:
+        r.shuffle(numbers)
+    ranks = dict(zip(tokens, numbers, strict=True))
+    coder = bpe.Transducer(ranks, max_states=20)
+    for _ in range(20):
+        data = bytes(r.choices(b"abc", k=r.randint(1, 14)))
+        assert coder.encode(data) == ([ranks[data]] if data in ranks else coder.merged(data))
+
+
 @given(st.lists(st.binary(max_size=5), max_size=8))
 @settings(max_examples=500, deadline=None)
 def test_utf8_machine_streams(parts):
