@@ -141,3 +141,21 @@ def test_query(spark):
 
 def test_numbers_are_by_word():
     assert np.array_equal(module.numbered([b"b", b"a", b"b"]), [0, 1, 0])
+
+
+def test_a_task_holds_one_python_step(spark):
+    """Two in a row are two workers for each task of an executor."""
+    docs = spark.createDataFrame([(1, "a b c"), (2, "a b " * 9)], "doc_id long, text string")
+    found = periodic_runs(docs)
+    plan = found._jdf.queryExecution().analyzed()
+
+    def steps(node):
+        below = max((steps(node.children().apply(k)) for k in range(node.children().size())), default=0)
+        return below + (node.nodeName() == "MapInArrow")
+
+    # the runs' own branch is cut by a join, whose shuffle ends the task
+    assert plan.collectLeaves().size() > 1
+    plain = [b for b in (plan.children().apply(k) for k in range(plan.children().size())) if "Join" not in b.toString()]
+    assert len(plain) == 1
+    assert steps(plain[0]) == 1
+    assert {(r.doc_id, r.n_words, len(r.runs)) for r in found.collect()} == {(1, 3, 0), (2, 18, 1)}

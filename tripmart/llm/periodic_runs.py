@@ -140,31 +140,38 @@ _PARTS_DDL = (
 )
 
 
-def _parts(with_tiles: bool):
-    """Of the documents with tiles one row for its words, and its tiles; or of the others the former."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held, size = [], 0
-            for row, doc_id, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                words = text.encode().split()  # bytes.split() parts at \x20 and \x09-\x0D alone
-                found = tiles(numbered(words))
+def _tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the documents with tiles one row for its words, and its tiles."""
+    for batch in batches:
+        held, size = [], 0
+        for row, doc_id, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            words = text.encode().split()  # bytes.split() parts at \x20 and \x09-\x0D alone
+            found = tiles(numbered(words))
+            head = next(found, None)
+            if head is None:
+                continue
+            held.append((row, doc_id, b" ".join(words), *[None] * 6))
+            size += len(text)
+            while head is not None:
+                low, high, stride, first, ids, marks = head
+                held.append((row, None, None, low, high, stride, first, ids.tobytes(), marks.tolist()))
+                size += ids.nbytes + marks.nbytes
+                if size > _HELD:
+                    yield _batch(held)
+                    held, size = [], 0
                 head = next(found, None)
-                if (head is not None) != with_tiles:
-                    continue
-                held.append((row, doc_id, b" ".join(words), *[None] * 6))
-                size += len(text)
-                while head is not None:
-                    low, high, stride, first, ids, marks = head
-                    held.append((row, None, None, low, high, stride, first, ids.tobytes(), marks.tolist()))
-                    size += ids.nbytes + marks.nbytes
-                    if size > _HELD:
-                        yield _batch(held)
-                        held, size = [], 0
-                    head = next(found, None)
-            yield _batch(held)
-
-    return run
+        yield _batch(held)
+
+
+def _untiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Results of the documents without tiles, which have no runs."""
+    for batch in batches:
+        out: list[list] = [[], [], [], [], []]
+        for doc_id, text in zip(*(batch.column(k).to_pylist() for k in (1, 2)), strict=True):
+            words = text.encode().split()
+            if next(tiles(numbered(words)), None) is None:
+                _add_result(out, doc_id, words, [])
+        yield _results(out)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -213,15 +220,22 @@ def collapse(words: list[bytes], runs: list[dict[str, int]]) -> bytes:
     return b" ".join([w for w, x in zip(words, gone, strict=True) if not x])
 
 
+def _add_result(out: list[list], doc_id: int | None, words: list[bytes], runs: list[dict[str, int]]) -> None:
+    row = (doc_id, len(words), runs, best_run(runs), collapse(words, runs).decode())
+    for column, value in zip(out, row, strict=True):
+        column.append(value)
+
+
+def _results(out: list[list]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _RESULT, strict=True)], schema=_RESULT)
+
+
 def _collapsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out: list[list] = [[], [], [], [], []]
         for doc_id, words, runs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            words, runs = words.split(), runs or []
-            row = (doc_id, len(words), runs, best_run(runs), collapse(words, runs).decode())
-            for column, value in zip(out, row, strict=True):
-                column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _RESULT, strict=True)], schema=_RESULT)
+            _add_result(out, doc_id, words.split(), runs or [])
+        yield _results(out)
 
 
 def periodic_runs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -237,7 +251,7 @@ def periodic_runs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text")
     )
-    parts = stored(rows.mapInArrow(_parts(True), _PARTS_DDL), "run-tiles")
+    parts = stored(rows.mapInArrow(_tiled, _PARTS_DDL), "run-tiles")
     tiled = parts.where("words IS NULL").select("row", "low", "high", "stride", "first", "ids", "marks")
     dealt = tiled.repartition("row", "low", "first")
     fragments = dealt.mapInArrow(_solved, "row long, period long, start long, past long")
@@ -251,6 +265,7 @@ def periodic_runs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     per_doc = runs.groupBy("row").agg(
         F.transform(listed, lambda r: F.struct(r["start"].alias("start"), r["length"].alias("length"), r["period"].alias("period"))).alias("runs")
     )
-    pending = parts.where("words IS NOT NULL").select("row", "doc_id", "words").join(per_doc, "row", "left")
-    plain = rows.mapInArrow(_parts(False), _PARTS_DDL).select("doc_id", "words", F.lit(None).cast(f"array<{_RUN_DDL}>").alias("runs"))
-    return pending.select("doc_id", "words", "runs").unionByName(plain).mapInArrow(_collapsed, _RESULT_DDL)
+    pending = parts.where("words IS NOT NULL").select("row", "doc_id", "words").join(per_doc, "row", "left").select("doc_id", "words", "runs")
+    # results at once: two Python steps in a row would hold two workers for each task
+    plain = rows.mapInArrow(_untiled, _RESULT_DDL)
+    return pending.mapInArrow(_collapsed, _RESULT_DDL).unionByName(plain)
