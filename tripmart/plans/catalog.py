@@ -126,6 +126,13 @@ def _sql(body: str, *extra: str, pre: list[str] = PRE) -> str:
 # ---------------------------------------------------------------------------------------
 
 
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` from a scratch table, for frames that are read several times: its joins run once."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path, compression="zstd")
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @dataclass
 class Ctx:
     spark: SparkSession
@@ -734,7 +741,7 @@ def q_fact_identity(spark, sf):
     c = _ctx(spark, sf)
     keys = key_table(scratch_dir(spark, "keys"))
     for trips in (c.raw.filter("VendorID <= 3"), c.raw):
-        fact = build_fact(silver_trips(trips, RUN_ID, PROCESSED_AT), with_trip_key=True)
+        fact = _kept(build_fact(silver_trips(trips, RUN_ID, PROCESSED_AT), with_trip_key=True), "fact")
         periods = [tuple(r) for r in fact.select("source_year", "source_month").distinct().collect()]
         found = assign_identities(spark, fact, keys, periods, RUN_ID)
     return found.select("trip_key", "trip_identity")
