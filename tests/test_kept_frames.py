@@ -10,6 +10,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize(
     "name, step", [
         ("fact_identity", "assign_identities"),
+        ("replace_partition_swapped", "swap"),
     ],
 )
 def test_steps_read_a_kept_frame(spark, monkeypatch, name, step):

@@ -676,7 +676,7 @@ def q_replace_partition_swapped(spark, sf):
     """Load the fact into a registered table, then swap one month for other rows and the next one
     for none: what SQL on the table sees. One more run fails before its swap and changes nothing."""
     c = _ctx(spark, sf)
-    fact = enforce_schema(build_fact(c.silver, with_trip_key=True), FACT_SCHEMA)
+    fact = _kept(enforce_schema(build_fact(c.silver, with_trip_key=True), FACT_SCHEMA), "fact")
     root = scratch_dir(spark, "swapped")
     table = fact_table(root, f"fact_{root.rpartition('-')[2]}")
     register_swapped(spark, table)
