@@ -11,6 +11,7 @@ SF = "/root/testdata/sf0.001"
     "name, step", [
         ("fact_identity", "assign_identities"),
         ("replace_partition_swapped", "swap"),
+        ("scan_drifting_months", "write_bronze"),
     ],
 )
 def test_steps_read_a_kept_frame(spark, monkeypatch, name, step):

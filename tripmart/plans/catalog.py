@@ -137,10 +137,15 @@ def _kept(df: DataFrame, name: str) -> DataFrame:
 class Ctx:
     spark: SparkSession
     sf: str
+    kept: DataFrame | None = None
+
+    def with_kept_raw(self) -> Ctx:
+        """The same with the raw trips in a scratch table."""
+        return replace(self, kept=_kept(self.raw, "raw"))
 
     @property
     def raw(self) -> DataFrame:
-        return adapter.raw_trips(self.spark, self.sf)
+        return self.kept if self.kept is not None else adapter.raw_trips(self.spark, self.sf)
 
     @property
     def raw_zones(self) -> DataFrame:
@@ -225,7 +230,7 @@ def q_scan_raw_trips(spark, sf):
 def q_scan_drifting_months(spark, sf):
     """Months whose files differ: before 1996 the passenger count is a double, from 1997 on
     money is text and a column more is there. All are conformed to one frame, losing none."""
-    raw, root = _ctx(spark, sf).raw, scratch_dir(spark, "bronze")
+    raw, root = _ctx(spark, sf).with_kept_raw().raw, scratch_dir(spark, "bronze")
     old = raw.filter("year < 1996").withColumn("passenger_count", F.col("passenger_count").cast("double"))
     new = raw.filter("year >= 1997").withColumn("total_amount", F.col("total_amount").cast("string"))
     for frame in (old, raw.filter("year = 1996"), new.withColumn("cbd_congestion_fee", F.lit(0.75))):
