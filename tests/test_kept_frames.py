@@ -12,6 +12,7 @@ SF = "/root/testdata/sf0.001"
         ("fact_identity", "assign_identities"),
         ("replace_partition_swapped", "swap"),
         ("scan_drifting_months", "write_bronze"),
+        ("mart_zones_from_partials", "write_bronze"),
     ],
 )
 def test_steps_read_a_kept_frame(spark, monkeypatch, name, step):

@@ -763,7 +763,7 @@ def q_quality_report_observed(spark, sf):
 def q_mart_zones_from_partials(spark, sf):
     """The zone mart from monthly states, after a quarter was loaded and one of its months run
     again with other rows."""
-    c = _ctx(spark, sf)
+    c = _ctx(spark, sf).with_kept_raw()
     paths, (y, m) = replace(c.paths(), partials=partials_table(scratch_dir(spark, "partials"))), PERIOD
     write_bronze(c.raw.filter(F.col("year") == y).filter(F.col("month").isin(m - 1, m, m + 1)), paths.bronze)
     backfill(spark, paths, RUN_ID, enforce_gate=False)
