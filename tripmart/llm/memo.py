@@ -23,7 +23,9 @@ class Memo(dict):
     def unknown(self, keys: set) -> list:
         """The keys that are neither here nor in the reserve; those in the reserve move here."""
         out = []
-        for key in keys - self.keys():
+        for key in keys:
+            if key in self:  # a difference of the two would walk through all of the memo
+                continue
             value = self.reserve.get(key)
             if value is None:
                 out.append(key)

@@ -15,9 +15,9 @@ import json
 import os
 
 import numpy as np
-import regex
 from tokenizers import Tokenizer
 
+from tripmart.llm.latin import is_latin, latin_pieces
 from tripmart.llm.memo import Memo
 
 #: Distinct pieces that a worker keeps, and pieces in one call of the library.
@@ -53,7 +53,7 @@ class WordIds:
             pattern = None
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         self.ends[[i for t, i in self.tokenizer.get_vocab().items() if suffix and t.endswith(suffix)]] = True
-        self.split = regex.compile(pattern).findall if pattern else None
+        self.split = latin_pieces(pattern) if pattern else None
         self.pieces = Memo(self.whole, MAX_PIECES)
         self.parts = Memo(self.whole, MAX_PIECES // 4)
 
@@ -80,37 +80,42 @@ class WordIds:
 
     def _pieces(self, text: str) -> list[str] | None:
         """Pieces of a Latin-1 text, None for another one."""
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return None
-        return self.split(text.lower())
+        return self.split(text.lower()) if is_latin(text) else None
+
+    def _known(self, text: str) -> tuple[list[bytes | None], list[tuple[int, str]]]:
+        """The ids of a text's pieces, None where not known yet, and the places of these with the pieces."""
+        get = self.pieces.get
+        found = self._pieces(text)
+        if found is None:
+            found, ids = [], []
+            for part in text.replace("\n", " ").split(" "):
+                own = self._pieces(part)
+                found.extend([part] if own is None else own)
+                ids.extend([self.parts[part]] if own is None else map(get, own))
+        else:
+            ids = list(map(get, found))
+        places, k = [], -1
+        for _ in range(ids.count(None)):
+            k = ids.index(None, k + 1)
+            places.append((k, found[k]))
+        return ids, places
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, without special tokens, as little-endian unsigned 32-bit integers."""
-        plan: list = []  # per text: pieces, or a list of (pieces or None, part), or None
+        plan: list = []
+        new: set[str] = set()
         for t in texts:
             if self.split is None or any(a in t for a in self.added):
-                plan.append(None)
-            elif (found := self._pieces(t)) is not None:
-                plan.append(found)
+                plan.append(([self.whole(t)], []))
             else:
-                plan.append([(self._pieces(p), p) for p in t.replace("\n", " ").split(" ")])
-        new: set[str] = set()
-        for found in plan:
-            if found and isinstance(found[0], tuple):
-                new.update(*(p for p, _ in found if p))
-            elif found:
-                new.update(found)
+                plan.append(self._known(t))
+                new.update(p for _, p in plan[-1][1])
         self._learn(self.pieces.unknown(new))
         look, out = self.pieces.__getitem__, []
-        for t, found in zip(texts, plan, strict=True):
-            if found is None:
-                out.append(self.whole(t))
-            elif found and isinstance(found[0], tuple):
-                out.append(b"".join(self.parts[p] if own is None else b"".join(map(look, own)) for own, p in found))
-            else:
-                out.append(b"".join(map(look, found)))
+        for ids, places in plan:
+            for k, piece in places:
+                ids[k] = look(piece)
+            out.append(b"".join(ids))
         self.pieces.trim()
         self.parts.trim()
         return out
