@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import strings, text_batches, text_or_empty
+from tripmart.llm.latin import is_latin, latin_pieces
 from tripmart.llm.memo import Memo
 
 #: Transducer states, and pieces with their ids, that a worker keeps.
@@ -43,7 +44,9 @@ class Transducer:
         self.ranks, self.max_states = ranks, max_states
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.top = 1 + max(ranks.values())
-        self.begins = {token[:k] for token in ranks for k in range(1, len(token))}
+        begins = {token[:k] for token in ranks for k in range(1, len(token))}
+        #: the token that bytes are (or None), and whether they begin a longer one
+        self.entries = {part: (ranks.get(part), part in begins) for part in begins | ranks.keys()}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.parts: dict[int, tuple[int, int] | None] = {}  # the two tokens a token was merged from
         self.forget()
@@ -135,7 +138,7 @@ class Transducer:
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         last, pending, tree, live = self.trees[state]
-        ranks, begins, pairs = self.ranks, self.begins, self.pairs
+        entry_of, pairs = self.entries.get, self.pairs
         data = pending + bytes((byte,))
         n = len(data)
         grown, still = None, []
@@ -145,12 +148,15 @@ class Transducer:
                 if tree[start - 1] is None:
                     continue
                 before = tree[start - 1][1]
-            part = data[start:]
-            if grown is None:
-                token = ranks.get(part)
-                if token is not None and (pairs.get((before, token)) or self._fits(before, token)):
+            entry = entry_of(data[start:])
+            if entry is None:
+                continue
+            token, longer = entry
+            if grown is None and token is not None:
+                fits = pairs.get((before, token))
+                if self._fits(before, token) if fits is None else fits:
                     grown = (start, token)
-            if part in begins:
+            if longer:
                 still.append(start)
         tree = [*tree, grown]
         cut = n  # the last place that all branches have come through
@@ -161,11 +167,13 @@ class Transducer:
                 else:
                     branch = tree[branch - 1][0]
         emitted = self._path(tree, cut) if cut else ()
-        if cut:
-            rest = [t and (t[0] - cut, t[1]) if t and t[0] >= cut else None for t in tree[cut:]]
-            to = self._state(emitted[-1], data[cut:], rest, [k - cut for k in still])
-        else:
-            to = self._state(last, data, tree, still)
+        end, left = (emitted[-1], data[cut:]) if cut else (last, data)
+        to = self.numbers.get((end, left))
+        if to is None:  # most steps lead to a state that is there already
+            if cut:
+                tree = [t and (t[0] - cut, t[1]) if t and t[0] >= cut else None for t in tree[cut:]]
+                still = [k - cut for k in still]
+            to = self._state(end, left, tree, still)
         self.steps[state << 8 | byte] = to, emitted
         return to, emitted
 
@@ -179,10 +187,9 @@ class Transducer:
         if len(self.pairs) > 4 * self.max_states:
             self.pairs.clear()
         out: list[int] = []
-        state, steps = 0, self.steps
+        state, known = 0, self.steps.get
         for byte in piece:
-            step = steps.get(state << 8 | byte) or self._step(state, byte)
-            state, emitted = step
+            state, emitted = known(state << 8 | byte) or self._step(state, byte)
             if emitted:
                 out.extend(emitted)
         tail = self.tails[state]
@@ -193,22 +200,28 @@ class Transducer:
         return out
 
 
+#: Packs that many ids.
+_PACKED = Memo(lambda n: struct.Struct(f"<{n}i").pack, 1 << 10)
+
+
 class Encoder:
     """Texts to ids: the pattern's pieces, each through the transducer."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.pieces = regex.compile(pattern).findall
+        self.pieces, self.latin_pieces = regex.compile(pattern).findall, latin_pieces(pattern)
         self.transducer = Transducer(ranks)
         self.memo = Memo(self._piece, MAX_PIECES)
 
     def _piece(self, piece: str) -> bytes:
         ids = self.transducer.encode(piece.encode())
-        return struct.pack(f"<{len(ids)}i", *ids)
+        return _PACKED[len(ids)](*ids)
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian 32-bit integers."""
-        ids = b"".join(map(self.memo.__getitem__, self.pieces(text)))
+        pieces = self.latin_pieces if is_latin(text) else self.pieces
+        ids = b"".join(map(self.memo.__getitem__, pieces(text)))
         self.memo.trim()
+        _PACKED.trim()
         return ids
 
 
