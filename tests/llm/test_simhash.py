@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tripmart.llm.common import stored
 from tripmart.llm.embedding_dedup import roots
 from tripmart.llm.simhash import hex_of, near_links, simhash, simhash_dedup, simhash_keep
 
@@ -76,3 +77,22 @@ def test_rows_that_share_an_id_or_have_none(spark):
         docs = spark.createDataFrame(rows, "doc_id long, text string, row string").repartition(parts)
         kept = sorted((tuple(r) for r in simhash_keep(docs).collect()), key=repr)
         assert kept == sorted([(1, other, "a"), (7, clean, "b"), (None, lone, "c"), (9, None, "d")], key=repr)
+
+
+def test_variants_are_not_broadcast(spark, monkeypatch):
+    """A fingerprint's variants are dozens of rows, of which Spark's estimate knows nothing: a
+    broadcast of them goes through the driver's memory."""
+    plans = []
+
+    def planned(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    for module in ("buckets", "components"):
+        monkeypatch.setattr(f"tripmart.llm.{module}.stored", planned)
+    base = " ".join(words(60, 300))
+    docs = [(k, f"{base} {word}") for k, word in enumerate(words(61, 40))] + [(100 + k, " ".join(words(k, 90))) for k in range(40)]
+    found = simhash_dedup(spark.createDataFrame(docs, "doc_id long, text string"))
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert len({r.component_id for r in found.collect()}) < 80
+    assert sum("SortMergeJoin" in plan for plan in plans) > 3 and not any("Broadcast" in plan for plan in plans)

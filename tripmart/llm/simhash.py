@@ -7,7 +7,7 @@ position with that bit as a wildcard, so the pair meets in a bucket, and an equa
 with a bit count verifies it.
 
 Copies collapse to one row per fingerprint first, and dense groups of near ones never give
-all pairs (see ``buckets``).
+all pairs (see ``buckets``, also for why the joins are held to sorting).
 """
 
 from __future__ import annotations
@@ -136,12 +136,12 @@ def simhash_dedup(
     prints = stored(fingerprints(docs, shingle, text, doc_id), "simhash-docs")
     links = near_links(prints, max_distance)
     first = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    classes = first.join(links, F.col("fp") == F.col("node"), "left").select(
+    classes = first.join(links.hint("merge"), F.col("fp") == F.col("node"), "left").select(
         "fp", "first_id", F.coalesce("component", "fp").alias("group")
     )
     lowest = classes.groupBy("group").agg(F.min("first_id").alias("component_id"))
-    classes = classes.join(lowest, "group").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = classes.join(lowest.hint("merge"), "group").select("fp", "component_id")
+    return prints.join(classes.hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
 def simhash_keep(
@@ -152,7 +152,7 @@ def simhash_keep(
     text, so documents of different groups stay even if they share an id. Of a group's rows
     without an id one stays, too."""
     prints = stored(fingerprints(docs, shingle, text, doc_id, keyed=True), "simhash-docs")
-    groups = prints.join(near_links(prints, max_distance), F.col("fp") == F.col("node"), "left")
+    groups = prints.join(near_links(prints, max_distance).hint("merge"), F.col("fp") == F.col("node"), "left")
     group = F.coalesce("component", "fp").alias("group")
     first = F.min(F.struct("doc_id", "__t1", "__t2")).alias("first")
     stay = groups.groupBy(group, F.col("doc_id").isNull()).agg(first).select(
